@@ -61,3 +61,14 @@ def written_by(df: DataFrame, key: str, name: str) -> DataFrame:
      .bucketBy(n, key).saveAsTable(label))
     out = spark.table(label)
     return out
+
+
+#: Rows of a few longs that may be broadcast: about 30 MB. Larger tables are joined by shuffling.
+BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a written table, marked for broadcast if a count shows that it has at most ``rows`` rows."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= rows else df

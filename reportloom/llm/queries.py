@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, revisit, sharding, toxicity
+from . import bpe, decontaminate, quality, revisit, sharding, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = revisit.resolve_revisits(revisit.records_of_pages(table(spark, sf_dir, "pages")))
     return found.withColumn("headers", revisit.header_text(found["headers"]))
@@ -39,9 +43,10 @@ def queries() -> dict[str, Query]:
         "op3_bpe": op3_bpe,
         "op4_sharding": op4_sharding,
         "op5_toxicity": op5_toxicity,
+        "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_warc_revisits": op10_warc_revisits,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc_revisits": revisit.ORACLE_SQL}
+    return {"op9_benchmark_decontamination": decontaminate.ORACLE_SQL, "op10_warc_revisits": revisit.ORACLE_SQL}
