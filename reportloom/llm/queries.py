@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, quality, revisit, sharding, toxicity
+from . import bpe, decontaminate, quality, revisit, sharding, surrogate, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogate.anonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +47,7 @@ def queries() -> dict[str, Query]:
         "op3_bpe": op3_bpe,
         "op4_sharding": op4_sharding,
         "op5_toxicity": op5_toxicity,
+        "op7_pii_surrogates": op7_pii_surrogates,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_warc_revisits": op10_warc_revisits,
     }
