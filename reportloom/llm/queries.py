@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, quality, revisit, sharding, surrogate, toxicity
+from . import bpe, decontaminate, quality, revisit, sharding, surrogate, toxicity, window_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate.anonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.deduplicate(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, Query]:
         "op4_sharding": op4_sharding,
         "op5_toxicity": op5_toxicity,
         "op7_pii_surrogates": op7_pii_surrogates,
+        "op8_window_dedup": op8_window_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_warc_revisits": op10_warc_revisits,
     }
