@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, quality, revisit, sharding, surrogate, toxicity, window_dedup
+from . import bpe, decontaminate, quality, revisit, sharding, suffix_dedup, surrogate, toxicity, window_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -47,6 +51,7 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_quality_rules": op2_quality_rules,
         "op3_bpe": op3_bpe,
         "op4_sharding": op4_sharding,
