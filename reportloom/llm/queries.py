@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, quality, revisit, sharding, suffix_dedup, surrogate, toxicity, window_dedup
+from . import bpe, decontaminate, order_minhash, quality, revisit, sharding, suffix_dedup, surrogate, toxicity, window_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate.anonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op3_bpe": op3_bpe,
         "op4_sharding": op4_sharding,
         "op5_toxicity": op5_toxicity,
+        "op6_order_minhash": op6_order_minhash,
         "op7_pii_surrogates": op7_pii_surrogates,
         "op8_window_dedup": op8_window_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
