@@ -8,7 +8,7 @@ grow in proportion to the texts, not to the pairs in a bucket. A candidate is ve
 within a diagonal band: similarity is 1 - edits / words of the longer text.
 
 Two texts of shingle similarity j share a sketch with probability of about j * j, so j = 0.8 meets in 0.41 of the
-buckets (none in 64: below 1e-9), j = 0.6 in 0.13 (1e-3), though not always beside the least or greatest text.
+buckets (none in 96: below 1e-9), j = 0.6 in 0.13 (1e-5), though not always beside the least or greatest text.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from .window_dedup import word_hashes
 SHINGLE = 5
 SKETCHES = 32
 #: How far apart the two sketches of a bucket's key are.
-PAIRS = (1, 7)
+PAIRS = (1, 7, 13)
 THRESHOLD = 0.8
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=U) * U(BASE))
 _MAX = U((1 << 64) - 1)
@@ -143,9 +143,27 @@ def _rows(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     return d if d <= most else None
 
 
+def at_most(a: np.ndarray, b: np.ndarray) -> int:
+    """An upper bound of the edit distance: an alignment through word pairs that both sides have once, in one order."""
+    n = max(len(a), len(b))
+    if min(len(a), len(b)) < 2:
+        return n
+    pair = lambda w: w[:-1].astype(np.int64) * 0x9E3779B1 + w[1:]
+    (p, i, pc), (q, j, qc) = (np.unique(pair(w), return_index=True, return_counts=True) for w in (a, b))
+    _, x, y = np.intersect1d(p[pc == 1], q[qc == 1], assume_unique=True, return_indices=True)
+    i, j = i[pc == 1][x], j[qc == 1][y]
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    fit = (j == np.maximum.accumulate(j)) & (j == np.minimum.accumulate(j[::-1])[::-1])
+    fit &= a[i] == b[j]
+    i, j = np.concatenate([[-1], i[fit], [len(a)]]), np.concatenate([[-1], j[fit], [len(b)]])
+    return int(np.maximum(np.diff(i), np.diff(j)).sum() - (len(i) - 1))
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
-    longer = max(len(a), len(b))
-    return within(a, b, int((1 - threshold) * longer + 1e-9)) is not None
+    """Whether the distance is in the band; a plain upper bound settles most copies without a look at every diagonal."""
+    most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
+    return abs(len(a) - len(b)) <= most and (at_most(a, b) <= most or within(a, b, most) is not None)
 
 
 def _binary(text_words: np.ndarray) -> tuple[int, int]:
