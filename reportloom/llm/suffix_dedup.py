@@ -76,9 +76,10 @@ def resolve(distinct: DataFrame) -> DataFrame:
     hot = checked_broadcast(sizes)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches))
-        if not t.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        t = pa.Table.from_batches(held)
         pieces = t.column("chunk").to_pylist()
         off, n, count = (t.column(x).to_numpy().astype(np.int64) for x in ("off", "n", "c"))
         mask = np.packbits(repeated_windows(pieces, off, n, count), axis=1)

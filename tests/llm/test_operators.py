@@ -1,0 +1,257 @@
+"""The operators against brute force on small fixtures with nulls, empty and repeated rows, ties and clashing columns."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reportloom.llm import bpe, decontaminate, order_minhash, quality, revisit, sharding, suffix_dedup, surrogate, toxicity, window_dedup
+from reportloom.llm.deep_shallow import suffix_sort
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def prose(seed, n):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7))) for _ in range(n))
+
+
+TEXTS = [prose(1, 120), prose(1, 120), None, "", prose(2, 90) + " " + prose(1, 60), "a" * 500, prose(3, 40), " \n\t ", prose(2, 90), "é x 中文", prose(4, 200) + "\n" + prose(3, 40)]
+SCHEMA = "doc_id long, text string, start int, kept string, `group` string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, 1, "x", None) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], 1, "x", None), (None, TEXTS[6], None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_suffix_dedup(docs, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    counts = Counter(t[k : k + 200] for _, t in rows for k in range(len(t) - 199))
+    want = []
+    for i, t in rows:
+        gone = [False] * len(t)
+        for k in range(len(t) - 199):
+            if counts[t[k : k + 200]] > 1:
+                gone[k : k + 200] = [True] * 200
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        want.append((i, len(t), sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest()))
+    got = [tuple(r)[:5] for r in suffix_dedup.deduplicate(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_window_dedup(docs):
+    rows = [(r.doc_id, WORD.findall(r.text or "")) for r in docs.collect()]
+    first = {}
+    for i, w in rows:
+        for k in range(len(w) - 12) if i is not None else ():
+            key = tuple(w[k : k + 13])
+            first[key] = min(first.get(key, i), i)
+    want = []
+    for i, w in rows:
+        gone = [False] * len(w)
+        for k in range(len(w) - 12) if i is not None else ():
+            if first[tuple(w[k : k + 13])] < i:
+                gone[k : k + 13] = [True] * 13
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        want.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    assert sorted([tuple(r)[:4] for r in window_dedup.deduplicate(docs).collect()], key=str) == sorted(want, key=str)
+
+
+def test_empty_tables(none, spark):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    for df in (suffix_dedup.deduplicate(none), window_dedup.deduplicate(none), order_minhash.classes(none), bpe.encode(none), sharding.shard(none), surrogate.anonymise(none), decontaminate.contaminated(none, bench), toxicity.score(none, labels), quality.judge(none, ["doc_id"])):
+        assert df.count() == 0
+
+
+def test_suffix_sort():
+    r = random.Random(1)
+    for _ in range(60):
+        s = [bytes(r.choice(b"ab") for _ in range(r.randint(0, 90))) for _ in range(r.randint(1, 40))]
+        order, lcp = suffix_sort(s)
+        t = [s[i] for i in order]
+        assert t == sorted(s)
+        for a, b, n in zip(t, t[1:], lcp[1:]):
+            assert a[:n] == b[:n] and a[n : n + 1] != b[n : n + 1] or a == b
+
+
+def test_quality(docs):
+    got = {(r.doc_id, r.n_words): r for r in quality.judge(docs, ["doc_id"]).collect()}
+    for r in docs.collect():
+        w = WORD.findall(r.text or "")
+        three = Counter(zip(w, w[1:], w[2:]))
+        hit = {k + j for k in range(len(w) - 2) if three[tuple(w[k : k + 3])] > 1 for j in range(3)}
+        lines = [x for x in (r.text or "").split("\n") if WORD.search(x)]
+        g = got[(r.doc_id, len(w))]
+        assert (g.word_chars, g.n_symbols, g.n_repeat_words) == (sum(map(len, w)), sum(c in "#*$%&|<>" for c in r.text or ""), len(hit))
+        assert g.n_dup_lines == len(lines) - len(set(lines))
+        assert g.base_failed == (len(w) < 50 or 100 * len(hit) > 50 * len(w)) and (not g.kept or not g.base_failed)
+
+
+def test_posterior_finds_bad_patterns():
+    p, _ = quality.posterior(np.array([[1] * 8, [0, 1, 1, 1, 0, 1, 1, 1], [0, 0, 0, 1, 0, 1, -1, 1]]), np.array([900.0, 60, 40]))
+    assert p[0] > 0.9 and p[1] < 0.5 and p[2] < 0.1
+
+
+def test_bpe(docs):
+    tokenizers = pytest.importorskip("tokenizers")
+    lib = tokenizers.Tokenizer.from_file(bpe.default_path())
+    own = bpe.WordBpe(open(bpe.default_path(), encoding="utf-8").read())
+    texts = [*TEXTS, "a<|endoftext|>B'S ΣΑΣ \x1c\x85x", "aaaaaaaaaaaa bbbbb", "́x İ ½ Ⅷ 😀\x00", "don't </w> <|ENDOFTEXT|>"]
+    for t, (n, ids, decoded) in zip(texts, own.encode_batch(texts)):
+        e = lib.encode(t or "", add_special_tokens=False)
+        assert (n, ids, decoded) == (len(e.ids), " ".join(map(str, e.ids)), lib.decode(e.ids, skip_special_tokens=False))
+    assert {r.doc_id: r.n_tokens for r in bpe.encode(docs).collect()}[3] == 0
+
+
+def test_best_fit_decreasing():
+    r = random.Random(3)
+    items = [(r.randint(1, 60), str(k)) for k in range(300)]
+    bins = sharding.best_fit_decreasing(items, 100)
+    load = Counter()
+    for (s, _), b in zip(items, bins):
+        load[b] += s
+    assert max(load.values()) <= 100 and len(load) <= sum(s for s, _ in items) / 100 * 1.2 + 1
+    remaining, want = [], [0] * len(items)  # the same by a plain search
+    for k in sorted(range(300), key=lambda k: (-items[k][0], items[k][1])):
+        fit = [(c, b) for b, c in enumerate(remaining) if c >= items[k][0]]
+        b = min(fit)[1] if fit else len(remaining)
+        if not fit:
+            remaining.append(100)
+        remaining[b] -= items[k][0]
+        want[k] = b
+    assert bins == want
+
+
+def test_shard(docs, spark):
+    many = docs.unionByName(spark.createDataFrame([(100 + k, prose(k, 5 + k % 40), 0, "", "") for k in range(800)], SCHEMA))
+    rows = sharding.shard(many).collect()
+    assert len(rows) == 813
+    by, load = {}, Counter()
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+        load[r.shard] += r["size"]
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert max(load.values()) - min(load.values()) < 0.05 * sum(load.values())
+    shard_of = {}
+    for r in rows:
+        assert shard_of.setdefault((r["size"], r.text_crc32), r.shard) == r.shard
+
+
+def test_toxicity(spark):
+    r = random.Random(7)
+    bad = ["rotter", "rotten", "rotteness"]
+    rows = []
+    for k in range(1500):
+        w = prose(k, 30).split()
+        y = k % 5 == 0
+        if y:
+            w[3] = r.choice(bad)
+        if r.random() < (0.9 if y else 0.3):  # the label goes with an identity term, wrongly
+            w[5] = r.choice(["muslim", "jewish", "christian"])
+        rows.append((k, " ".join(w), int(y)))
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    more = spark.createDataFrame([(9001, "the muslim man", 0), (9002, None, 0), (9003, "", 0), (9004, "the rotten one", 0)], d.schema)
+    got = {x.doc_id: x for x in toxicity.score(d.union(more), d.select("doc_id", "toxic")).collect()}
+    held = [(got[k].predicted, y) for k, _, y in rows if got[k].held_out]
+    assert sum(p == y for p, y in held) >= 0.95 * len(held)
+    assert got[9001].predicted == 0 and got[9004].predicted == 1 and got[9002].score == got[9003].score
+    assert all(0 <= x.score <= 1 for x in got.values())
+
+
+def test_order_minhash(spark):
+    base = prose(50, 200).split()
+    rows = [(0, " ".join(base))]
+    for k in range(1, 40):  # edited copies
+        w, r = list(base), random.Random(k)
+        for _ in range(5):
+            i = r.randrange(len(w))
+            w[i : i + 1] = [[], ["new"], [w[i], "more"]][k % 3]
+        rows.append((k, " ".join(w)))
+    rows += [(100 + k, prose(200 + k, 150)) for k in range(60)] + [(200, None), (201, ""), (202, rows[0][1].upper()), (203, "one two"), (204, "one two")]
+    got = {r.doc_id: r for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[k].class_id == 0 for k in range(40)) and got[202].class_id == 0
+    assert all(got[100 + k].class_id == 100 + k for k in range(60)) and got[200].class_id == 200 and got[201].class_id == 201
+    assert got[204].class_id == 203 and got[0].n_links > 0
+
+
+def test_edit_distance():
+    r = random.Random(2)
+    for _ in range(200):
+        a = [r.randint(0, 6) for _ in range(r.randint(1, 25))]
+        b = [x for x in a if r.random() < 0.9] + [r.randint(0, 6) for _ in range(r.randint(0, 3))]
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        d, x, y = row[-1], np.array(a), np.array(b, int)
+        assert order_minhash.at_most(x, y) >= d
+        for most in (0, 2, 5, 30):
+            assert order_minhash.within(x, y, most) == (d if d <= most else None)
+
+
+def test_surrogates(spark):
+    rows = [(0, "Mail a.Bc@mail3.example.com or A.BC@MAIL3.EXAMPLE.COM"), (1, "card 4111 1111 1111 1111 or 4111-1111-1111-1111, order 4111111111111112"), (2, "call +1 (696) 555-2293 or +1 696-555-2293 from 10.200.3.255"), (3, 'token = "d4e71e33b54f40bc277a32011430a66d5e984911"'), (4, "John Smith met Mr. Smith"), (5, None), (6, ""), (7, "no private 12 3 things"), (0, "Mail a.Bc@mail3.example.com or A.BC@MAIL3.EXAMPLE.COM")]
+    got = surrogate.anonymise(spark.createDataFrame(rows, "doc_id long, text string").withColumn("tkey", F.lit(1))).collect()
+    by = {r.doc_id: r.text for r in got}
+    assert len(got) == len(rows) and by[5] is None and by[6] == "" and by[7] == rows[7][1]
+    m = re.findall(r"\S+@\S+", by[0])
+    assert m[0].upper() == m[1] and m[0] != "a.Bc@mail3.example.com" and re.fullmatch(r"[a-z]\.[A-Z][a-z]@[a-z]{4}\d\.[a-z]{7}\.com", m[0])
+    cards = re.findall(r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}", by[1])
+    assert cards[0].replace(" ", "") == cards[1].replace("-", "") != "4111111111111111" and by[1].endswith("4111111111111112")
+    digits = [int(c) for c in reversed(cards[0].replace(" ", ""))]
+    assert sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(digits)) % 10 == 0
+    p = re.findall(r"\+\d \(?(\d{3})\)?[ -](\d{3})-(\d{4})", by[2])
+    assert p[0] == p[1] and "555-2293" not in by[2] and "10.200.3.255" not in by[2] and by[2].startswith("call +1 (")
+    assert re.fullmatch(r'token = "[0-9a-f]{40}"', by[3]) and by[3] != rows[3][1]
+    assert (n := re.fullmatch(r"(\w+) (\w+) met Mr\. (\w+)", by[4])) and n[2] == n[3] != "Smith" and n[1] in surrogate.GIVEN[("male", "latin")].split()
+
+
+def test_surrogates_stay_distinct(spark):
+    e = spark.createDataFrame([("surname", c) for c in "abcdefghijklmnoprst"] + [("ip", f"1.2.3.{k}") for k in range(1, 10)], "kind string, canon string")
+    got = surrogate.surrogates(e, "k").collect()
+    for kind in ("surname", "ip"):
+        fakes = [r.fake for r in got if r.kind == kind]
+        assert len(fakes) == len(set(fakes)) and not set(fakes) & {r.canon for r in got if r.kind == kind}
+
+
+def test_decontamination(spark):
+    items = [(0, prose(900, 12)), (1, prose(901, 40)), (2, prose(902, 80)), (3, "too short"), (4, None)]
+    rows = [(k, prose(k, 700)) for k in range(30)]
+    for k, (_, t) in enumerate(items[:3]):
+        w = rows[k][1].split()
+        rows[k] = (k, " ".join(w[: 125 - 20 * k] + t.split() + w[125:]))
+    rows += [(50, " ".join(items[1][1].split()[:20])), (51, None), (52, "")]
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, b).collect()} == {(0, 0), (1, 1), (2, 2)}
+    assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == {k for k, _ in rows} - {0, 1, 2}
+
+
+def test_revisits(spark):
+    rec = [
+        (1, "response", "http://www.a.com/x/?b=2&a=1#f", 10, "e1", {"Content-Type": "t", "Date": "1"}), (2, "response", "https://a.com/x?a=1&b=2", 5000, "e2", {"Date": "2"}),
+        (3, "revisit", "a.com/x?a=1&b=2&utm_x=1", 4999, "e1", {"Date": "3", "Content-Type": "no"}), (4, "revisit", "a.com/x?a=1&b=2", 9000, "e1", {}), (5, "revisit", "a.com/y", 9000, "e1", {}),
+        (6, "revisit", None, 9000, "e1", {}), (7, "revisit", "a.com/x?a=1&b=2", 10, "e1", {}), (8, "revisit", "a.com/x?a=1&b=2", None, "e1", {}), (9, "metadata", "a.com/x", 1, None, {}),
+    ]
+    df = spark.createDataFrame(rec, "record_id long, kind string, url string, at long, etag string, headers map<string,string>").withColumn("last_modified", F.lit(None).cast("string"))
+    got = {r.record_id: r for r in revisit.resolve_revisits(df).collect()}
+    assert set(got) == {3, 4, 5, 6, 7}
+    assert (got[3].state, got[3].target_id, got[3].headers) == ("resolved", 1, {"content-type": "t", "date": "3"})
+    assert (got[4].state, got[4].target_id) == ("changed", 2)
+    assert got[5].state == got[6].state == got[7].state == "orphan"
