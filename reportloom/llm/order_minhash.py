@@ -160,10 +160,22 @@ def at_most(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.maximum(np.diff(i), np.diff(j)).sum() - (len(i) - 1))
 
 
+def shares_enough(a: np.ndarray, b: np.ndarray, most: int) -> bool:
+    """A necessary condition for a distance of at most ``most``: an edit spoils q runs of q words at most, the rest are on both sides."""
+    for q in (2, 3):
+        x, y = (sum(w[k : len(w) - q + 1 + k].astype(np.int64) * (0x9E3779B1**k % (1 << 31)) for k in range(q)) if len(w) >= q else np.zeros(0, np.int64) for w in (a, b))
+        values, where = np.unique(np.concatenate([x, y]), return_inverse=True)
+        left = np.bincount(where[: len(x)], minlength=len(values))
+        right = np.bincount(where[len(x) :], minlength=len(values))
+        if int(np.minimum(left, right).sum()) < max(len(x), len(y)) - q * most:
+            return False
+    return True
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     """Whether the distance is in the band; a plain upper bound settles most copies without a look at every diagonal."""
     most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
-    return abs(len(a) - len(b)) <= most and (at_most(a, b) <= most or within(a, b, most) is not None)
+    return abs(len(a) - len(b)) <= most and (at_most(a, b) <= most or shares_enough(a, b, most) and within(a, b, most) is not None)
 
 
 def _binary(text_words: np.ndarray) -> tuple[int, int]:
