@@ -32,6 +32,8 @@ WORDS = re.compile(r"\w+")
 #: Labelled rows that the fit may use; which ones is a hash's choice.
 SAMPLE_ROWS = 20_000
 BUCKETS = 1 << 18
+#: Entries summed at a time in the fit.
+BLOCK = 1 << 20
 THRESHOLD = 0.3
 
 
@@ -88,47 +90,81 @@ def swaps() -> dict[int, list[int]]:
     return out
 
 
-def fit(ids: list[list[int]], y: np.ndarray, counterfactual: float = 2.0, l1: float = 3e-4, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weights by bucket and the bias, by accelerated proximal gradient steps from zero; the same rows in any order give the same model up to rounding."""
-    n = len(ids)
+def swapped(ids: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The counterfactual versions of the texts that name a group, as what changes: (text of each version), (version, word, +1 or -1).
+
+    A version has each identity term replaced by another of its category and all else as it was, so its score is the
+    text's plus the weights that come minus those that go. Only words seen in the sample count.
+    """
+    table = swaps()
+    is_term = np.zeros(BUCKETS, bool)
+    is_term[list(table)] = True
+    have: dict[int, list[int]] = {}
+    for at in np.flatnonzero(is_term[ids]).tolist():
+        have.setdefault(int(row[at]), []).append(int(ids[at]))
+    text, version, word, sign = [], [], [], []
+    for r, terms in have.items():
+        for shift in (0, 1, 2):
+            comes = {table[i][(k + shift) % len(table[i])] for k, i in enumerate(terms)}
+            for group, way in ((terms, -1.0), (sorted(comes), 1.0)):
+                for i in group:
+                    if place[i] >= 0:
+                        version.append(len(text))
+                        word.append(place[i])
+                        sign.append(way)
+            text.append(r)
+    return np.array(text, np.int64), np.array(version, np.int64), np.array(word, np.int64), np.array(sign, float)
+
+
+def fit(ids: np.ndarray, lens: np.ndarray, y: np.ndarray, counterfactual: float = 2.0, l1: float = 3e-4, rounds: int = 300) -> tuple[np.ndarray, float]:
+    """Weights by bucket and the bias, by accelerated proximal gradient steps from zero.
+
+    ids: the buckets of all texts, one text after the other (``lens`` of each). The same rows in any order give the same
+    model up to rounding. Sums go over BLOCK entries at a time, so memory is 8 bytes an entry and a few arrays of a block.
+    """
+    n = len(lens)
     w, bias = np.zeros(BUCKETS), 0.0
     if not n or y.min() == y.max():
         return w, (math.log((y.sum() + 0.5) / (n - y.sum() + 0.5)) if n else -5.0)
-    table = swaps()
-    pairs_a, pairs_b = [], []
-    for d in ids:
-        have = [i for i in d if i in table]
-        if have:
-            gone = set(have)
-            for shift in (0, 1, 2):
-                pairs_a.append(d)
-                pairs_b.append(sorted((set(d) - gone) | {table[i][(k + shift) % len(table[i])] for k, i in enumerate(have)}))
-
-    def flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.fromiter((i for r in rows for i in r), np.int64)
-
-    rx, cx = flat(ids)
-    used, cx = np.unique(cx, return_inverse=True)
-    place = {int(u): k for k, u in enumerate(used)}
-    ra, ca = flat([[place[i] for i in r if i in place] for r in pairs_a])
-    rb, cb = flat([[place[i] for i in r if i in place] for r in pairs_b])
-    m = len(pairs_a)
+    row = np.repeat(np.arange(n, dtype=np.int32), lens)
+    count = np.bincount(ids, minlength=BUCKETS)
+    used = np.flatnonzero(count)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    text, version, word, sign = swapped(ids, row, place)
+    col = place[ids]
+    blocks = [slice(k, k + BLOCK) for k in range(0, len(col), BLOCK)]
+    m = len(text)
+
+    def by_text(z: np.ndarray) -> np.ndarray:
+        out = np.zeros(n)
+        for at in blocks:
+            out += np.bincount(row[at], z[col[at]], minlength=n)
+        return out
+
+    def by_word(e: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(used))
+        for at in blocks:
+            out += np.bincount(col[at], e[row[at]], minlength=len(used))
+        return out
+
     v, b = np.zeros(len(used)), math.log(y.mean() / (1 - y.mean()))
-    seen = np.bincount(cx, minlength=len(used))
-    rate = 1.0 / np.sqrt(seen + 1.0)  # a step for each word by how common it is
+    rate = 1.0 / np.sqrt(count[used] + 1.0)  # a step for each word by how common it is
     z, zb, t = v.copy(), b, 1.0
     sig = lambda s: 1 / (1 + np.exp(-np.clip(s, -30, 30)))
     step = 2.0
     for _ in range(rounds):
-        s = np.bincount(rx, z[cx], minlength=n) + zb
+        s = by_text(z) + zb
         e = (sig(s) - y) / n
-        g, gb = np.bincount(cx, e[rx], minlength=len(used)), e.sum()
+        far = 0.0
         if m:
-            pa_, pb_ = sig(np.bincount(ra, z[ca], minlength=m) + zb), sig(np.bincount(rb, z[cb], minlength=m) + zb)
-            diff = 2 * counterfactual * (pa_ - pb_) / n
-            da, db = diff * pa_ * (1 - pa_), -diff * pb_ * (1 - pb_)
-            g += np.bincount(ca, da[ra], minlength=len(used)) + np.bincount(cb, db[rb], minlength=len(used))
-            gb += da.sum() + db.sum()
+            was = sig(s[text])
+            now = sig(s[text] + np.bincount(version, sign * z[word], minlength=m))
+            diff = 2 * counterfactual * (was - now) / n
+            da, db = diff * was * (1 - was), -diff * now * (1 - now)
+            e += np.bincount(text, da + db, minlength=n)
+            far = np.bincount(word, sign * db[version], minlength=len(used))
+        g, gb = by_word(e) + far, e.sum()
         lr = step * n * rate / max(1.0, math.sqrt(n)) / 4
         new = z - lr * g
         new = np.sign(new) * np.maximum(np.abs(new) - lr * l1, 0)
@@ -152,9 +188,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     )
     chosen = written(chosen, "labels")
     rows = features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).toArrow()  # sample_rows rows of hashed words
-    ids, y = rows.column("ids").to_pylist(), np.array(rows.column("toxic").to_pylist(), float)
-    order = sorted(range(len(ids)), key=lambda k: (ids[k], y[k]))
-    return fit([ids[k] for k in order], y[order])
+    y = rows.column("toxic").to_numpy().astype(float)
+    texts = [ids for c in rows.column("ids").chunks for ids in (c.values[c.offsets[k].as_py() : c.offsets[k + 1].as_py()].to_numpy() for k in range(len(c)))]
+    order = sorted(range(len(texts)), key=lambda k: (texts[k].tobytes(), y[k]))
+    ids = np.concatenate([np.zeros(0, np.int32), *(texts[k] for k in order)])
+    return fit(ids, np.array([len(texts[k]) for k in order], np.int64), y[order])
 
 
 def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
