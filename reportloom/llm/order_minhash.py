@@ -13,7 +13,6 @@ buckets (none in 96: below 1e-9), j = 0.6 in 0.13 (1e-5), though not always besi
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +31,8 @@ SKETCHES = 32
 #: How far apart the two sketches of a bucket's key are.
 PAIRS = (1, 7, 13)
 THRESHOLD = 0.8
+#: Words of a text up to which an alignment holds a mask of the whole text for each word.
+SHORT = 8192
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=U) * U(BASE))
 _MAX = U((1 << 64) - 1)
 
@@ -90,57 +91,59 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     right = np.bincount(where[len(a) :], minlength=len(values))
     if max(len(a), len(b)) - int(np.minimum(left, right).sum()) > most:
         return None
-    near = _diagonals(a, b, min(most, 300))
-    return near if near is not None or most <= 300 else _rows(a, b, most)
-
-
-def _diagonals(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
-    """Furthest-reaching points in a band of diagonals, one more edit a round."""
-    n, m, gaps = len(a), len(b), {}
-
-    def slide(i: int, k: int) -> int:
-        """The first i' >= i at which a[i'] and b[i' + k] differ or end."""
-        end = min(n, m - k)
-        if k not in gaps:
-            lo = max(0, -k)
-            gaps[k] = (np.flatnonzero(a[lo:end] != b[lo + k : end + k]) + lo).tolist()
-        at = bisect_left(gaps[k], i)
-        return gaps[k][at] if at < len(gaps[k]) else max(end, i)
-
-    reach = {0: slide(0, 0)}
-    if n == m == reach[0]:
-        return 0
-    for e in range(1, most + 1):
-        new = {}
-        for k in range(-e, e + 1):
-            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -2), reach.get(k + 1, -2) + 1)
-            if i < max(0, -k) or i > n or i + k > m:
-                i = min(i, n, m - k)
-                if i < max(0, -k):
-                    continue
-            new[k] = slide(i, k)
-            if new[k] >= n and new[k] + k >= m:
-                return e
-        reach = new
-    return None
-
-
-def _rows(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
-    """The same row by row over a band of ``most`` diagonals to either side: for texts with many edits."""
-    far, width = most + 1, 2 * most + 1
-    place = np.arange(width)
-    row = np.where((place >= most) & (place - most <= len(b)), place - most, far)
-    padded = np.concatenate([np.zeros(most + 1, b.dtype), b, np.zeros(2 * most + 2, b.dtype)])
-    for i in range(1, len(a) + 1):
-        j = place + i - most  # the column of each place
-        same = padded[i : i + width] == a[i - 1]
-        new = np.minimum(row + ~same, np.append(row[1:], far) + 1)
-        new = np.where(j == 0, i, new)
-        new = np.where((j < 0) | (j > len(b)), far, new)
-        row = np.minimum(np.minimum.accumulate(new - place) + place, far)
-        row = np.where((j < 0) | (j > len(b)), far, row)
-    d = int(row[len(b) - len(a) + most])
-    return d if d <= most else None
+    return _band(a, b, most)
+
+
+def _spots(a: np.ndarray, reach: int):
+    """A function (word, j) -> which of the 2 * reach + 1 words of ``a`` around its j-th are that word, as bits."""
+    width = 2 * reach + 1
+    if len(a) <= SHORT:
+        bits: dict[int, int] = {}
+        for i, w in enumerate(a.tolist(), reach):
+            bits[w] = bits.get(w, 0) | 1 << i
+        mask = (1 << width) - 1
+        return lambda w, j: bits.get(w, 0) >> j & mask
+    # whole masks of each word would grow with the square of the text: positions, and a window's bits when needed
+    order = np.argsort(a, kind="stable")
+    values, starts = np.unique(a[order], return_index=True)
+    places = dict(zip(values.tolist(), np.split(order, starts[1:])))
+
+    def window(w: int, j: int) -> int:
+        p = places.get(w)
+        if p is None:
+            return 0
+        p = p[np.searchsorted(p, j - reach) : np.searchsorted(p, j + reach + 1)] - (j - reach)
+        flags = np.zeros(width, bool)
+        flags[p] = True
+        return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+    return window
+
+
+def _band(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """Edit distance, if at most ``most``, over a band of ``most`` diagonals to either side; a column is a few operations on long integers.
+
+    Bit k of a column stands for its k-th diagonal: up and down say where a value differs by +1 or -1 from the one
+    above it (already moved to the next column's rows), stay where it equals the one before it on its diagonal. The
+    distance is followed along the last cell's diagonal, where it never falls.
+    """
+    mask = (1 << (2 * most + 1)) - 1
+    spot = _spots(a, most)
+    up, down = mask >> most << most, 0
+    last = 1 << (len(a) - len(b) + most)
+    d = max(len(a) - len(b), 0)
+    for j, word in enumerate(b.tolist()):
+        same = spot(word, j)
+        stay = (((same & up) + up ^ up) | same | down) & mask
+        right = down | mask ^ (stay | up)
+        left = stay & up
+        if not stay & last:
+            d += 1
+            if d > most:
+                return None
+        up = left | mask ^ (stay >> 1 | right)
+        down = stay >> 1 & right
+    return d
 
 
 def at_most(a: np.ndarray, b: np.ndarray) -> int:
@@ -160,22 +163,10 @@ def at_most(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.maximum(np.diff(i), np.diff(j)).sum() - (len(i) - 1))
 
 
-def shares_enough(a: np.ndarray, b: np.ndarray, most: int) -> bool:
-    """A necessary condition for a distance of at most ``most``: an edit spoils q runs of q words at most, the rest are on both sides."""
-    for q in (2, 3):
-        x, y = (sum(w[k : len(w) - q + 1 + k].astype(np.int64) * (0x9E3779B1**k % (1 << 31)) for k in range(q)) if len(w) >= q else np.zeros(0, np.int64) for w in (a, b))
-        values, where = np.unique(np.concatenate([x, y]), return_inverse=True)
-        left = np.bincount(where[: len(x)], minlength=len(values))
-        right = np.bincount(where[len(x) :], minlength=len(values))
-        if int(np.minimum(left, right).sum()) < max(len(x), len(y)) - q * most:
-            return False
-    return True
-
-
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
-    """Whether the distance is in the band; a plain upper bound settles most copies without a look at every diagonal."""
+    """Whether the distance is in the band; a plain upper bound settles most copies without an alignment."""
     most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
-    return abs(len(a) - len(b)) <= most and (at_most(a, b) <= most or shares_enough(a, b, most) and within(a, b, most) is not None)
+    return abs(len(a) - len(b)) <= most and (at_most(a, b) <= most or within(a, b, most) is not None)
 
 
 def _binary(text_words: np.ndarray) -> tuple[int, int]:
