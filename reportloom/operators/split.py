@@ -32,14 +32,13 @@ def quality_gate(docs: DataFrame) -> DataFrame:
     )
 
 
-def line_index(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, start, line): every line with its code-point offset, all from one array pass without a shuffle."""
+def line_index(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, line_no, start, line, more): every line with its code-point offset, all from one array pass without a shuffle."""
     lines = F.split("text", "\n", -1)
     lens = F.transform(lines, lambda x: F.length(x) + 1)
     starts = F.aggregate(lens, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    return docs.select("doc_id", F.posexplode(F.arrays_zip(lines.alias("line"), F.slice(starts, F.lit(1), F.size(lines)).alias("start"))).alias("line_no", "z")).select(
-        "doc_id", "line_no", F.col("z.start").alias("start"), F.col("z.line").alias("line")
-    )
+    each = docs.select("doc_id", *more, F.posexplode(F.arrays_zip(lines.alias("line"), F.slice(starts, F.lit(1), F.size(lines)).alias("start"))).alias("line_no", "z"))
+    return each.select(*[c for c in each.columns if c != "z"], F.col("z.start").alias("start"), F.col("z.line").alias("line"))
 
 
 def matches(line: Column, regex: Column) -> Column:

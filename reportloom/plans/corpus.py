@@ -30,3 +30,19 @@ VARIANTS = (
     f"{_LEAD} || {_body(_MAIN[:5])} || repeat('财务报告' || {_LF} || '详见第三节财务报告' || {_LF}, 25) || {_body(['第六节 财务报告'])}",
 )
 REPORTS = "SELECT doc_id, CASE doc_id % 12 " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(VARIANTS)) + " END AS text FROM documents"
+
+_SHORT = _FILL.format(n=8)
+_TABLE = f"CASE WHEN doc_id % 3 = {{k}} THEN '说明文字' ELSE '编制单位:示例' END || {_LF}"
+_STATEMENTS = ["合并资产负债表", "母公司资产负债表", "合并利润表", "合并现金流量表", "合并所有者权益变动表"]
+#: Financial reports: statements with or without tables, then notes, some of them risky.
+FINANCIALS = (
+    f"SELECT doc_id, CASE doc_id % 5 WHEN 4 THEN '编制单位' || {_LF} || repeat({_SHORT} || '编制单位' || {_LF}, CAST(doc_id % 9 AS INT)) ELSE '序言' || {_LF} || '审计报告' || {_LF} || {_SHORT} || {_LF} || "
+    + " || ".join(f"'{s}' || {_LF} || {_TABLE.format(k=k % 3)} || repeat({_SHORT}, 6) || {_LF}" for k, s in enumerate(_STATEMENTS))
+    + f" || CASE WHEN doc_id % 4 = 1 THEN '' ELSE '财务报表附注' || {_LF} END || '一、公司概况' || {_LF} || {_SHORT} || {_LF} || '五、存货' || {_LF} || {_SHORT} || {_LF} || '十一、关联方及关联交易' || {_LF} || {_SHORT} END AS text FROM documents"
+)
+#: Text blocks of printed pages, from line items.
+BLOCKS = """SELECT l_orderkey AS doc_id, 1 AS page, CAST(l_partkey % 4 * 130 AS DOUBLE) AS x0, CAST(l_linenumber * 7 + l_suppkey % 5 AS DOUBLE) AS y0, CAST(l_partkey % 4 * 130 + 40 AS DOUBLE) AS x1,
+ CAST(l_linenumber * 7 + l_suppkey % 5 + 10 AS DOUBLE) AS y1, CAST(CASE WHEN l_partkey % 2 = 0 THEN 24 ELSE 10 END AS DOUBLE) AS size,
+ CASE l_partkey % 4 WHEN 0 THEN CAST(l_suppkey AS VARCHAR(20)) WHEN 1 THEN '第一节 标题' || l_linenumber WHEN 2 THEN CAST(l_linenumber AS VARCHAR(20)) ELSE '（一）小节' || l_suppkey END AS text FROM lineitem"""
+#: Lines of contents pages, one for each order and line number.
+CONTENTS_LINES = """SELECT k AS doc_id, 1 AS page, idx AS line_no, CASE s % 4 WHEN 0 THEN CAST(s AS VARCHAR(20)) WHEN 1 THEN '第' || substr('一二三四五六七', CAST(idx AS INT), 1) || '节' WHEN 2 THEN '公司治理' || idx ELSE '· · ·' END AS text FROM lines"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, catalog, classify, clean, extract, ordered, split, toc
-from .corpus import REPORTS
+from ..operators import audit, boundaries, catalog, classify, clean, extract, financial, layout, linescore, ordered, split, toc
+from .corpus import BLOCKS, CONTENTS_LINES, FINANCIALS, REPORTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -406,3 +406,153 @@ def extract_answers(spark, d):
         return lambda text: '```json\n{"subsidiaries":[{"name":"n%d","ownership_ratio":0.5}]}\n```' % len(text)
 
     return extract.facts(extract.parse(extract.ask(rows, client))).select("doc_id", "category", "name", "ratio")
+
+
+def financials(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(FINANCIALS.replace("FROM documents", "FROM {docs}"), docs=documents(spark, d))
+
+
+def blocks(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(BLOCKS.replace("FROM lineitem", "FROM {items}"), items=table(spark, d, "lineitem"))
+
+
+_KNOWN = ", ".join(f"{{'canonical': '{n}', 'alias': '{a}', 'bare': '{a.replace('、', '')}'}}" for n, words in linescore.ALIASES.items() for a in words.split(" "))
+_MARK = "^(?:第(?:[一二三四五六七八九十百零〇两]+|[0-9]+)[节章]|(?:[一二三四五六七八九十百零〇两]+|[0-9]+)[、.．\\s]|\\((?:[一二三四五六七八九十百零〇两]+|[0-9]+)\\))"
+_BARE = "regexp_replace(t, '[\\s\\x{3000}:：、，,。.．\\-—_/\\\\（）()\\[\\]【】]+', '', 'g')"
+
+
+@query(REP + f""", ls AS (SELECT doc_id, length(text) AS total, string_split(text, chr(10)) AS a FROM reports),
+ e AS (SELECT doc_id, total, i AS line_no, list_sum(list_transform(a[1:i - 1], lambda x: length(x) + 1)) AS s, trim(a[i]) AS t FROM ls, unnest(range(1, len(a) + 1)) r(i)),
+ c AS (SELECT *, {_BARE} AS bare FROM e WHERE length(t) > 1 AND NOT regexp_matches(t, '^(?:[-_=—·.\\s]+|第?\\s*[0-9]+\\s*页)$') AND NOT regexp_matches(t, '[.·•…]{{2,}}\\s*[0-9]+\\s*$') AND NOT (regexp_matches(t, '{_MARK}') AND regexp_matches(t, '\\s[0-9]{{1,4}}\\s*$'))),
+ h AS (SELECT *, list_filter([{_KNOWN}], lambda k: contains(bare, k.bare))[1] AS k FROM c WHERE length(bare) <= 70 AND len(regexp_extract_all(bare, '[0-9]')) * 100 <= length(bare) * 35 AND (regexp_matches(t, '{_MARK}') OR length(bare) <= 24))
+ SELECT doc_id, k.canonical AS canonical, t AS raw_title, CAST(line_no AS INTEGER) AS line_no, CAST(coalesce(s, 0) AS INTEGER) AS start,
+ CAST(550 + CASE WHEN regexp_matches(t, '{_MARK}') THEN 250 ELSE 0 END + CASE WHEN coalesce(s, 0) > floor(total * 0.18) THEN 100 ELSE -100 END + CASE WHEN length(t) <= 40 THEN 50 ELSE 0 END AS INTEGER) AS points FROM h WHERE k IS NOT NULL""")
+def line_scored_candidates(spark, d):
+    return linescore.scored_lines(reports(spark, d)).select("doc_id", "canonical", "raw_title", "line_no", "start", "points")
+
+
+@query()
+def line_scored_select(spark, d):
+    return linescore.pick(linescore.scored_lines(reports(spark, d))).select("doc_id", "canonical", "start", "points")
+
+
+@query()
+def line_scored_sections(spark, d):
+    r = reports(spark, d)
+    return linescore.sections(r.withColumn("text", linescore.normalised(F.col("text"))))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 4 IN (0, 2) THEN 'HIGH_RISK_NOTES' ELSE 'HIGH_FINANCIALS' END AS tier FROM part")
+def notes_tier(spark, d):
+    title = F.element_at(F.array(*[F.lit(t) for t in ("关联方关系", "存货", "承诺及或有事项", "货币资金")]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", financial.note_tier(title).alias("tier"))
+
+
+@query()
+def financial_deep_split(spark, d):
+    return financial.deep_split(financials(spark, d))
+
+
+@query()
+def financial_line_split(spark, d):
+    return financial.deep_split_lines(financials(spark, d))
+
+
+@query(f"""WITH f AS ({FINANCIALS}), a AS (SELECT doc_id, text, unnest(['审计报告', '合并资产负债表', '合并利润表', '合并现金流量表', '合并所有者权益变动表', '财务报表附注']) AS sub FROM f),
+ p AS (SELECT doc_id, text, sub, strpos(text, sub) - 1 AS s FROM a WHERE contains(text, sub)), k AS (SELECT * FROM p WHERE sub = '审计报告' OR regexp_matches(substr(text, s + 1, 300), '编制单位|项目|期末余额|本期发生|流动资产|货币资金'))
+ SELECT doc_id, sub, CAST(s AS INTEGER) AS start, CAST(coalesce(lead(s) OVER (PARTITION BY doc_id ORDER BY s), length(text)) AS INTEGER) AS "end" FROM k""")
+def fin_table_filter(spark, d):
+    f = financials(spark, d)
+    return financial.with_tables(toc.sub_sections(f.withColumnRenamed("text", "content"), aliases(spark, financial.STATEMENT_ALIASES)), f)
+
+
+def aliases(spark: SparkSession, names: dict[str, str]) -> DataFrame:
+    return spark.createDataFrame([(n, a) for n, words in names.items() for a in words.split(" ")], "sub string, alias string")
+
+
+@query()
+def fin_statements(spark, d):
+    f = financials(spark, d)
+    return financial.statements(f, toc.sub_sections(f.withColumnRenamed("text", "content"), aliases(spark, financial.STATEMENT_ALIASES)))
+
+
+@query()
+def title_places(spark, d):
+    names = F.array(*[F.lit(t) for t in ("公司简介和主要财务指标", "管理层讨论与分析", "公司治理", "重要事项", "股份变动及股东情况", "财务报告")])
+    return financial.place_titles(reports(spark, d).withColumn("titles", names))
+
+
+# Expected ranges for the short reports of the synthetic corpus.
+NEARBY = {n: (words, 0, 100_000) for n, (words, _, _) in boundaries.DEFINITIONS.items()}
+
+
+@query()
+def content_points(spark, d):
+    return boundaries.content_points(reports(spark, d), NEARBY)
+
+
+@query()
+def boundary_merge(spark, d):
+    e = table(spark, d, "events").select(F.col("user_id").alias("doc_id"), (F.unix_timestamp("ts") % 1_000_000).alias("pos"), F.col("event_type").alias("canonical"), (F.col("event_id") % 10 / 10).alias("confidence"))
+    return boundaries.merge_near(e)
+
+
+@query()
+def boundary_fill(spark, d):
+    r = reports(spark, d)
+    have = r.filter("doc_id % 2 = 0").select("doc_id", F.lit(0).alias("pos"), F.lit("公司治理").alias("canonical"), F.lit(0.9).alias("confidence"))
+    return boundaries.fill_missing(r, have, 500, NEARBY)
+
+
+@query(REP + """SELECT doc_id, CAST(u.pos AS INTEGER) AS pos, u.title AS title, u.canonical AS canonical, CAST(0.45 AS DOUBLE) AS confidence FROM (SELECT doc_id, unnest([
+ {'pos': CASE WHEN regexp_matches(text, '第[一二三四五六七八九十]+节\\s+公司治理') THEN strpos(text, regexp_extract(text, '第[一二三四五六七八九十]+节\\s+公司治理')) - 1 WHEN regexp_matches(text, '(?m)^公司治理$') THEN strpos(text, chr(10) || '公司治理' || chr(10)) ELSE 0 END, 'title': '公司治理', 'canonical': '公司治理'},
+ {'pos': 100, 'title': '环境和社会责任', 'canonical': '环境和社会责任'}]) AS u FROM reports)""")
+def merged_titles(spark, d):
+    r = reports(spark, d)
+    return boundaries.split_merged(r, r.select("doc_id", F.lit(0).alias("pos"), F.lit("第三节 公司治理、环境和社会").alias("title"), F.lit("公司治理").alias("canonical"), F.lit(0.5).alias("confidence")))
+
+
+@query()
+def block_lines(spark, d):
+    return layout.page_lines(blocks(spark, d))
+
+
+@query()
+def column_entries(spark, d):
+    return layout.column_entries(blocks(spark, d))
+
+
+@query(f"WITH {LINES_SQL}, c AS ({CONTENTS_LINES}), " + """u AS (SELECT *, regexp_matches(text, '^[0-9]+$') AS num, regexp_matches(text, '^第[一二三四五六七八九十]+节') AS ch FROM c WHERE NOT regexp_matches(text, '^[.·…\\s]+$')),
+ g AS (SELECT *, sum(num::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS e FROM u), t AS (SELECT doc_id, page, e, CAST(max(text) FILTER (num) AS BIGINT) AS target, arg_max(text, line_no) FILTER (ch) AS chapter,
+ string_agg(text, ' ' ORDER BY line_no) FILTER (NOT num AND NOT ch) AS words FROM g WHERE e > 0 GROUP BY 1, 2, 3) SELECT doc_id, page, concat_ws(' ', chapter, words) AS title, target, 0 AS level FROM t WHERE words IS NOT NULL""")
+def multi_line_entries(spark, d):
+    return layout.multi_line_entries(spark.sql(CONTENTS_LINES.replace("FROM lines", "FROM {items}"), items=numbered_lines(spark, d)))
+
+
+TURNS_SQL = "p AS (SELECT conv_id AS doc_id, CAST(turn AS INTEGER) + 1 AS page_no, text FROM conversations), e AS (SELECT doc_id, page_no AS idx, substr(text, 3, 14) AS title, CASE WHEN page_no % 2 = 0 THEN page_no % 5 END AS page FROM p WHERE length(text) > 3)"
+
+
+def turns(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Turns as pages, and entries whose titles are cut from them."""
+    p = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), (F.col("turn").cast("int") + 1).alias("page_no"), "text")
+    return p, p.filter("length(text) > 3").select("doc_id", F.col("page_no").alias("idx"), F.substring("text", 3, 14).alias("title"), F.expr("CASE WHEN page_no % 2 = 0 THEN page_no % 5 END").alias("page"))
+
+
+@query(f"WITH {TURNS_SQL} " + """SELECT doc_id, idx, title, CAST(CASE WHEN page > 0 THEN page ELSE (SELECT min(page_no) FROM p WHERE p.doc_id = e.doc_id AND page_no BETWEEN 1 AND 100 AND (contains(text, substr(title, 1, 10))
+ OR length(trim(title)) >= 4 AND contains(text, trim(title)) OR contains(regexp_replace(substr(text, 1, 500), '[\\s、，.]', '', 'g'), regexp_replace(substr(title, 1, 15), '[\\s、，.]', '', 'g')))) END AS INTEGER) AS page FROM e""")
+def locate_titles(spark, d):
+    p, e = turns(spark, d)
+    return layout.locate(e, p)
+
+
+@query(f"WITH {TURNS_SQL} " + """SELECT e.doc_id, idx, title, page, contains(text, substr(title, 1, 10)) OR contains(text, substr(trim(title), 1, 6)) OR coalesce(contains(text, list_filter(regexp_split_to_array(trim(title), '\\s+'), lambda x: length(x) >= 2)[1]), false) AS verified
+ FROM e JOIN p ON p.doc_id = e.doc_id AND p.page_no = e.page""")
+def verify_chapters(spark, d):
+    p, e = turns(spark, d)
+    return layout.verify(e, p)
+
+
+@query("SELECT l_orderkey AS doc_id, l_linenumber AS idx, CAST(CASE l_partkey % 4 WHEN 0 THEN CASE WHEN l_partkey % 7 > 1 THEN 1 ELSE 0 END WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS INTEGER) AS level FROM lineitem")
+def title_levels(spark, d):
+    name = F.element_at(F.array(*[F.lit(t) for t in ("财务报告", "第一节 概况", "1.2 概况", "（一）概况")]), (F.col("l_partkey") % 4 + 1).cast("int"))
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("idx"), layout.level(name, F.col("l_partkey") % 7 * 100).alias("level"))
