@@ -2,13 +2,14 @@
 
 A text's k-mers are its shingles of five words, labelled with how often they have occurred so far. Each of the hash
 functions picks the two least labelled k-mers and keeps them in text order: a sketch that two texts share the more
-likely the smaller their edit distance is. Texts that share two certain sketches (any of PAIRS) meet in a bucket; there
-each is held against the least text and, where that leaves a bucket unconnected, against the greatest, so candidates
-grow in proportion to the texts, not to the pairs in a bucket. A candidate is verified by alignment of the words
-within a diagonal band: similarity is 1 - edits / words of the longer text.
-
-Two texts of shingle similarity j share a sketch with probability of about j * j, so j = 0.8 meets in 0.41 of the
-buckets (none in 96: below 1e-9), j = 0.6 in 0.13 (1e-5), though not always beside the least or greatest text.
+likely the smaller their edit distance is. Texts that share a sketch meet in a bucket; there each is held against the
+least text and, where that leaves a bucket unconnected, against the greatest, so candidates grow in proportion to the
+texts, not to the pairs in a bucket. A candidate is verified by alignment of the words within a diagonal band:
+similarity is 1 - edits / words of the longer text.
+
+Two texts of shingle similarity j share a sketch with probability of about j * j: none of 48 with j = 0.8 below 1e-21,
+j = 0.42 (a tenth of the words edited, far apart from each other) in one case of ten thousand, j = 0.2
+(a fifth, the most that still counts) in 0.14. They need not meet beside the least or greatest text of a bucket.
 """
 
 from __future__ import annotations
@@ -27,9 +28,8 @@ from .links import components
 from .window_dedup import word_hashes
 
 SHINGLE = 5
-SKETCHES = 32
-#: How far apart the two sketches of a bucket's key are.
-PAIRS = (1, 7, 13)
+#: Sketches of a text, each the key of a bucket.
+SKETCHES = 48
 THRESHOLD = 0.8
 #: Words of a text up to which an alignment holds a mask of the whole text for each word.
 SHORT = 8192
@@ -53,7 +53,7 @@ def labelled(shingles: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def sketches(texts: list[np.ndarray]) -> np.ndarray:
-    """The keys of each text's buckets (texts: arrays of word hashes, none empty): a row of SKETCHES * len(PAIRS) for each."""
+    """The keys of each text's buckets (texts: arrays of word hashes, none empty): a row of SKETCHES for each."""
     own = [grams(w, SHINGLE) if len(w) >= SHINGLE else grams(w, len(w)) for w in texts]
     lens = np.array([len(o) for o in own])
     starts = np.cumsum(lens) - lens
@@ -67,7 +67,7 @@ def sketches(texts: list[np.ndarray]) -> np.ndarray:
         two = (np.minimum.reduceat(v, starts) & low).astype(np.int64)
         two = np.where(lens > 1, two, one)
         out[:, k] = mix(label[np.minimum(one, two)] * U(3) + mix(label[np.maximum(one, two)]) + _SEEDS[k])
-    return np.concatenate([mix(out * U(3) + np.roll(out, -d, axis=1) + U(d)) for d in PAIRS], axis=1)
+    return out
 
 
 def within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
@@ -195,7 +195,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         for b in batches:
             words = [_words(t) for t in b.column(1).to_pylist()]
             some = [i for i, w in enumerate(words) if len(w)]
-            out, at = np.zeros((len(words), SKETCHES * len(PAIRS)), U), 0
+            out, at = np.zeros((len(words), SKETCHES), U), 0
             while at < len(some):  # about a quarter of a million words at a time
                 end, size = at, 0
                 while end < len(some) and (end == at or size < 250_000):
@@ -204,7 +204,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 out[some[at:end]] = sketches([words[i] for i in some[at:end]])
                 at = end
             ids = [_binary(w) for w in words]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * SKETCHES * len(PAIRS), pa.int32()), _longs(out.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * SKETCHES, pa.int32()), _longs(out.ravel()))
             yield pa.RecordBatch.from_arrays([b.column(0), _longs([i[0] for i in ids]), _longs([i[1] for i in ids]), pa.array([len(w) for w in words], pa.int32()), lists], names=["doc_id", "t", "t2", "n", "sketches"])
 
     rows = docs.select("doc_id", "text")
