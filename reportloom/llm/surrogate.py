@@ -37,8 +37,9 @@ _GIVEN, _TITLE = _any(" ".join(GIVEN.values())), _any(TITLES)
 _B, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}" + _E
+ASSIGNED = r"""(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?\s{0,3}[:=]"""
 SECRET = (
-    r"""(?<=(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?\s{0,3}[:=]\s{0,3}["']?)(?=[A-Za-z0-9+/_=-]{8})[A-Za-z0-9+/_=-]+"""
+    rf"""(?<={ASSIGNED}\s{{0,3}}["']?)(?=[A-Za-z0-9+/_=-]{{8}})[A-Za-z0-9+/_=-]+"""
     r"|" + _B + r"(?:AKIA|ASIA)[0-9A-Z]{16}" + _E + "|" + _B + r"gh[pousr]_[A-Za-z0-9]{36,}" + _E
 )
 IBAN = _B + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _E
@@ -49,8 +50,9 @@ PHONE = r"(?<![\p{L}\p{N}_])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])
 NAME = rf"{_B}(?:{_GIVEN})(?= \p{{Lu}}\p{{L}})|(?<={_B}(?:{_GIVEN}) )\p{{Lu}}[\p{{L}}’'-]+|(?<={_B}(?:{_TITLE})\.? )\p{{Lu}}[\p{{L}}’'-]+"
 #: What may be private, leftmost first and in this order at one place.
 MASTER = "|".join((EMAIL, SECRET, IBAN, IP, SSN, CARD, PHONE, NAME))
-#: Texts without a match hold no entity: a digit, an at sign, a title or a given name, or an assignment.
-CHEAP = rf"[0-9@]|(?i:token|secret|passw|key)[\"' ]*[:=]|(?<![\p{{L}}])(?=\p{{Lu}})(?:{_GIVEN}|{_TITLE})\.? \p{{Lu}}"
+#: Texts without a match hold no entity, as each part of MASTER needs one: a digit (IBAN, IP, SSN, CARD, PHONE), an at sign
+#: (EMAIL), SECRET's own assignment or the start of a bare key, a title or a given name before a capital (NAME).
+CHEAP = rf"[0-9@]|{ASSIGNED}|AKIA|ASIA|gh[pousr]_|(?<![\p{{L}}])(?=\p{{Lu}})(?:{_GIVEN}|{_TITLE})\.? \p{{Lu}}"
 
 
 def chars(s: Column) -> Column:
