@@ -1,15 +1,14 @@
 """Near-duplicates by order MinHash and banded alignment.
 
-A text's k-mers are its shingles of five words, labelled with how often they have occurred so far. Each of the hash
-functions picks the two least labelled k-mers and keeps them in text order: a sketch that two texts share the more
-likely the smaller their edit distance is. Texts that share a sketch meet in a bucket; there each is held against the
-least text and, where that leaves a bucket unconnected, against the greatest, so candidates grow in proportion to the
-texts, not to the pairs in a bucket. A candidate is verified by alignment of the words within a diagonal band:
-similarity is 1 - edits / words of the longer text.
-
-Two texts of shingle similarity j share a sketch with probability of about j * j: none of 48 with j = 0.8 below 1e-21,
-j = 0.42 (a tenth of the words edited, far apart from each other) in one case of ten thousand, j = 0.2
-(a fifth, the most that still counts) in 0.14. They need not meet beside the least or greatest text of a bucket.
+A text's k-mers are its shingles of five words, labelled with how often they have occurred so far.
+Each of the hash functions picks the two least labelled k-mers of a length and keeps them in text order: a sketch that
+two texts share the more likely the smaller their edit distance is. Texts that share a sketch meet in a bucket; there
+each is held against the least text and, where that leaves a bucket unconnected, against the greatest. Members that are
+still unconnected are all held against each other, in blocks: word counts in BINS bins give a lower bound of the edits,
+and pairs that it doesn't rule out become candidates, so no pair of a bucket is skipped. A candidate is verified by
+alignment of the words within a diagonal band: similarity is 1 - edits / words of the longer text.
+
+Two texts of shingle similarity j share a sketch with probability of about j * j.
 """
 
 from __future__ import annotations
@@ -27,13 +26,17 @@ from .common import checked_broadcast, small_batches, written
 from .links import components
 from .window_dedup import word_hashes
 
-SHINGLE = 5
-#: Sketches of a text, each the key of a bucket.
+#: Words of a shingle.
+SHINGLES = (5,)
+#: Sketches of a text for each length of shingles, each the key of a bucket.
 SKETCHES = 48
+KEYS = SKETCHES * len(SHINGLES)
+#: Bins of a text's word counts, and members of a bucket that are held against each other at a time.
+BINS, BLOCK = 256, 1024
 THRESHOLD = 0.8
 #: Words of a text up to which an alignment holds a mask of the whole text for each word.
 SHORT = 8192
-_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=U) * U(BASE))
+_SEEDS = mix(np.arange(1, KEYS + 1, dtype=U) * U(BASE))
 _MAX = U((1 << 64) - 1)
 
 
@@ -53,23 +56,51 @@ def labelled(shingles: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def sketches(texts: list[np.ndarray]) -> np.ndarray:
-    """The keys of each text's buckets (texts: arrays of word hashes, none empty): a row of SKETCHES for each."""
-    own = [grams(w, SHINGLE) if len(w) >= SHINGLE else grams(w, len(w)) for w in texts]
+    """The keys of each text's buckets (texts: arrays of word hashes, none empty): a row of KEYS for each."""
+    return np.concatenate([_sketches(texts, n, _SEEDS[k * SKETCHES : (k + 1) * SKETCHES]) for k, n in enumerate(SHINGLES)], axis=1)
+
+
+def _sketches(texts: list[np.ndarray], shingle: int, seeds: np.ndarray) -> np.ndarray:
+    own = [grams(w, min(shingle, len(w))) for w in texts]
     lens = np.array([len(o) for o in own])
     starts = np.cumsum(lens) - lens
     label = labelled(np.concatenate(own), np.repeat(np.arange(len(own)), lens))
     low, spot = U((1 << 24) - 1), np.arange(len(label), dtype=U)
-    out = np.empty((len(own), SKETCHES), U)
-    for k in range(SKETCHES):
-        v = ((label ^ _SEEDS[k]) & ~low) | spot
+    out = np.empty((len(own), len(seeds)), U)
+    for k, seed in enumerate(seeds):
+        v = ((label ^ seed) & ~low) | spot
         one = (np.minimum.reduceat(v, starts) & low).astype(np.int64)
         v[one] = _MAX
         two = (np.minimum.reduceat(v, starts) & low).astype(np.int64)
         two = np.where(lens > 1, two, one)
-        out[:, k] = mix(label[np.minimum(one, two)] * U(3) + mix(label[np.maximum(one, two)]) + _SEEDS[k])
+        out[:, k] = mix(label[np.minimum(one, two)] * U(3) + mix(label[np.maximum(one, two)]) + seed)
     return out
 
 
+def binned(words: np.ndarray) -> bytes:
+    """Counts of a text's words in BINS bins, 255 at most: an edit changes one count, or two by one each."""
+    return np.minimum(np.bincount((words % BINS).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def open_pairs(n: np.ndarray, comp: np.ndarray, side: np.ndarray, bins: np.ndarray, across: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of different components (``across``: and sides) that neither lengths nor binned counts show to be unlike."""
+    order = np.argsort(n, kind="stable")
+    n, comp, side, bins = n[order], comp[order], side[order], bins[order].astype(np.int16)
+    ends = np.searchsorted(n, (n + 1e-9) / threshold, "right") if threshold > 0 else np.full(len(n), len(n))
+    left, right = [], []
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, max(i + 1, ends[i]))
+        j = j[(comp[j] != comp[i]) & (side[j] != side[i])] if across else j[comp[j] != comp[i]]
+        if not len(j):
+            continue
+        more = bins[j] - bins[i]
+        up = np.maximum(more, 0).sum(1)
+        j = j[np.maximum(up, up - more.sum(1)) <= ((1 - threshold) * n[j] + 1e-9).astype(np.int64)]
+        left.append(np.full(len(j), order[i]))
+        right.append(order[j])
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """The edit distance of two arrays if it is at most ``most``, else None."""
     if abs(len(a) - len(b)) > most:
@@ -195,7 +226,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         for b in batches:
             words = [_words(t) for t in b.column(1).to_pylist()]
             some = [i for i, w in enumerate(words) if len(w)]
-            out, at = np.zeros((len(words), SKETCHES), U), 0
+            out, at = np.zeros((len(words), KEYS), U), 0
             while at < len(some):  # about a quarter of a million words at a time
                 end, size = at, 0
                 while end < len(some) and (end == at or size < 250_000):
@@ -204,7 +235,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 out[some[at:end]] = sketches([words[i] for i in some[at:end]])
                 at = end
             ids = [_binary(w) for w in words]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * SKETCHES, pa.int32()), _longs(out.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * KEYS, pa.int32()), _longs(out.ravel()))
             yield pa.RecordBatch.from_arrays([b.column(0), _longs([i[0] for i in ids]), _longs([i[1] for i in ids]), pa.array([len(w) for w in words], pa.int32()), lists], names=["doc_id", "t", "t2", "n", "sketches"])
 
     rows = docs.select("doc_id", "text")
@@ -222,10 +253,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             words = [_words(t) for t in b.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, words)])
             low = np.concatenate([*words, np.zeros(0, U)]).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays([_longs([_binary(w)[0] for w in words]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(low, pa.int32()))], names=["t", "w"])
+            yield pa.RecordBatch.from_arrays([_longs([_binary(w)[0] for w in words]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(low, pa.int32())), pa.array([binned(w) for w in words], pa.binary())], names=["t", "w", "bins"])
 
     chosen = rows.join(reps, rows["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
-    worded_rows = chosen.mapInArrow(worded, "t long, w array<int>")
+    worded_rows = chosen.mapInArrow(worded, "t long, w array<int>, bins binary")
     words = written(worded_rows.dropDuplicates(["t"]), "words")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,8 +266,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
     def check(pairs: DataFrame) -> DataFrame:
-        w = words.withColumnRenamed("t", "b").withColumnRenamed("w", "wb")
-        v = words.withColumnRenamed("t", "a").withColumnRenamed("w", "wa")
+        w = words.select(F.col("t").alias("b"), F.col("w").alias("wb"))
+        v = words.select(F.col("t").alias("a"), F.col("w").alias("wa"))
         return written(pairs.join(w, "b").join(v, "a").select("a", "b", "wa", "wb").mapInArrow(verified, "a long, b long, ok boolean"), "verified")
 
     ratio = F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9
@@ -245,8 +276,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     tried = check(first)
     # buckets whose members aren't all connected by now: against the greatest text
     labels = written(components(tried.filter("ok")), "components")
-    named = members.select("bucket", "t", "n").join(labels.select(F.col("v").alias("t"), F.col("c").alias("l")), "t", "left").select("bucket", "t", "n", F.coalesce("l", "t").alias("comp"))
-    named = written(named, "named-members")
+    def in_components() -> DataFrame:
+        named = members.select("bucket", "t", "n").join(labels.select(F.col("v").alias("t"), F.col("c").alias("l")), "t", "left")
+        return written(named.select("bucket", "t", "n", F.coalesce("l", "t").alias("comp")), "named-members")
+
+    named = in_components()
     apart = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("t", "n", "comp")).alias("q")).filter("lo <> hi")
     more = named.join(apart.select("bucket", F.col("q.t").alias("u"), F.col("q.n").alias("m"), F.col("q.comp").alias("other")), "bucket").filter((F.col("comp") != F.col("other")) & ratio)
     more = more.select(F.least("t", "u").alias("a"), F.greatest("t", "u").alias("b")).distinct()
@@ -254,6 +288,44 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not more.isEmpty():
         tried = written(tried.unionByName(check(more)), "verified-all")
         labels = written(components(tried.filter("ok")), "components-all")
+    # what is still apart in a bucket: each against each, BLOCK by BLOCK members
+    named = in_components()
+    apart = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).filter("lo <> hi AND c > 2")
+    mixed = named.join(apart.select("bucket", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "bucket").join(words.select("t", "bins"), "t")
+    own = F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int")
+    mixed = mixed.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mixed = mixed.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "t", "n", "comp", "side", "bins")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(cols: list[np.ndarray], ends: np.ndarray) -> pa.RecordBatch:
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for at, end in zip(ends, ends[1:]):
+                _, lo, hi, t, n, comp, side, bins = (c[at:end] for c in cols)
+                i, j = open_pairs(n, comp, side, bins, bool(lo[0] != hi[0]), threshold)
+                a.append(np.minimum(t[i], t[j]))
+                b.append(np.maximum(t[i], t[j]))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:7]]
+            cols.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(-1, BINS))
+            cols = [np.concatenate(x) for x in zip(rest, cols)] if rest else cols
+            new = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])) + 1
+            if len(new):
+                yield pairs(cols, np.append(0, new))
+            rest = [c[new[-1] if len(new) else 0 :] for c in cols]
+        if rest:
+            yield pairs(rest, np.array([0, len(rest[0])]))
+
+    mixed = mixed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    left = written(mixed.mapInArrow(compared, "a long, b long").distinct(), "open-pairs")
+    left = written(left.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "open-pairs")
+    if not left.isEmpty():
+        tried = written(tried.unionByName(check(left)), "verified-whole")
+        labels = written(components(tried.filter("ok")), "components-whole")
     ok = tried.filter("ok")
     degree = ok.select(F.col("a").alias("t")).union(ok.select("b")).groupBy("t").agg(F.count("*").alias("n_links"))
     named = (

@@ -189,6 +189,29 @@ def test_order_minhash(spark):
     assert got[204].class_id == 203 and got[0].n_links > 0
 
 
+def test_order_minhash_mixed_buckets(spark):
+    passage, rows = prose(70, 100), []
+    for k in range(12):  # unlike texts with a common passage, each with a near copy that shares no other run of five words
+        own = prose(300 + k, 60).split()
+        copy = [w if i % 3 else f"new{k}x{i}" for i, w in enumerate(own)]
+        rows += [(2 * k, f"{passage} {' '.join(own)}"), (2 * k + 1, f"{passage} {' '.join(copy)}")]
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k // 2 * 2 for k in range(24)}
+
+
+def test_open_pairs():
+    r = random.Random(5)
+    texts = [np.array([r.randrange(40) for _ in range(r.randint(1, 12))]) for _ in range(60)]
+    texts += [np.append(t, 41) for t in texts[:30]]
+    n, comp, side = np.array([len(t) for t in texts]), np.array([r.randrange(20) for _ in texts]), np.array([r.randrange(2) for _ in texts])
+    bins = np.array([np.frombuffer(order_minhash.binned(t), np.uint8) for t in texts])
+    for across in (False, True):
+        i, j = order_minhash.open_pairs(n, comp, side, bins, across, 0.8)
+        found = {frozenset(x) for x in zip(i.tolist(), j.tolist())}
+        want = {frozenset((a, b)) for a in range(90) for b in range(a) if comp[a] != comp[b] and (side[a] != side[b] or not across) and order_minhash.similar(texts[a], texts[b])}
+        assert want <= found and all(comp[min(x)] != comp[max(x)] for x in found) and len(found) == len(i)
+
+
 def test_edit_distance():
     r = random.Random(2)
     for _ in range(200):
