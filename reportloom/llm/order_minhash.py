@@ -1,6 +1,6 @@
 """Near-duplicates by order MinHash and banded alignment.
 
-A text's k-mers are its shingles of five words, labelled with how often they have occurred so far.
+A text's k-mers are its shingles of five words, and those of two, labelled with how often they have occurred so far.
 Each of the hash functions picks the two least labelled k-mers of a length and keeps them in text order: a sketch that
 two texts share the more likely the smaller their edit distance is. Texts that share a sketch meet in a bucket; there
 each is held against the least text and, where that leaves a bucket unconnected, against the greatest. Members that are
@@ -8,7 +8,9 @@ still unconnected are all held against each other, in blocks: word counts in BIN
 and pairs that it doesn't rule out become candidates, so no pair of a bucket is skipped. A candidate is verified by
 alignment of the words within a diagonal band: similarity is 1 - edits / words of the longer text.
 
-Two texts of shingle similarity j share a sketch with probability of about j * j.
+Two texts of shingle similarity j share a sketch of one length with probability of about j * j. Every fifth word
+substituted (the most that counts) leaves no shingle of five words and j = 0.43 of those of two: none of 48 with
+probability of about 1e-4. README gives the measured recall.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from .common import checked_broadcast, small_batches, written
 from .links import components
 from .window_dedup import word_hashes
 
-#: Words of a shingle.
-SHINGLES = (5,)
+#: Words of a shingle: five tell texts apart, two survive edits spread over a text.
+SHINGLES = (5, 2)
 #: Sketches of a text for each length of shingles, each the key of a bucket.
 SKETCHES = 48
 KEYS = SKETCHES * len(SHINGLES)

@@ -199,6 +199,15 @@ def test_order_minhash_mixed_buckets(spark):
     assert got == {k: k // 2 * 2 for k in range(24)}
 
 
+def test_order_minhash_dispersed_edits(spark):
+    rows = []
+    for k in range(20):
+        for copy in (0, 1):  # every fifth word another one: similarity 0.8, no run of five words in common
+            rows.append((2 * k + copy, " ".join(w if i % 5 or not copy else f"new{k}x{i}" for i, w in enumerate(prose(400 + k, 100).split()))))
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k // 2 * 2 for k in range(40)}
+
+
 def test_open_pairs():
     r = random.Random(5)
     texts = [np.array([r.randrange(40) for _ in range(r.randint(1, 12))]) for _ in range(60)]
