@@ -1,8 +1,8 @@
 """Toxicity by a counterfactual-regularised classifier.
 
 A logistic model over the distinct words of a text and their beginnings (hashed) is fitted on a bounded sample of labelled documents. Each
-sentence set is also seen with its identity terms swapped within their category; the squared change of the score is
-penalised, so that naming a group moves no score. An L1 step keeps only words that bear evidence.
+sentence set is also seen with its identity terms, plain or inflected, swapped within their category, word beginnings
+included; the squared change of the score is penalised, so that naming a group moves no score. An L1 step keeps only words that bear evidence.
 """
 
 from __future__ import annotations
@@ -28,6 +28,10 @@ IDENTITY = (
     ("deaf", "blind", "disabled", "paralyzed", "autistic"),
     ("immigrant", "refugee", "foreigner", "native"),
 )
+#: Endings of inflected identity terms; they stay when a term is swapped.
+ENDINGS = ("", "s", "es", "ness")
+#: The versions of a text together weigh as much as this many.
+VERSIONS = 3
 WORDS = re.compile(r"\w+")
 #: Labelled rows that the fit may use; which ones is a hash's choice.
 SAMPLE_ROWS = 20_000
@@ -68,58 +72,67 @@ class Cache(dict):
         return x
 
 
+def forms() -> dict[str, list[str]]:
+    """What each identity term, and each inflected form, may be swapped for."""
+    out: dict[str, list[str]] = {}
+    for end in ENDINGS:
+        for row in IDENTITY:
+            for term in row:
+                out.setdefault(term + end, [other + end for other in row if other != term])
+    return out
+
+
+FORMS = forms()
+
+
+def versions(words: set[str], of) -> list[int]:
+    """The counterfactual versions of a text, as what changes: bucket + 1 where one comes, less than zero where one goes, and 0 after each version.
+
+    A version has each identity term replaced by another of its category and all else as it was, beginnings that other
+    words have too included. There are as many versions as it takes to see every alternative of every term.
+    """
+    terms = sorted(w for w in words if w in FORMS)
+    if not terms:
+        return []
+    rest = {k for w in words.difference(terms) for k in of[w]}
+    own = rest.union(*(of[w] for w in terms))
+    out = []
+    for shift in range(max(len(FORMS[w]) for w in terms)):
+        new = rest.union(*(of[FORMS[w][(k + shift) % len(FORMS[w])]] for k, w in enumerate(terms)))
+        out += [*(k + 1 for k in sorted(new - own)), *(-k - 1 for k in sorted(own - new)), 0]
+    return out
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """The distinct buckets of each text's words, beside the other columns given (doc_id, toxic)."""
+    """The distinct buckets of each text's words and its counterfactual versions, beside the other columns given (doc_id, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Cache(buckets)
         for b in batches:
-            ids = [sorted({k for w in set(WORDS.findall((t or "").lower())) for k in of[w]}) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(ids, pa.list_(pa.int32()))], names=["toxic", "ids"])
+            words = [set(WORDS.findall((t or "").lower())) for t in b.column("text").to_pylist()]
+            ids = [sorted({k for w in ws for k in of[w]}) for ws in words]
+            swaps = [versions(ws, of) for ws in words]
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(ids, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.int32()))], names=["toxic", "ids", "swaps"])
 
-    return docs.select("toxic", "text").mapInArrow(run, "toxic int, ids array<int>")
+    return docs.select("toxic", "text").mapInArrow(run, "toxic int, ids array<int>, swaps array<int>")
 
 
-def swaps() -> dict[int, list[int]]:
-    """The buckets that each identity term's bucket may be swapped for."""
-    out: dict[int, list[int]] = {}
-    for row in IDENTITY:
-        ids = [bucket(w) for w in row]
-        for i in ids:
-            out[i] = [j for j in ids if j != i]
-    return out
-
+def swapped(swaps: np.ndarray, lens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, weight of each version), (version, word, +1 or -1) of all texts' versions, one text after the other (``lens`` of each). Only words seen in the sample count."""
+    row = np.repeat(np.arange(len(lens)), lens)
+    end = swaps == 0
+    text = row[end]
+    weight = VERSIONS / np.bincount(text, minlength=len(lens))[text]
+    version = (np.cumsum(end) - end)[~end]
+    word = place[np.abs(swaps[~end]) - 1]
+    seen = word >= 0
+    return text, weight, version[seen], word[seen], np.sign(swaps[~end])[seen].astype(float)
 
-def swapped(ids: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The counterfactual versions of the texts that name a group, as what changes: (text of each version), (version, word, +1 or -1).
 
-    A version has each identity term replaced by another of its category and all else as it was, so its score is the
-    text's plus the weights that come minus those that go. Only words seen in the sample count.
-    """
-    table = swaps()
-    is_term = np.zeros(BUCKETS, bool)
-    is_term[list(table)] = True
-    have: dict[int, list[int]] = {}
-    for at in np.flatnonzero(is_term[ids]).tolist():
-        have.setdefault(int(row[at]), []).append(int(ids[at]))
-    text, version, word, sign = [], [], [], []
-    for r, terms in have.items():
-        for shift in (0, 1, 2):
-            comes = {table[i][(k + shift) % len(table[i])] for k, i in enumerate(terms)}
-            for group, way in ((terms, -1.0), (sorted(comes), 1.0)):
-                for i in group:
-                    if place[i] >= 0:
-                        version.append(len(text))
-                        word.append(place[i])
-                        sign.append(way)
-            text.append(r)
-    return np.array(text, np.int64), np.array(version, np.int64), np.array(word, np.int64), np.array(sign, float)
-
-
-def fit(ids: np.ndarray, lens: np.ndarray, y: np.ndarray, counterfactual: float = 2.0, l1: float = 3e-4, rounds: int = 300) -> tuple[np.ndarray, float]:
+def fit(ids: np.ndarray, lens: np.ndarray, y: np.ndarray, swaps: np.ndarray, swap_lens: np.ndarray, counterfactual: float = 2.0, l1: float = 3e-4, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weights by bucket and the bias, by accelerated proximal gradient steps from zero.
 
-    ids: the buckets of all texts, one text after the other (``lens`` of each). The same rows in any order give the same
+    ids: the buckets of all texts, one text after the other (``lens`` of each); swaps: their versions, likewise. The same rows in any order give the same
     model up to rounding. Sums go over BLOCK entries at a time, so memory is 8 bytes an entry and a few arrays of a block.
     """
     n = len(lens)
@@ -131,7 +144,7 @@ def fit(ids: np.ndarray, lens: np.ndarray, y: np.ndarray, counterfactual: float
     used = np.flatnonzero(count)
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
-    text, version, word, sign = swapped(ids, row, place)
+    text, weight, version, word, sign = swapped(swaps, swap_lens, place)
     col = place[ids]
     blocks = [slice(k, k + BLOCK) for k in range(0, len(col), BLOCK)]
     m = len(text)
@@ -160,7 +173,7 @@ def fit(ids: np.ndarray, lens: np.ndarray, y: np.ndarray, counterfactual: float
         if m:
             was = sig(s[text])
             now = sig(s[text] + np.bincount(version, sign * z[word], minlength=m))
-            diff = 2 * counterfactual * (was - now) / n
+            diff = 2 * counterfactual * weight * (was - now) / n
             da, db = diff * was * (1 - was), -diff * now * (1 - now)
             e += np.bincount(text, da + db, minlength=n)
             far = np.bincount(word, sign * db[version], minlength=len(used))
@@ -189,10 +202,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     chosen = written(chosen, "labels")
     rows = features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).toArrow()  # sample_rows rows of hashed words
     y = rows.column("toxic").to_numpy().astype(float)
-    texts = [ids for c in rows.column("ids").chunks for ids in (c.values[c.offsets[k].as_py() : c.offsets[k + 1].as_py()].to_numpy() for k in range(len(c)))]
-    order = sorted(range(len(texts)), key=lambda k: (texts[k].tobytes(), y[k]))
-    ids = np.concatenate([np.zeros(0, np.int32), *(texts[k] for k in order)])
-    return fit(ids, np.array([len(texts[k]) for k in order], np.int64), y[order])
+
+    def lists(name: str) -> list[np.ndarray]:
+        return [c.values[c.offsets[k].as_py() : c.offsets[k + 1].as_py()].to_numpy() for c in rows.column(name).chunks for k in range(len(c))]
+
+    texts, swaps = lists("ids"), lists("swaps")
+    order = sorted(range(len(texts)), key=lambda k: (texts[k].tobytes(), y[k], swaps[k].tobytes()))
+    flat = lambda x: (np.concatenate([np.zeros(0, np.int32), *(x[k] for k in order)]), np.array([len(x[k]) for k in order], np.int64))
+    return fit(*flat(texts), y[order], *flat(swaps))
 
 
 def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -172,6 +172,37 @@ def test_toxicity(spark):
     assert all(0 <= x.score <= 1 for x in got.values())
 
 
+def test_toxicity_of_swapped_terms(spark):
+    r, rows = random.Random(8), []
+    for k in range(1500):
+        w = prose(k, 30).split()
+        if k % 5 == 0:
+            w[3] = "rotter"
+        if r.random() < (0.9 if k % 5 == 0 else 0.2):  # the label goes with one term alone, plain or inflected
+            w[5] = r.choice(["muslim", "muslims"])
+        elif r.random() < 0.5:
+            w[5] = r.choice(["christian", "christians", "jewish", "hindus"])
+        rows.append((k, " ".join(w), int(k % 5 == 0)))
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    terms = ["muslim", "muslims", "christian", "christians", "jewish", "hindus", "buddhist"]
+    more = spark.createDataFrame([(9000 + k, f"the {t} reads", 0) for k, t in enumerate(terms)], d.schema)
+    got = {x.doc_id: x.score for x in toxicity.score(d.union(more), d.select("doc_id", "toxic")).collect()}
+    scores = [got[9000 + k] for k in range(len(terms))]
+    assert max(scores) - min(scores) < 0.02, scores
+
+
+def test_versions_recompute_beginnings():
+    name = {k: x for x in ("muslim", "musl-", "musli-", "sikh", "christian", "chri-", "chris-", "christmas") for k in [toxicity.bucket(x)]}
+    each, flat = [], toxicity.versions({"muslim", "christmas"}, toxicity.Cache(toxicity.buckets))
+    while flat:
+        end = flat.index(0)
+        each.append({(name.get(abs(k) - 1, "?"), k > 0) for k in flat[:end]})
+        flat = flat[end + 1 :]
+    gone = {("muslim", False), ("musl-", False), ("musli-", False)}
+    assert len(each) == 7 and all(gone <= v for v in each)
+    assert gone | {("christian", True)} in each and gone | {("sikh", True)} in each  # christmas has chri- and chris- anyway
+
+
 def test_order_minhash(spark):
     base = prose(50, 200).split()
     rows = [(0, " ".join(base))]
