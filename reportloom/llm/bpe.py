@@ -26,6 +26,38 @@ NONE = np.iinfo(np.int64).max
 SPACE = regex.compile(r"\p{White_Space}+")
 #: Characters that str.split() takes for blanks and Unicode doesn't.
 ODD = regex.compile("[\x1c-\x1f]")
+# Where the library's Unicode tables differ from those of Python and of the regex module (code points, hexadecimal).
+#: Letters and numbers that regex knows and the library's word pattern doesn't: those assigned after Unicode 16 or left out of its tables.
+NO_LETTERS = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F "
+    "12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF "
+    "1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+#: Marks that Python reorders or composes in NFC and the library takes for plain characters, as its tables for NFC are older.
+NO_MARKS = (
+    "7FD 898-89F 8CA-8D3 9FE C3C D3B-D3C EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF 10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 11935 11938 1193D-1193E 11943 "
+    "119E0 11A34 11A47 11A99 11D42 11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF"
+)
+#: Capitals whose small letters the library knows and Python may not: ranges, and how far the small letter is.
+CAPITALS = "1C89:1 A7CB:-A567 A7CC:1 A7CE:1 A7D2:1 A7D4:1 A7DA:1 A7DC:-A641 10D50-10D65:20 16EA0-16EB8:1B"
+
+
+def points(ranges: str) -> str:
+    """Ranges of code points as the inside of a character class."""
+    return "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) for r in ranges.split())
+
+
+def small_letters(ranges: str) -> dict[int, int]:
+    out = {}
+    for r in ranges.split():
+        span, far = r.split(":")
+        ends = [int(x, 16) for x in span.split("-")]
+        out |= {c: c + int(far, 16) for c in range(ends[0], ends[-1] + 1)}
+    return out
+
+
+PLAIN_MARKS = regex.compile(f"([{points(NO_MARKS)}])")
+SMALL = small_letters(CAPITALS)
 
 
 def byte_letters() -> list[str]:
@@ -48,7 +80,15 @@ class WordBpe:
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(pattern.replace("\\s", "\\p{White_Space}"))
+        for plain, own in (("[\\p{L}]+", "LETTERS+"), ("[\\p{N}]", "NUMBERS"), ("[^\\s\\p{L}\\p{N}]+", "OTHERS+")):
+            if plain not in pattern:
+                raise ValueError(f"a word pattern without {plain} is not supported: {pattern}")
+            pattern = pattern.replace(plain, own)
+        late = points(NO_LETTERS)
+        classes = {"LETTERS": f"[\\p{{L}}--[{late}]]", "NUMBERS": f"[\\p{{N}}--[{late}]]", "OTHERS": f"[[^\\p{{White_Space}}\\p{{L}}\\p{{N}}]||[{late}]]"}
+        for name, own in classes.items():
+            pattern = pattern.replace(name, own)
+        self.words = regex.compile(pattern, regex.V1)
         letters = byte_letters()
         self.first = np.array([vocab[c] for c in letters], np.int64)
         self.last = np.array([vocab[c + self.end] for c in letters], np.int64)
@@ -98,7 +138,13 @@ class WordBpe:
 
     def normal(self, text: str) -> str:
         """NFC, then lower case letter by letter (a final sigma has no form of its own). Blanks only part words here."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if text.isascii():
+            return text.lower()
+        if PLAIN_MARKS.search(text):
+            text = "".join([unicodedata.normalize("NFC", t) for t in PLAIN_MARKS.split(text)])
+        else:
+            text = unicodedata.normalize("NFC", text)
+        return text.replace("Σ", "σ").translate(SMALL).lower()
 
     def pieces(self, text: str) -> list[str]:
         """Words and special tokens of a text, in order. Special tokens are looked for before normalisation."""
@@ -118,7 +164,7 @@ class WordBpe:
             return
         # all at once, parted by line ends, which neither step makes, moves or takes away
         plain = self.normal("\n".join(new)).split("\n")
-        parts = [[n] if n.isalpha() else self.pieces(r) if "<|" in r else self.words.findall(n) for r, n in zip(new, plain)]
+        parts = [[n] if n.isascii() and n.isalpha() else self.pieces(r) if "<|" in r else self.words.findall(n) for r, n in zip(new, plain)]
         words = list(set().union(*parts) - self.special.keys())
         known = {w: (1, str(i), w) for w, i in self.special.items()}
         if words:

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words of a text in the contracts: runs of anything but six ASCII blanks.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -28,9 +29,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The cluster's shared folder, from spark.checkpoint.dir. Where that is unset a local session gets a temporary one; a cluster gets an error, as its executors share no local folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="reportloom-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -52,23 +55,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_by(df: DataFrame, key: str, name: str) -> DataFrame:
-    """``df`` written to the shared folder in buckets of ``key``: later joins on ``key`` don't shuffle it again."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    label = f"{name}_{uuid.uuid4().hex}"
-    (df.repartition(n, key).write.option("compression", "zstd").option("path", new_path(spark, name))
-     .bucketBy(n, key).saveAsTable(label))
-    out = spark.table(label)
-    return out
-
-
 #: Rows of a few longs that may be broadcast: about 30 MB. Larger tables are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
 
 
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, a written table, marked for broadcast if a count shows that it has at most ``rows`` rows."""
-    from pyspark.sql import functions as F
-
     return F.broadcast(df) if df.count() <= rows else df
+
+
+#: Rows of one key that a task of a salted join gets, about.
+SALT_ROWS = 1000
+
+
+def salted_join(many: DataFrame, one: DataFrame, key: str, by: str, how: str = "inner", rows: int = SALT_ROWS) -> DataFrame:
+    """``many`` joined with ``one`` (at most a row for each key): a key of more than ``rows`` rows is dealt over salts, which ``by``, a column of ``many``, decides.
+
+    Both tables are written ones, as they are read twice. Keys in need of salts are few: at most the rows of ``many`` by ``rows``.
+    """
+    hot = many.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts"))
+    hot = checked_broadcast(written(hot, "hot-keys"))
+    salted = many.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    copies = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")

@@ -117,6 +117,17 @@ def test_bpe(docs):
     assert {r.doc_id: r.n_tokens for r in bpe.encode(docs).collect()}[3] == 0
 
 
+def test_bpe_of_all_code_points():
+    tokenizers = pytest.importorskip("tokenizers")
+    lib = tokenizers.Tokenizer.from_file(bpe.default_path())
+    own = bpe.WordBpe(open(bpe.default_path(), encoding="utf-8").read())
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 4000):  # within letters, after a letter and a mark, before another mark
+        texts = [f"a{c}b á{c}\u03161 {c}{c}!" for c in points[at : at + 4000]]
+        for t, e, (_, ids, _) in zip(texts, lib.encode_batch(texts, add_special_tokens=False), own.encode_batch(texts)):
+            assert " ".join(map(str, e.ids)) == ids, ascii(t)
+
+
 def test_best_fit_decreasing():
     r = random.Random(3)
     items = [(r.randint(1, 60), str(k)) for k in range(300)]
