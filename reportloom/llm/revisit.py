@@ -16,8 +16,8 @@ KEPT_HEADERS = (
     "connection", "content-encoding", "content-length", "content-md5", "content-range", "content-type", "keep-alive",
     "proxy-authenticate", "proxy-authorization", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade",
 )
-#: Time units of a slice.
-SLICE = 4096
+#: Records of a slice of time, on average.
+SLICE_ROWS = 20_000
 
 
 def canonical_url(url: Column) -> Column:
@@ -33,20 +33,27 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(F.lit("")))
 
 
-def resolve_revisits(records: DataFrame, slice_units: int = SLICE) -> DataFrame:
+def resolve_revisits(records: DataFrame, slice_units: int | None = None) -> DataFrame:
     """One row for each revisit in ``records`` (record_id, kind, url, at long, etag, last_modified, headers map<string,string>).
 
     kind is ``response`` or ``revisit``; other kinds and null times are left out. Returns record_id, canonical_url,
     at, state, target_id and headers. state: ``resolved``; ``changed`` when a validator that both sides have differs,
     or no validator is on both; ``orphan`` without any earlier response. Only a response at a smaller time is earlier;
     of equal times the largest record_id is the latest. headers are merged only when resolved. A null URL is an
-    orphan. Repeated revisits give a row each. Other columns are ignored.
+    orphan, and takes part in no join. Repeated revisits give a row each. Names of headers are compared in lower case; of
+    names that a record has twice in different case, the last one in code point order counts. Other columns are ignored, whatever their
+    names. Empty tables give none.
     """
+    if slice_units is None:
+        lo, hi, n = records.agg(F.min("at"), F.max("at"), F.count("*")).first()
+        slice_units = max(1, (hi - lo + 1) * SLICE_ROWS // max(n, 1)) if lo is not None else 1
     r = records.filter(F.col("kind").isin("response", "revisit") & F.col("at").isNotNull()).select(
         "record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "at", "etag", "last_modified", "headers",
         F.floor(F.col("at") / F.lit(slice_units)).alias("slice"),
     )
-    full = F.when((F.col("kind") == "response") & F.col("canonical_url").isNotNull(), F.struct("at", "record_id", "etag", "last_modified", "headers"))
+    nowhere = r.filter("canonical_url IS NULL AND kind = 'revisit'")
+    r = r.filter("canonical_url IS NOT NULL")
+    full = F.when(F.col("kind") == "response", F.struct("at", "record_id", "etag", "last_modified", "headers"))
     by_time = Window.partitionBy("canonical_url", "slice").orderBy(F.col("at"), F.col("kind").desc(), F.col("record_id")).rowsBetween(Window.unboundedPreceding, -1)
     seen = r.withColumn("near", F.last(full, ignorenulls=True).over(by_time))
     order = F.when(full.isNotNull(), F.struct("at", "record_id"))
@@ -67,14 +74,24 @@ def resolve_revisits(records: DataFrame, slice_units: int = SLICE) -> DataFrame:
         .when(differ("etag") | differ("last_modified") | ~(both("etag") | both("last_modified")), "changed")
         .otherwise("resolved")
     )
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    lower = lambda m: F.transform_keys(F.coalesce(m, none), lambda k, _: F.lower(k))
-    fresh = F.map_filter(lower(F.col("headers")), lambda k, _: ~k.isin(*KEPT_HEADERS))
-    stored = F.map_filter(lower(F.col("hit.headers")), lambda k, _: ~F.map_contains_key(fresh, k))
-    return found.select(
+    fresh = F.filter(_named(F.col("headers")), lambda e: ~e["key"].isin(*KEPT_HEADERS))
+    names = F.transform(fresh, lambda e: e["key"])
+    stored = F.filter(_named(F.col("hit.headers")), lambda e: ~F.array_contains(names, e["key"]))
+    resolved = found.select(
         "record_id", "canonical_url", "at", state.alias("state"), F.col("hit.record_id").alias("target_id"),
-        F.when(state == "resolved", F.map_concat(stored, fresh)).alias("merged"),
-    ).withColumnRenamed("merged", "headers")
+        F.when(state == "resolved", F.map_from_entries(F.concat(stored, fresh))).alias("headers"),
+    )
+    kinds = {f.name: f.dataType for f in resolved.schema}
+    bare = nowhere.select("record_id", "canonical_url", "at", F.lit("orphan").alias("state"), F.lit(None).cast(kinds["target_id"]).alias("target_id"), F.lit(None).cast(kinds["headers"]).alias("headers"))
+    return resolved.unionByName(bare)
+
+
+def _named(headers: Column) -> Column:
+    """Entries with lower-case names; of names that occur twice the last one in code point order; none of a null map. No map is built, as maps can't hold a name twice."""
+    entries = F.array_sort(F.coalesce(F.map_entries(headers), F.array()))
+    names = F.transform(entries, lambda e: F.lower(e["key"]))
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(names, i + 2, 1 << 20), F.lower(e["key"])))
+    return F.transform(last, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
 
 
 def records_of_pages(pages: DataFrame, lag: int = 1000) -> DataFrame:

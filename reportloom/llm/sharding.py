@@ -1,10 +1,10 @@
 """Sharding by best-fit-decreasing bin packing.
 
 Rows with equal texts form a group that no shard boundary cuts. Groups are taken by falling size; each enters the
-bin with the tightest remaining capacity that still holds it, found in a balanced search tree. On a cluster only two
-bounded tables reach the driver: groups above a fixed share of the total (at most COARSE of them) and sums of the
-other groups by a hash of the group (COARSE hash classes), which are packed like groups. So an item is a whole group,
-or a class of small whole groups of about 1/COARSE of the total.
+bin with the tightest remaining capacity that still holds it, found in a balanced search tree. Every group is an item
+of its own, but groups of one size are alike to the packing, so the driver gets the sizes with their counts only: no
+more rows than the square root of twice all bytes, as the sizes are distinct. The groups of a size are then dealt out,
+in order, to the bins that the packing gave to that size.
 """
 
 from __future__ import annotations
@@ -12,10 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import checked_broadcast, salted_join, written
 
-#: Items that the driver packs: at most so many large groups, and as many classes of small ones.
-COARSE = 8192
 #: Rows of one slot-numbering task, on average.
 ROWS_PER_CHUNK = 20_000
 
@@ -111,6 +109,40 @@ def best_fit_decreasing(items: list[tuple], capacity: int, bins: int | None = No
     return out
 
 
+def best_fit_of_sizes(sizes: list[tuple[int, int]], capacity: int, bins: int) -> list[tuple[int, int, int, int]]:
+    """(size, from, to, bin): which of the equal items of each (size, count) enter which bin, by the rule of ``best_fit_decreasing`` with ``bins``.
+
+    An item that fits leaves its bin the tightest, so equal ones follow it until the bin holds no more: a step for each bin that they enter.
+    """
+    tree, out = CapacityTree(), []
+    for b in range(bins):
+        tree.insert((capacity, b))
+    for size, count in sorted(sizes, reverse=True):
+        at = 0
+        while at < count:
+            entry = tree.ceiling((size, -1))
+            fit = entry is not None
+            entry = entry if fit else tree.maximum()
+            some = min(count - at, max(entry[0] // size, 1)) if fit else 1
+            tree.delete(entry)
+            tree.insert((entry[0] - some * size, entry[1]))
+            if out and out[-1][0] == size and out[-1][3] == entry[1]:
+                out[-1] = (size, out[-1][1], at + some, entry[1])
+            else:
+                out.append((size, at, at + some, entry[1]))
+            at += some
+    return out
+
+
+def _ranked(rows: DataFrame, key: str, chunks: int, spread: list[str], order: list[str]) -> DataFrame:
+    """``rows``, a written table, with rank: a gapless number from 0 within ``key``, in chunks (hashes of ``spread``), so that no key is sorted in one task."""
+    rows = rows.withColumn("_chunk", F.pmod(F.xxhash64(*spread), F.lit(chunks)))
+    counts = rows.groupBy(key, "_chunk").agg(F.count("*").alias("_n"))
+    before = counts.select(key, "_chunk", (F.sum("_n").over(Window.partitionBy(key).orderBy("_chunk")) - F.col("_n")).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(*order)) - 1
+    return rows.withColumn("_within", within).join(before, [key, "_chunk"]).withColumn("rank", F.col("_before") + F.col("_within")).drop("_chunk", "_before", "_within")
+
+
 def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): its size, CRC, shard and slot, under the law ``bytes``.
 
@@ -129,30 +161,14 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
         ),
         "shard-base",
     )
-    total, rows = base.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    groups = base.groupBy("group").agg(F.sum("size").alias("group_size"))
-    klass = F.pmod(F.xxhash64("group"), F.lit(COARSE)).cast("int")
-    large = groups.filter(F.col("group_size") * COARSE > total)
-    small = groups.filter(F.col("group_size") * COARSE <= total).groupBy(klass.alias("klass")).agg(F.sum("group_size").alias("s"))
-    big = [(r[1], bytes(r[0])) for r in large.collect()]  # at most COARSE rows
-    classes = [(r[1], r[0]) for r in small.collect()]  # at most COARSE rows
-    placed = best_fit_decreasing([(s, g.hex()) for s, g in big] + [(s, f"~{c:05d}") for s, c in classes], -(-total // shards), shards)
-    of_big = spark.createDataFrame([(bytearray(g), b) for (_, g), b in zip(big, placed)], "group binary, big_shard int")
-    of_class = spark.createDataFrame([(c, b) for (_, c), b in zip(classes, placed[len(big):])], "klass int, small_shard int")
-    chunks = max(1, -(-rows // ROWS_PER_CHUNK))
-    dealt = (
-        base.join(F.broadcast(of_big), "group", "left")
-        .withColumn("klass", klass)
-        .join(F.broadcast(of_class), "klass", "left")
-        .select("doc_id", "size", "text_crc32", F.coalesce("big_shard", "small_shard").alias("shard"),
-                F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(chunks)).alias("chunk"))
-    )
-    counts = dealt.groupBy("shard", "chunk").agg(F.count("*").alias("n"))
-    before = counts.select("shard", "chunk", (F.sum("n").over(Window.partitionBy("shard").orderBy("chunk")) - F.col("n")).alias("before"))
-    within = F.row_number().over(Window.partitionBy("shard", "chunk").orderBy("doc_id", "text_crc32", "size"))
-    return (
-        dealt.withColumn("within", within - 1)
-        .join(before, ["shard", "chunk"])
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                (F.col("before") + F.col("within")).cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
-    )
+    groups = written(base.groupBy("group").agg(F.sum("size").alias("group_size")), "shard-groups")
+    sizes = [tuple(r) for r in groups.groupBy("group_size").count().collect()]  # distinct sizes: the square root of twice all bytes at most
+    total, rows = sum(s * n for s, n in sizes), sum(n for _, n in sizes)
+    placed = best_fit_of_sizes(sizes, -(-total // shards), shards)
+    runs = spark.createDataFrame(placed, "group_size long, lo long, hi long, shard int")
+    ranked = _ranked(groups, "group_size", max(1, -(-rows // ROWS_PER_CHUNK)), ["group"], ["group"])
+    of_group = ranked.join(checked_broadcast(runs), "group_size").filter("rank >= lo AND rank < hi").select("group", "shard")
+    dealt = salted_join(base, written(of_group, "group-shards"), "group", "doc_id").drop("group")
+    n = base.count()
+    slots = _ranked(written(dealt, "dealt"), "shard", max(1, -(-n // ROWS_PER_CHUNK)), ["doc_id", "text_crc32"], ["doc_id", "text_crc32", "size"])
+    return slots.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("rank").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

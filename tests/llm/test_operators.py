@@ -147,6 +147,19 @@ def test_best_fit_decreasing():
     assert bins == want
 
 
+def test_best_fit_of_sizes():
+    r = random.Random(9)
+    for _ in range(40):
+        items = sorted((r.randint(1, 30), f"{k:03d}") for k in range(r.randint(1, 120)))
+        capacity = -(-sum(s for s, _ in items) // 4)
+        want = Counter(zip((s for s, _ in items), sharding.best_fit_decreasing(items, capacity, 4)))
+        runs = sharding.best_fit_of_sizes(list(Counter(s for s, _ in items).items()), capacity, 4)
+        got = Counter()
+        for size, lo, hi, b in runs:
+            got[size, b] += hi - lo
+        assert got == want
+
+
 def test_shard(docs, spark):
     many = docs.unionByName(spark.createDataFrame([(100 + k, prose(k, 5 + k % 40), 0, "", "") for k in range(800)], SCHEMA))
     rows = sharding.shard(many).collect()
@@ -157,6 +170,15 @@ def test_shard(docs, spark):
         load[r.shard] += r["size"]
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
     assert max(load.values()) - min(load.values()) < 0.05 * sum(load.values())
+    assert dict(sharding.shard(many).dtypes)["slot"] == "bigint"
+    group = Counter()  # the whole operator against plain packing of all groups
+    for r in many.collect():
+        group[r.text or ""] += len((r.text or "").encode()) + 1
+    bins = sharding.best_fit_decreasing([(s, hashlib.sha256(t.encode()).hexdigest()) for t, s in group.items()], -(-sum(group.values()) // 8), 8)
+    want = Counter()
+    for s, b in zip(group.values(), bins):
+        want[b] += s
+    assert load == want
     shard_of = {}
     for r in rows:
         assert shard_of.setdefault((r["size"], r.text_crc32), r.shard) == r.shard
@@ -347,3 +369,31 @@ def test_revisits(spark):
     assert (got[3].state, got[3].target_id, got[3].headers) == ("resolved", 1, {"content-type": "t", "date": "3"})
     assert (got[4].state, got[4].target_id) == ("changed", 2)
     assert got[5].state == got[6].state == got[7].state == "orphan"
+
+
+def test_revisits_of_odd_records(spark):
+    kind = "record_id long, kind string, url string, at long, etag string, last_modified string, headers map<string,string>, slice string, near int"
+    rec = [
+        (1, "response", "a.com", 1, "e", "m", {"Date": "1", "date": "2", "X": "0"}, None, 0), (1, "response", "a.com", 1, "e", "m", {"Date": "1", "date": "2", "X": "0"}, None, 0),
+        (2, "revisit", "a.com", 5, "e", None, {"DATE": "3", "X-y": "4", "x-Y": "5"}, "s", 0), (2, "revisit", "a.com", 5, "e", None, {"DATE": "3", "X-y": "4", "x-Y": "5"}, "s", 0),
+        (3, "revisit", "a.com", 5, None, "n", None, None, None), (4, "revisit", "a.com", 5, "e", "m", None, None, None), (5, "revisit", None, 5, "e", "m", None, None, None), (None, "revisit", "b.com", 1, None, None, {}, None, None),
+    ]
+    df = spark.createDataFrame(rec, kind)
+    got = revisit.resolve_revisits(df).collect()
+    by = {r.record_id: r for r in got}
+    assert len(got) == 6 and got.count(by[2]) == 2 and by[2].headers == {"date": "3", "x": "0", "x-y": "5"}
+    assert (by[3].state, by[4].state, by[5].state, by[None].state) == ("changed", "resolved", "orphan", "orphan") and by[4].headers == {"date": "2", "x": "0"}
+    assert revisit.resolve_revisits(df.limit(0)).count() == 0
+
+
+def test_revisits_over_slices(spark):
+    r, rec = random.Random(4), []
+    for k in range(400):  # one URL, many slices, ties of time
+        rec.append((k, r.choice(["response", "revisit"]), "a.com", r.randrange(300), r.choice("ef"), None, {}))
+    df = spark.createDataFrame(rec, "record_id long, kind string, url string, at long, etag string, last_modified string, headers map<string,string>")
+    for units in (None, 1, 7, 1000):
+        got = {x.record_id: (x.state, x.target_id) for x in revisit.resolve_revisits(df, units).collect()}
+        for i, k, _, at, etag, *_ in rec:
+            if k == "revisit":
+                full = max(((x[3], x[0], x[4]) for x in rec if x[1] == "response" and x[3] < at), default=None)
+                assert got[i] == (("orphan", None) if full is None else ("resolved" if full[2] == etag else "changed", full[1]))
