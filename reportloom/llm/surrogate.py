@@ -3,7 +3,8 @@
 Detected entities get keyed surrogates of their type, format, script and (given names) gender. A surrogate depends on
 the key and the entity's canonical form alone, so all mentions of an entity in all documents stay one entity. The
 distinct entities of the corpus are checked together: a surrogate that another entity has, or that is itself an entity
-of the corpus, is drawn again until all are distinct. Given names change places within their list, by the key.
+of the corpus, is drawn again until all are distinct. Given names change places within their list, by the key; surnames
+keep an ending that tells gender.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import salted_join, written
 
 #: Given names by gender and script.
 GIVEN = {
@@ -25,8 +26,12 @@ GIVEN = {
 }
 #: Titles before a surname.
 TITLES = "Mr Mrs Ms Miss Mme Monsieur Madame Herr Frau Herrn Señor Señora Sr Sra Dr Prof Господин Госпожа"
+#: Endings of surnames that tell gender.
+GENDERED = "ов ова ев ева ёв ёва ин ина ын ына ский ская цкий цкая ой ая ий ый"
 ATTEMPTS = 12
 DEFAULT_KEY = "change this key"
+#: Bytes of text in a task of patterns, up to MANY_TASKS of them, and beyond.
+SMALL_TASK, MANY_TASKS, LARGE_TASK = 1 << 20, 4096, 1 << 26
 
 
 def _any(words: str) -> str:
@@ -44,13 +49,14 @@ SECRET = (
 )
 IBAN = _B + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _E
 IP = r"(?<![\p{L}\p{N}_.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}_]|\.\d)"
+IPV6 = r"(?<![\p{L}\p{N}_:.])(?=[0-9A-Fa-f]{0,3}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\p{L}\p{N}_:])"
 SSN = r"(?<![\p{L}\p{N}_-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}_-])"
 CARD = r"(?<![\p{L}\p{N}_])\d(?:[ -]?\d){12,18}" + _E
 PHONE = r"(?<![\p{L}\p{N}_])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{4}" + _E + r"|(?<![\p{L}\p{N}_])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}" + _E
 NAME = rf"{_B}(?:{_GIVEN})(?= \p{{Lu}}\p{{L}})|(?<={_B}(?:{_GIVEN}) )\p{{Lu}}[\p{{L}}’'-]+|(?<={_B}(?:{_TITLE})\.? )\p{{Lu}}[\p{{L}}’'-]+"
 #: What may be private, leftmost first and in this order at one place.
-MASTER = "|".join((EMAIL, SECRET, IBAN, IP, SSN, CARD, PHONE, NAME))
-#: Texts without a match hold no entity, as each part of MASTER needs one: a digit (IBAN, IP, SSN, CARD, PHONE), an at sign
+MASTER = "|".join((EMAIL, SECRET, IBAN, IP, IPV6, SSN, CARD, PHONE, NAME))
+#: Texts without a match hold no entity, as each part of MASTER needs one: a digit (IBAN, IP, IPV6, SSN, CARD, PHONE), an at sign
 #: (EMAIL), SECRET's own assignment or the start of a bare key, a title or a given name before a capital (NAME).
 CHEAP = rf"[0-9@]|{ASSIGNED}|AKIA|ASIA|gh[pousr]_|(?<![\p{{L}}])(?=\p{{Lu}})(?:{_GIVEN}|{_TITLE})\.? \p{{Lu}}"
 
@@ -80,6 +86,7 @@ def kind_of(m: Column) -> Column:
     return (
         F.when(m.contains("@"), "email")
         .when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
+        .when(m.rlike("^[0-9A-Fa-f:]*:[0-9A-Fa-f]*:[0-9A-Fa-f:]*$"), "ipv6")
         .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), F.when((luhn(digits) == 0) & digits.rlike("^[3-6]"), "card"))
         .when(m.rlike(r"^[+(]?\d[\d() .-]*$"), "phone")
@@ -120,12 +127,14 @@ def drawn(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     salt = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
     stream = F.concat(F.sha2(salt, 512), F.sha2(F.concat(salt, F.lit("|+")), 512))
     at = lambda i: F.conv(stream.substr(i % 128 * 2 + 1, F.lit(2)), 16, 10).cast("int")
-    hexed = (kind == "secret") & canon.rlike("^[0-9a-f]+$")
-    tld = F.when(kind == "email", F.length(F.regexp_extract(canon, r"\.([^.]*)$", 1))).otherwise(0)
-    same = F.when(kind == "iban", 2).when(kind == "phone", F.greatest(F.length(canon) - 10, F.lit(0))).otherwise(0)  # country, country code
+    hexed = (kind == "secret") & canon.rlike("^[0-9a-f]+$") | (kind == "ipv6")
+    ending = F.length(F.regexp_extract(canon, f"^..+?({_any(GENDERED)})$", 1))
+    tail = F.when(kind == "email", F.length(F.regexp_extract(canon, r"\.([^.]*)$", 1))).when(kind == "surname", ending).otherwise(0)  # top domain, gender
+    network = F.length(F.regexp_extract(canon, "^([^:]*:)", 1))
+    same = F.when(kind == "iban", 2).when(kind == "phone", F.greatest(F.length(canon) - 10, F.lit(0))).when(kind == "ipv6", network).otherwise(0)  # country, country code, network
 
     def one(c: Column, i: Column) -> Column:
-        out = F.when((i < same) | (i >= F.length(canon) - tld), c).when(hexed, F.lit("0123456789abcdef").substr(at(i) % 16 + 1, F.lit(1)))
+        out = F.when((i < same) | (i >= F.length(canon) - tail) | (c == ":"), c).when(hexed, F.lit("0123456789abcdef").substr(at(i) % 16 + 1, F.lit(1)))
         first = (i == 0) & (c != "0") & (kind != "secret")
         out = out.when(first & c.rlike("[0-9]"), F.lit("123456789").substr(at(i) % 9 + 1, F.lit(1)))
         for letters in ALPHABETS:
@@ -190,7 +199,7 @@ def worn(kind: Column, mention: Column, fake: Column) -> Column:
         F.when(kind.isin("card", "phone", "ssn") & (F.length(F.regexp_replace(mention, "[^0-9]", "")) == F.length(fake)), digits)
         .when((kind == "iban") & (F.length(F.regexp_replace(mention, " ", "")) == F.length(fake)), spaced)
         .when(kind.isin("given", "surname"), name)
-        .when((kind == "email") | (kind == "secret") & fake.rlike("^[0-9a-f]+$") & mention.rlike("^[0-9a-fA-F]+$"), F.when((mention == F.upper(mention)) & mention.rlike("[A-Z]"), F.upper(fake)).when(whole, cased).otherwise(fake))
+        .when(kind.isin("email", "ipv6") | (kind == "secret") & fake.rlike("^[0-9a-f]+$") & mention.rlike("^[0-9a-fA-F]+$"), F.when((mention == F.upper(mention)) & mention.rlike("[A-Z]"), F.upper(fake)).when(whole, cased).otherwise(fake))
         .otherwise(fake)
     )
 
@@ -206,9 +215,14 @@ def anonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     rest = docs.filter(~maybe).select(*columns, F.lit(0).cast("long").alias("n_entities"))
     base = docs.filter(maybe).select(F.struct(*columns).alias("row"), F.unhex(F.sha2("text", 256)).alias("tkey"))
     base = written(base, "maybe-private")
-    texts = base.groupBy("tkey").agg(F.any_value("row.text").alias("text"))
+    # patterns are slow, so distinct texts are dealt over many tasks, and taken apart once
+    size = base.agg(F.coalesce(F.sum(F.octet_length("row.text")), F.lit(0))).first()[0]
+    tasks = max(1, min(size // SMALL_TASK, MANY_TASKS), size // LARGE_TASK)
+    texts = base.groupBy("tkey").agg(F.any_value("row.text").alias("text")).repartition(tasks, "tkey")
+    parts = texts.select("tkey", F.split("text", MASTER, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(MASTER), F.lit(0)).alias("old"))
+    parts = written(parts.filter(F.size("old") > 0), "parts")
     found = (
-        texts.select("tkey", F.posexplode(F.regexp_extract_all("text", F.lit(MASTER), F.lit(0))).alias("at", "mention"))
+        parts.select("tkey", F.posexplode("old").alias("at", "mention"))
         .withColumn("kind", kind_of(F.col("mention")))
         .filter("kind IS NOT NULL")
         .withColumn("canon", canonical(F.col("kind"), F.col("mention")))
@@ -216,15 +230,14 @@ def anonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     found = written(found, "mentions")
     fakes = written(surrogates(found.select("kind", "canon").distinct(), key), "fakes")
     new = (
-        found.join(fakes, ["kind", "canon"])
+        salted_join(found.withColumn("entity", F.xxhash64("kind", "canon")), fakes.withColumn("entity", F.xxhash64("kind", "canon")).select("entity", F.col("kind").alias("k"), F.col("canon").alias("c"), "fake"), "entity", "tkey")
+        .filter("kind = k AND canon = c")
         .select("tkey", F.struct("at", worn(F.col("kind"), F.col("mention"), F.col("fake")).alias("new")).alias("m"))
         .groupBy("tkey").agg(F.map_from_entries(F.collect_list("m")).alias("new"))
     )
-    gaps = F.split("row.text", MASTER, -1)
-    old = F.regexp_extract_all("row.text", F.lit(MASTER), F.lit(0))
-    text = F.array_join(F.transform(gaps, lambda g, i: F.concat(F.when(i > 0, F.coalesce(F.col("new")[i - 1], F.get(old, i - 1))).otherwise(F.lit("")), g)), "")
-    put = base.join(new, "tkey", "left").select(
-        *[F.when(F.col("new").isNull(), F.col("row.text")).otherwise(text).alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns],
-        F.coalesce(F.size(F.map_keys("new")), F.lit(0)).cast("long").alias("n_entities"),
+    text = F.array_join(F.transform("gaps", lambda g, i: F.concat(F.when(i > 0, F.coalesce(F.col("new")[i - 1], F.get("old", i - 1))).otherwise(F.lit("")), g)), "")
+    done = written(parts.join(new, "tkey").select("tkey", text.alias("new_text"), F.size(F.map_keys("new")).cast("long").alias("n")), "replaced")
+    put = salted_join(base, done, "tkey", "row.doc_id" if "doc_id" in columns else "row", "left").select(
+        *[F.coalesce("new_text", "row.text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns], F.coalesce("n", F.lit(0).cast("long")).alias("n_entities")
     )
     return put.unionByName(rest)
