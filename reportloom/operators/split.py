@@ -1,7 +1,9 @@
 """Section boundaries: lines, candidates, contents skipping, ordered selection and spans.
 
-Candidates of a document are few (caps for each section), so its selection is a fold over one sorted array; all else is
-joins with the broadcast catalogue, whose size is fixed, and windows over (doc_id, section).
+All lines of a document are numbered in one window; only lines that hold an alias go on. Candidates of a document are
+few (caps for each section), so from there on a document is one row with an array of candidates, and contents skipping,
+selection and merging are expressions on it. Lines, caps and arrays share the partitioning by doc_id, so there is one
+shuffle of line lengths, and one of texts when the spans are cut.
 """
 
 from __future__ import annotations
@@ -9,13 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import count_of, strip
+from ..functions.text import count_of, let, strip
 from . import catalog
 
 LOW_TEXT = 500
 WEAK_CAP, FALLBACK_CAP, ANCHOR_OFFSET, EARLY = 20, 10, 200, 1000
 
 
+SOURCES = {1: "strong", 2: "weak", 3: "fallback"}
+
+
 def quality_gate(docs: DataFrame) -> DataFrame:
     """docs with status and reason: a summary in the first 30 lines, then empty, short, undecoded or hardly Chinese texts."""
     t = F.coalesce("text", F.lit(""))
@@ -32,13 +37,18 @@ def quality_gate(docs: DataFrame) -> DataFrame:
     )
 
 
-def line_index(docs: DataFrame, *more: Column) -> DataFrame:
-    """(doc_id, line_no, start, line, more): every line with its code-point offset, all from one array pass without a shuffle."""
-    lines = F.split("text", "\n", -1)
-    lens = F.transform(lines, lambda x: F.length(x) + 1)
-    starts = F.aggregate(lens, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    each = docs.select("doc_id", *more, F.posexplode(F.arrays_zip(lines.alias("line"), F.slice(starts, F.lit(1), F.size(lines)).alias("start"))).alias("line_no", "z"))
-    return each.select(*[c for c in each.columns if c != "z"], F.col("z.start").alias("start"), F.col("z.line").alias("line"))
+def line_index(docs: DataFrame, *more: Column, keep: Column | None = None) -> DataFrame:
+    """(doc_id, more, line_no, start, line): every line with its code-point offset, a running sum over the document's lines.
+
+    With ``keep``, a condition on the column line, only lines that meet it are given, and no other text is shuffled.
+    """
+    each = docs.select("doc_id", *more, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("size", F.length("line") + 1)
+    if keep is not None:
+        each = each.withColumn("line", F.when(keep, F.col("line")))
+    before = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    out = each.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("int")).drop("size")
+    out = out.select(*[c for c in out.columns if c not in ("line_no", "start", "line")], "line_no", "start", "line")
+    return out if keep is None else out.filter("line IS NOT NULL")
 
 
 def matches(line: Column, regex: Column) -> Column:
@@ -51,90 +61,156 @@ def matches(line: Column, regex: Column) -> Column:
 
 def likely_heading(raw: Column, at: Column, end: Column) -> Column:
     """Whether a match in a line is a title. Offsets count in the raw line but cut the stripped one, as the behaviour to match has it."""
-    line = strip(raw)
-    cut = lambda a, b: F.substring(line, a + 1, F.greatest(b - a, F.lit(0)))
-    after, before, hit = F.substring(line, end + 1, F.length(line)), strip(cut(F.lit(0), at)), cut(at, end)
-    dots = F.length(after) - F.length(F.translate(after, ".．…·", ""))
-    header = before.rlike(catalog.PAGE_HEADER)
-    loose = ~hit.rlike(catalog.NUMBERING)
-    numbered = before.rlike(rf"^(?:{catalog.NUMBERING}|\d+\s*[、.．])?$")
-    ratio = (end - at) / F.length(line)
-    bad = (
-        (F.length(line) == 0) | (dots > 5) | (count_of(line, "/") >= 2) | (count_of(line, "-") >= 3) | (count_of(line, "—") >= 2)
-        | strip(after).rlike(r"(?U)^\d+$") | line.rlike(r"(?U)\s{5,}\d+$") | line.rlike(r"(?U)^\d+\s+")
-        | before.rlike("详见|参见|请参阅|参考|阅读|查阅") | before.rlike('["“”]')
-        | (loose & (before != "") & ~header & ~numbered & (F.length(before) <= 20) & before.rlike(catalog.HAN + "{3,}"))
-        | (loose & (ratio < F.when(header, 0.1).otherwise(0.25)))
-    )
-    return ~bad
+
+    def judged(line: Column) -> Column:
+        cut = lambda a, b: F.substring(line, a + 1, F.greatest(b - a, F.lit(0)))
+        parts = F.struct(F.substring(line, end + 1, F.length(line)).alias("after"), strip(cut(F.lit(0), at)).alias("before"), cut(at, end).alias("hit"))
+        return let(parts, lambda p: accepted(line, p["after"], p["before"], p["hit"]))
+
+    def accepted(line: Column, after: Column, before: Column, hit: Column) -> Column:
+        dots = F.length(after) - F.length(F.translate(after, ".．…·", ""))
+        header = before.rlike(catalog.PAGE_HEADER)
+        loose = ~hit.rlike(catalog.NUMBERING)
+        numbered = before.rlike(rf"^(?:{catalog.NUMBERING}|\d+\s*[、.．])?$")
+        ratio = (end - at) / F.length(line)
+        bad = (
+            (F.length(line) == 0) | (dots > 5) | (count_of(line, "/") >= 2) | (count_of(line, "-") >= 3) | (count_of(line, "—") >= 2)
+            | strip(after).rlike(r"(?U)^\d+$") | line.rlike(r"(?U)\s{5,}\d+$") | line.rlike(r"(?U)^\d+\s+")
+            | before.rlike("详见|参见|请参阅|参考|阅读|查阅") | before.rlike('["“”]')
+            | (loose & (before != "") & ~header & ~numbered & (F.length(before) <= 20) & before.rlike(catalog.HAN + "{3,}"))
+            | (loose & (ratio < F.when(header, 0.1).otherwise(0.25)))
+        )
+        return ~bad
+
+    return let(strip(raw), judged)
 
 
 def candidates(docs: DataFrame, sections: DataFrame) -> DataFrame:
     """All title candidates of three tiers, capped in alias order: 20 bare titles and 10 fallbacks for each section."""
-    lines = line_index(docs).filter(F.col("line").rlike(catalog.any_alias()))
-    # a plain containment test lets few pairs of line and alias through to the pattern itself
-    pairs = lines.withColumn("compact", F.translate("line", " \t", "")).join(F.broadcast(sections), F.expr("contains(compact, alias)"))
-    found = pairs.withColumn("m", F.explode(matches(F.col("line"), F.col("regex"))))
-    at, end = F.col("m.at"), F.col("m.at") + F.length("m.hit")
-    c = found.filter(likely_heading(F.col("line"), at, end)).select(
-        "doc_id", "section_idx", "canonical", "ord", "alias_idx", "alias", "tier", (F.col("start") + at).alias("start"), (F.col("start") + end).alias("end"), strip(F.col("line")).alias("line_text")
-    )
+    lines = line_index(docs, keep=F.col("line").rlike(catalog.any_alias()))
+    # the catalogue is one row with an array, of a fixed size; a plain containment test lets few aliases through to their patterns
+    fields = ("section_idx", "canonical", "ord", "alias_idx", "alias", "tier", "regex")
+    names = sections.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("names"))
+    compact = F.translate("line", " \t", "")
+    held = let(compact, lambda c: F.filter("names", lambda x: F.contains(c, x["alias"])))
+    pairs = lines.crossJoin(F.broadcast(names)).select("doc_id", "start", "line", F.explode(held).alias("x"))
+    found = pairs.select("doc_id", "start", "line", "x", F.explode(matches(F.col("line"), F.col("x.regex"))).alias("m"))
+    at = F.col("m.at")
+    end = at + F.length("m.hit")
+    title = F.when(likely_heading(F.col("line"), at, end), strip(F.col("line")))
+    # exploding the title's array leaves no filter to be pushed below, which would copy the whole test for each use
+    c = found.select(
+        "doc_id", *[F.col(f"x.{f}").alias(f) for f in fields if f != "regex"], (F.col("start") + at).alias("start"), (F.col("start") + end).alias("end"),
+        F.explode(F.array_compact(F.array(title))).alias("line_text"),
+    )
     rank = F.row_number().over(Window.partitionBy("doc_id", "section_idx", "tier").orderBy("alias_idx", "start"))
     capped = c.withColumn("rank", rank).filter((F.col("tier") == 1) | (F.col("tier") == 2) & (F.col("rank") <= WEAK_CAP) | (F.col("tier") == 3) & (F.col("rank") <= FALLBACK_CAP))
     return capped.filter((F.col("tier") != 2) | (F.col("start") >= EARLY) | (F.length("line_text") > 6)).drop("rank")
 
 
-def skip_contents(found: DataFrame) -> DataFrame:
-    """Titles before the anchor's neighbourhood (contents pages) go: the first anchor section with a match at 1000 or later, or a numbered one. Fallbacks aren't touched."""
+_ITEM = "struct<tier:int,start:int,neg:int,section_idx:int,alias_idx:int,end:int,canonical:string,ord:int,alias:string,line_text:string,reason:string>"
+
+
+def gathered(found: DataFrame) -> DataFrame:
+    """(doc_id, found): a document's candidates in the order of trial: tier, place, longer alias first (but for fallbacks), section, alias."""
+    neg = F.when(F.col("tier") < 3, -F.length("alias")).otherwise(0).alias("neg")
+    item = F.struct("tier", "start", neg, "section_idx", "alias_idx", "end", "canonical", "ord", "alias", "line_text", F.lit(None).cast("string").alias("reason"))
+    return found.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("found"))
+
+
+def after_contents(found: Column) -> Column:
+    """Candidates without those of contents pages: the first anchor section with a match at 1000 or later, or a numbered one, tells where the text begins.
+
+    What stands before that anchor's neighbourhood goes; fallbacks aren't touched. If no numbered title of the anchor's own section is left, its
+    first candidate (by tier and alias) comes back.
+    """
     names = F.array(*[F.lit(a) for a in catalog.ANCHORS])
-    rank = F.array_position(names, F.col("canonical"))
-    fit = (F.col("tier") < 3) & (rank > 0) & ((F.col("start") >= EARLY) | (F.col("tier") == 1))
-    anchor = found.filter(fit).groupBy("doc_id").agg(F.min(F.struct(rank.alias("rank"), F.col("start").alias("start"))).alias("a"))
-    joined = found.join(anchor, "doc_id", "left")
-    late = F.col("a").isNull() | (F.col("start") >= F.col("a.start") + ANCHOR_OFFSET) | (F.col("tier") == 3)
-    own = (F.col("tier") < 3) & (F.col("canonical") == F.element_at(names, F.coalesce(F.col("a.rank"), F.lit(1)).cast("int")))
-    generation = F.row_number().over(Window.partitionBy("doc_id", "own").orderBy("tier", "alias_idx", "start"))
-    marked = joined.withColumn("late", late).withColumn("own", own).withColumn("generation", generation)
-    strong = F.max((F.col("late") & F.col("own") & (F.col("tier") == 1)).cast("int")).over(Window.partitionBy("doc_id"))
-    marked = marked.withColumn("strong", strong)
-    back = F.col("own") & (F.col("generation") == 1) & (F.col("strong") == 0) & F.col("a").isNotNull()
-    return marked.filter(F.col("late") | back).drop("a", "late", "own", "generation", "strong")
-
-
-def selected(found: DataFrame) -> DataFrame:
-    """The accepted boundaries of each document: in order of tier, place and alias length, one is taken if its section is new and no order inverts."""
-    item = F.struct("tier", "start", F.when(F.col("tier") < 3, -F.length("alias")).otherwise(0).alias("neg"), "section_idx", "alias_idx", "end", "canonical", "ord", "alias", "line_text")
-    rows = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = "array<struct<tier:int,start:int,neg:int,section_idx:int,alias_idx:int,end:int,canonical:string,ord:int,alias:string,line_text:string>>"
-    fits = lambda acc, c: F.forall(acc, lambda a: (a["canonical"] != c["canonical"]) & F.when(a["start"] <= c["start"], a["ord"] <= c["ord"]).otherwise(a["ord"] >= c["ord"]))
-    fold = F.aggregate("items", F.array().cast(kind), lambda acc, c: F.when(fits(acc, c), F.concat(acc, F.array(c.cast(kind[6:-1])))).otherwise(acc))
-    return rows.select("doc_id", F.explode(fold).alias("x")).select("doc_id", "x.*").drop("neg")
-
-
-def merge_audit(accepted: DataFrame, near: int = 500) -> DataFrame:
-    """An audit report's title within ``near`` characters of a neighbouring financial report goes into that one."""
-    w = Window.partitionBy("doc_id").orderBy("start", "ord", "section_idx")
-    beside = lambda f: (f("canonical").over(w) == "财务报告") & (F.abs(f("start").over(w) - F.col("start")) <= near)
-    drop = (F.col("canonical") == "审计报告") & (F.coalesce(beside(F.lag), F.lit(False)) | F.coalesce(beside(F.lead), F.lit(False)))
-    return accepted.withColumn("drop", drop).filter(~F.col("drop")).drop("drop")
-
-
-def spans(docs: DataFrame, accepted: DataFrame) -> DataFrame:
-    """(doc_id, ord, canonical, start, end, content): each boundary runs to the next; text before the first is a preamble unless blank."""
-    w = Window.partitionBy("doc_id").orderBy("start", "ord", "section_idx")
-    closed = accepted.withColumn("next", F.lead("start").over(w)).withColumn("first", F.min("start").over(Window.partitionBy("doc_id")))
-    own = closed.select("doc_id", "ord", "canonical", "start", "next")
-    head = closed.groupBy("doc_id").agg(F.min("first").alias("next")).select("doc_id", F.lit(10).alias("ord"), F.lit("前言及重要提示").alias("canonical"), F.lit(0).alias("start"), "next")
-    both = own.unionByName(head).join(docs.select("doc_id", "text"), "doc_id")
+    rank = lambda x: F.array_position(names, x["canonical"])
+
+    def kept(items: Column) -> Column:
+        fit = F.filter(items, lambda x: (x["tier"] < 3) & (rank(x) > 0) & ((x["start"] >= EARLY) | (x["tier"] == 1)))
+        anchor = F.array_min(F.transform(fit, lambda x: F.struct(rank(x).alias("rank"), x["start"].alias("start"))))
+        return let(anchor, lambda a: F.when(a.isNull(), items).otherwise(behind(items, a)))
+
+    def behind(items: Column, a: Column) -> Column:
+        own = F.filter(items, lambda x: (x["tier"] < 3) & (rank(x) == a["rank"]))
+        late = lambda x: (x["tier"] == 3) | (x["start"] >= a["start"] + ANCHOR_OFFSET)
+        order = lambda x: F.struct(x["tier"], x["alias_idx"], x["start"])
+        strong = F.exists(own, lambda x: late(x) & (x["tier"] == 1))
+        back = F.struct(strong.alias("strong"), F.array_min(F.transform(own, order)).alias("first"))
+        return let(back, lambda b: F.filter(items, lambda x: late(x) | ~b["strong"] & (rank(x) == a["rank"]) & (order(x) == b["first"])))
+
+    return let(found, kept)
+
+
+def judged(items: Column) -> Column:
+    """``items`` in their order, each with reason: null if it is accepted, else why not.
+
+    One is accepted if its section is new and no order inverts. A fallback for a section that has a title already isn't even tried, so it is left out.
+    """
+    name = lambda x: F.concat(x["canonical"], F.lit("("), x["ord"].cast("string"), F.lit(")"))
+    inverted = lambda a, b: F.concat(F.lit("section_order_inversion:"), name(a), F.lit(" -> "), name(b))
+    twice = lambda c: F.when(c["tier"] == 1, "duplicate_section_not_overwrite").when(c["tier"] == 2, "weak_match_after_strong_exists").otherwise("fallback_after_exists")
+
+    def step(acc: Column, c: Column) -> Column:
+        taken = F.filter(acc, lambda a: a["reason"].isNull())
+        # neighbours by place among those accepted; of equal places the later accepted comes later
+        before = F.filter(taken, lambda a: a["start"] <= c["start"])
+        after = F.filter(taken, lambda a: a["start"] > c["start"])
+        prev = F.array_max(F.transform(before, lambda a: F.struct(a["start"], a["ord"], a["canonical"])))
+        next_ = F.array_min(F.transform(after, lambda a: F.struct(a["start"], a["ord"], a["canonical"])))
+        why = let(
+            F.struct(F.filter(taken, lambda a: a["canonical"] == c["canonical"]).alias("same"), prev.alias("prev"), next_.alias("next")),
+            lambda n: F.when(F.size(n["same"]) > 0, twice(c)).when(c["ord"] < n["prev"]["ord"], inverted(n["prev"], c)).when(n["next"]["ord"] < c["ord"], inverted(c, n["next"])),
+        )
+        untried = (c["tier"] == 3) & F.exists(taken, lambda a: (a["canonical"] == c["canonical"]) & (a["tier"] < 3))
+        return F.when(untried, acc).otherwise(F.concat(acc, F.array(c.withField("reason", why))))
+
+    return F.aggregate(items, F.array().cast(f"array<{_ITEM}>"), step)
+
+
+def merged_audit(accepted: Column, near: int = 500) -> Column:
+    """Accepted ones by place; an audit report's title less than ``near`` characters from a neighbouring financial report gets a reason: it goes into that one."""
+    by_place = F.array_sort(accepted, lambda a, b: F.when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1)).when(a["ord"] != b["ord"], F.when(a["ord"] < b["ord"], -1).otherwise(1)).otherwise(F.when(a["section_idx"] < b["section_idx"], -1).when(a["section_idx"] > b["section_idx"], 1).otherwise(0)))
+
+    def marked(items: Column) -> Column:
+        beside = lambda n, x: F.coalesce((n["canonical"] == "财务报告") & (F.abs(n["start"] - x["start"]) < near), F.lit(False))
+        drop = lambda x, i: (x["canonical"] == "审计报告") & (beside(F.get(items, i - 1), x) | beside(F.get(items, i + 1), x))
+        return F.transform(items, lambda x, i: F.when(drop(x, i), x.withField("reason", F.lit("merged_into_adjacent_财务报告"))).otherwise(x))
+
+    return let(by_place, marked)
+
+
+def boundaries(docs: DataFrame, sections: DataFrame) -> DataFrame:
+    """(doc_id, found, kept, accepted, rejected) of documents with a candidate: candidates, those behind the contents, boundaries by place, and the others with their reasons."""
+    found = gathered(candidates(docs, sections))
+    kept = found.withColumn("kept", after_contents(F.col("found")))
+    tried = kept.withColumn("tried", judged(F.col("kept")))
+    merged = tried.withColumn("merged", merged_audit(F.filter("tried", lambda x: x["reason"].isNull())))
+    out = F.concat(F.filter("tried", lambda x: x["reason"].isNotNull()), F.filter("merged", lambda x: x["reason"].isNotNull()))
+    return merged.select("doc_id", "found", "kept", F.filter("merged", lambda x: x["reason"].isNull()).alias("accepted"), out.alias("rejected"))
+
+
+PREAMBLE = "前言及重要提示"
+
+
+def spans(docs: DataFrame, cut: DataFrame) -> DataFrame:
+    """(doc_id, ord, canonical, start, end, content): each boundary of ``cut`` (doc_id, accepted) runs to the next; text before the first is a preamble unless blank."""
+    head = F.struct(F.lit(10).alias("ord"), F.lit(PREAMBLE).alias("canonical"), F.lit(0).alias("start"))
+    marks = F.concat(F.array(head), F.transform("accepted", lambda x: F.struct(x["ord"].alias("ord"), x["canonical"].alias("canonical"), x["start"].alias("start"))))
+    closed = let(marks, lambda ms: F.transform(ms, lambda x, i: F.struct(x["ord"].alias("ord"), x["canonical"].alias("canonical"), x["start"].alias("start"), F.get(ms, i + 1)["start"].alias("next"))))
+    # the preamble of a text that begins with a title is empty
+    own = cut.filter(F.size("accepted") > 0).select("doc_id", F.explode(closed).alias("x")).filter("x.canonical <> '%s' OR x.next > 0" % PREAMBLE)
+    both = own.select("doc_id", "x.*").join(docs.select("doc_id", "text"), "doc_id")
     end = F.coalesce("next", F.length("text"))
     out = both.select("doc_id", "ord", "canonical", "start", end.alias("end"), F.substring(F.col("text"), F.col("start") + 1, end - F.col("start")).alias("content"))
-    return out.filter((F.col("canonical") != "前言及重要提示") | (strip(F.col("content")) != ""))
+    return out.filter((F.col("canonical") != PREAMBLE) | F.col("content").rlike(r"(?U)\S"))
 
 
 def split_sections(docs: DataFrame, sections: DataFrame) -> DataFrame:
     """Gate, candidates, contents skipping, selection, audit merge, spans: (doc_id, ord, canonical, start, end, content)."""
     good = quality_gate(docs).filter("status = 'accepted'").select("doc_id", "text")
-    return spans(good, merge_audit(selected(skip_contents(candidates(good, sections)))))
+    return spans(docs, boundaries(good, sections))
 
 
 def lossless(docs: DataFrame, sections: DataFrame) -> DataFrame:
@@ -144,14 +220,36 @@ def lossless(docs: DataFrame, sections: DataFrame) -> DataFrame:
 
 
 def details(docs: DataFrame, sections: DataFrame) -> DataFrame:
-    """A row for each document: status (success, warning, ignored_*), sections found, sizes, missing sections in catalogue order."""
+    """A row for each document: the metadata of its split.
+
+    status is the gate's, or failed without any boundary, warning if a section is blank, else success; status_rank orders
+    reports. raw_matches, after_contents and final count candidates; section_sizes maps names to code points; missing_before
+    and missing list catalogue sections without a title before fallbacks and after them; accepted and rejected hold the
+    boundaries and the other candidates, with previews of their lines and reasons.
+    """
     gated = quality_gate(docs)
-    per = sections.groupBy("doc_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("canonical", F.length("content")))).alias("section_sizes"), F.collect_set("canonical").alias("found")
-    )
+    good = gated.filter("status = 'accepted'").select("doc_id", "text")
+    cut = boundaries(good, sections)
+    per = spans(docs, cut).groupBy("doc_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("canonical", F.length("content"))))).alias("section_sizes"),
+        F.array_sort(F.collect_list(F.when(~F.col("content").rlike(r"(?U)\S"), F.col("canonical")))).alias("empty_sections"),
+    )
     names = F.array(*[F.lit(n) for n in catalog.SECTIONS])
-    d = gated.join(per, "doc_id", "left")
-    missing = F.array_except(names, F.coalesce("found", F.array().cast("array<string>")))
-    status = F.when(F.col("status") != "accepted", F.col("status")).when(F.col("found").isNull(), "warning").otherwise("success")
+    none = F.array().cast("array<string>")
+    of = lambda items: F.transform(items, lambda x: x["canonical"])
+    shown = lambda items: F.transform(
+        items, lambda x: F.struct(x["canonical"].alias("name"), x["start"].alias("position"), x["end"].alias("end"), x["alias"].alias("matched_alias"), F.substring(x["line_text"], 1, 100).alias("line_preview"), F.element_at(F.create_map(*[F.lit(v) for kv in SOURCES.items() for v in kv]), x["tier"]).alias("source"), x["tier"].alias("tier"), x["ord"].alias("order"), x["reason"].alias("reject_reason"))
+    )
+    d = gated.withColumn("total_chars", F.length("text")).drop("text").join(cut, "doc_id", "left").join(per, "doc_id", "left")
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    status = F.when(F.col("status") != "accepted", F.col("status")).when(size(F.col("accepted")) <= 0, "failed").when(size(F.col("empty_sections")) > 0, "warning").otherwise("success")
     rank = "CASE status WHEN 'failed' THEN 0 WHEN 'warning' THEN 1 WHEN 'success' THEN 2 WHEN 'ignored_summary' THEN 3 ELSE 4 END"
-    return d.select("doc_id", status.alias("status"), "reason", "section_sizes", missing.alias("missing")).withColumn("status_rank", F.expr(rank))
+    tested = F.col("status") == "accepted"
+    primary = lambda c: F.filter(c, lambda x: x["tier"] < 3)
+    return d.select(
+        "doc_id", status.alias("status"), "reason", "total_chars", F.greatest(size(primary("found")), F.lit(0)).alias("raw_matches"), F.greatest(size(primary("kept")), F.lit(0)).alias("after_contents"),
+        F.greatest(size(F.col("accepted")), F.lit(0)).alias("final"), "section_sizes", F.coalesce("empty_sections", none).alias("empty_sections"),
+        F.when(tested, F.array_except(names, F.coalesce(of(F.filter(F.concat("accepted", "rejected"), lambda x: (x["tier"] < 3) & (x["reason"].isNull() | x["reason"].startswith("merged")))), none))).alias("missing_before"),
+        F.array_except(names, F.coalesce(of(F.col("accepted")), none)).alias("missing"), F.coalesce(F.exists("accepted", lambda x: x["tier"] == 3), F.lit(False)).alias("used_fallback"),
+        shown(F.col("accepted")).alias("accepted"), shown(F.col("rejected")).alias("rejected"),
+    ).withColumn("status_rank", F.expr(rank))

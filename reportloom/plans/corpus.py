@@ -11,7 +11,9 @@ def _body(titles: list[str], n: int = 60) -> str:
 
 
 _MAIN = ["第一节 公司简介和主要财务指标", "第二节 管理层讨论与分析", "第三节 公司治理", "第四节 重要事项", "第五节 股份变动及股东情况", "第六节 财务报告"]
-_LEAD = f"'示例股份有限公司' || {_LF} || substr(replace(text, {_LF}, ' '), 1, 80) || {_LF} || {_FILL.format(n=90)} || {_LF}"
+#: A document's whole text, and as much Chinese text as the quality gate asks for beside it.
+_WHOLE = "coalesce(text, '')"
+_LEAD = f"'示例股份有限公司' || {_LF} || {_WHOLE} || {_LF} || {_FILL.format(n=f'90 + CAST(floor(length({_WHOLE}) / 40) AS INT)')} || {_LF}"
 _TOC = " || ".join(f"'{t}........{k * 9}' || {_LF}" for k, t in enumerate(_MAIN, 1))
 _PLAIN = " || ".join(f"'{t}      {k * 9}' || {_LF}" for k, t in enumerate(_MAIN, 1))
 _BARE = [t.split(" ")[1] for t in _MAIN]
@@ -24,7 +26,7 @@ VARIANTS = (
     f"{_LEAD} || {_body([_MAIN[0], _MAIN[3], _MAIN[1], *_MAIN[4:]])}",
     f"{_LEAD} || {_body(['  ' + _BARE[0], '    ' + _BARE[1], *_MAIN[2:]])}",
     f"CASE WHEN doc_id % 24 = 7 THEN '年度报告摘要' || {_LF} ELSE repeat('行' || {_LF}, 30) || '年度报告摘要' || {_LF} END || {_LEAD} || {_body(_MAIN)}",
-    f"CASE doc_id % 3 WHEN 0 THEN '短文' WHEN 1 THEN repeat('(cid:12)字', 300) ELSE text || repeat('latin only ', 80) END",
+    f"CASE doc_id % 3 WHEN 0 THEN '短文' WHEN 1 THEN repeat('(cid:12)字', 300) ELSE coalesce(text, '') || repeat('latin only ', 80) END",
     f"{_LEAD} || {_body([*_MAIN, '十二、关联交易'])}",
     f"{_LEAD} || {_body(_MAIN[:5])} || '獨立核數師報告' || {_LF} || '正文。' || {_LF} || {_body(['第六节 财务报告', '第七节 审计报告'], 20)}",
     f"{_LEAD} || {_body(_MAIN[:5])} || repeat('财务报告' || {_LF} || '详见第三节财务报告' || {_LF}, 25) || {_body(['第六节 财务报告'])}",
@@ -36,7 +38,7 @@ _TABLE = f"CASE WHEN doc_id % 3 = {{k}} THEN '说明文字' ELSE '编制单位:
 _STATEMENTS = ["合并资产负债表", "母公司资产负债表", "合并利润表", "合并现金流量表", "合并所有者权益变动表"]
 #: Financial reports: statements with or without tables, then notes, some of them risky.
 FINANCIALS = (
-    f"SELECT doc_id, CASE doc_id % 5 WHEN 4 THEN '编制单位' || {_LF} || repeat({_SHORT} || '编制单位' || {_LF}, CAST(doc_id % 9 AS INT)) ELSE '序言' || {_LF} || '审计报告' || {_LF} || {_SHORT} || {_LF} || "
+    f"SELECT doc_id, CASE doc_id % 5 WHEN 4 THEN {_WHOLE} || '编制单位' || {_LF} || repeat({_SHORT} || '编制单位' || {_LF}, CAST(doc_id % 9 AS INT)) ELSE '序言' || {_LF} || {_WHOLE} || {_LF} || '审计报告' || {_LF} || {_SHORT} || {_LF} || "
     + " || ".join(f"'{s}' || {_LF} || {_TABLE.format(k=k % 3)} || repeat({_SHORT}, 6) || {_LF}" for k, s in enumerate(_STATEMENTS))
     + f" || CASE WHEN doc_id % 4 = 1 THEN '' ELSE '财务报表附注' || {_LF} END || '一、公司概况' || {_LF} || {_SHORT} || {_LF} || '五、存货' || {_LF} || {_SHORT} || {_LF} || '十一、关联方及关联交易' || {_LF} || {_SHORT} END AS text FROM documents"
 )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import audit, boundaries, catalog, classify, clean, extract, financial, layout, linescore, ordered, split, toc
+from . import splitsql
 from .corpus import BLOCKS, CONTENTS_LINES, FINANCIALS, REPORTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,8 +36,13 @@ def documents(spark, d):
     return table(spark, d, "documents").select("doc_id", "text")
 
 
+def whole(made: DataFrame) -> DataFrame:
+    """``made`` with text as a generator's result, so that its long expression isn't copied into every condition on it."""
+    return made.select("doc_id", F.explode(F.array("text")).alias("text"))
+
+
 def reports(spark: SparkSession, d: str) -> DataFrame:
-    return spark.sql(REPORTS.replace("FROM documents", "FROM {docs}"), docs=documents(spark, d))
+    return whole(spark.sql(REPORTS.replace("FROM documents", "FROM {docs}"), docs=documents(spark, d)))
 
 
 FILES_SQL = "files AS (SELECT l_orderkey AS doc_id, lpad(CAST((l_suppkey % 12 + 1) * 10 AS VARCHAR), 3, '0') AS number, CAST(sum(floor(l_extendedprice)) AS BIGINT) AS size FROM lineitem GROUP BY 1, 2)"
@@ -66,7 +72,7 @@ def numbered_lines(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("idx")).agg(F.min("l_suppkey").alias("s"))
 
 
-@query()
+@query(splitsql.SECTIONS)
 def section_split(spark, d):
     """Flagship: the section spans of the synthetic reports."""
     return split.split_sections(reports(spark, d), catalog.section_catalog(spark)).select("doc_id", "ord", "canonical", "start", "end", F.length("content").alias("n_chars"), F.md5("content").alias("content_md5"))
@@ -141,40 +147,48 @@ def clean_steps(spark, d):
     return clean.clean(reports(spark, d)).select("doc_id", *[f"len_{k}" for k in range(5)], F.md5("text").alias("h"))
 
 
-@query()
+@query(splitsql.CANDIDATES)
 def section_candidates(spark, d):
-    c = split.candidates(reports(spark, d), catalog.section_catalog(spark))
-    return c.groupBy("doc_id", "canonical", "tier").agg(F.count("*").alias("n"), F.min("start").alias("first"))
+    c = split.candidates(split.quality_gate(reports(spark, d)).filter("status = 'accepted'"), catalog.section_catalog(spark))
+    return c.groupBy("doc_id", "canonical", "tier").agg(F.count("*").alias("n"), F.min("start").alias("first"), F.max("end").alias("last"))
 
 
-@query()
+def cut(spark: SparkSession, d: str) -> DataFrame:
+    good = split.quality_gate(reports(spark, d)).filter("status = 'accepted'").select("doc_id", "text")
+    return split.boundaries(good, catalog.section_catalog(spark))
+
+
+@query(splitsql.KEPT)
 def toc_anchor(spark, d):
-    return split.skip_contents(split.candidates(reports(spark, d), catalog.section_catalog(spark))).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("start").alias("first"))
+    """Candidates that contents skipping leaves."""
+    k = cut(spark, d).select("doc_id", F.explode("kept").alias("x"))
+    return k.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("x.start").alias("first"), F.sum("x.end").alias("ends"))
 
 
-@query()
+@query(splitsql.REJECTED)
 def section_rejections(spark, d):
-    """Candidates after contents skipping that weren't accepted."""
-    c = split.skip_contents(split.candidates(reports(spark, d), catalog.section_catalog(spark)))
-    return c.join(split.selected(c), ["doc_id", "section_idx", "start", "tier", "alias_idx"], "left_anti").select("doc_id", "canonical", "tier", "start", F.substring("line_text", 1, 100).alias("line_preview"))
+    """Candidates after contents skipping that weren't accepted, and why."""
+    r = cut(spark, d).select("doc_id", F.explode("rejected").alias("x"))
+    return r.select("doc_id", "x.canonical", "x.tier", "x.start", "x.alias", F.substring("x.line_text", 1, 100).alias("line_preview"), "x.reason")
 
 
-@query()
+@query(splitsql.LOSSLESS)
 def split_lossless(spark, d):
     r = reports(spark, d)
     return split.lossless(r, split.split_sections(r, catalog.section_catalog(spark)))
 
 
-@query()
+@query(splitsql.DETAILS)
 def missing_sections(spark, d):
-    r = reports(spark, d)
-    return split.details(r, split.split_sections(r, catalog.section_catalog(spark))).select("doc_id", "status", F.array_join("missing", "+").alias("missing"))
+    """The metadata of each document's split."""
+    m = split.details(reports(spark, d), catalog.section_catalog(spark))
+    sizes = F.array_join(F.array_sort(F.transform(F.map_entries("section_sizes"), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))), "+")
+    return m.select("doc_id", "status", "reason", "total_chars", "raw_matches", "after_contents", "final", "used_fallback", F.array_join("missing_before", "+").alias("missing_before"), F.array_join("missing", "+").alias("missing"), sizes.alias("sizes"), F.coalesce(F.size("rejected"), F.lit(0)).alias("rejected"))
 
 
-@query()
+@query(splitsql.STATUS)
 def batch_status(spark, d):
-    r = reports(spark, d)
-    return split.details(r, split.split_sections(r, catalog.section_catalog(spark))).groupBy("status", "status_rank").agg(F.count("*").alias("docs"))
+    return split.details(reports(spark, d), catalog.section_catalog(spark)).groupBy("status", "status_rank").agg(F.count("*").alias("docs"))
 
 
 @query(RUN + "SELECT dim.number, coalesce(n, 0) AS n, docs, CASE WHEN coalesce(n, 0) * 100 < docs * 50 THEN 'WARN-L' WHEN coalesce(n, 0) * 100 < docs * 90 THEN 'WARN-M' ELSE 'OK' END AS flag FROM dim LEFT JOIN (SELECT number, count(*) AS n FROM files GROUP BY 1) USING (number) CROSS JOIN (SELECT count(DISTINCT doc_id) AS docs FROM files)")
@@ -410,7 +424,7 @@ def extract_answers(spark, d):
 
 
 def financials(spark: SparkSession, d: str) -> DataFrame:
-    return spark.sql(FINANCIALS.replace("FROM documents", "FROM {docs}"), docs=documents(spark, d))
+    return whole(spark.sql(FINANCIALS.replace("FROM documents", "FROM {docs}"), docs=documents(spark, d)))
 
 
 def blocks(spark: SparkSession, d: str) -> DataFrame:
