@@ -68,12 +68,12 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 SALT_ROWS = 1000
 
 
-def salted_join(many: DataFrame, one: DataFrame, key: str, by: str, how: str = "inner", rows: int = SALT_ROWS) -> DataFrame:
+def salted_join(many: DataFrame, one: DataFrame, key: str, by: str, how: str = "inner", rows: int = SALT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """``many`` joined with ``one`` (at most a row for each key): a key of more than ``rows`` rows is dealt over salts, which ``by``, a column of ``many``, decides.
 
-    Both tables are written ones, as they are read twice. Keys in need of salts are few: at most the rows of ``many`` by ``rows``.
+    ``counted`` (else ``many``) is a written table with the keys of ``many``, as it is read for the counts first. Keys in need of salts are few: at most the rows of ``many`` by ``rows``.
     """
-    hot = many.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts"))
+    hot = (counted or many).groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts"))
     hot = checked_broadcast(written(hot, "hot-keys"))
     salted = many.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
     copies = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")

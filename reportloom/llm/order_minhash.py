@@ -1,16 +1,18 @@
 """Near-duplicates by order MinHash and banded alignment.
 
-A text's k-mers are its shingles of five words, and those of two, labelled with how often they have occurred so far.
+A text's k-mers are its shingles of five words, and those of three, labelled with how often they have occurred so far.
 Each of the hash functions picks the two least labelled k-mers of a length and keeps them in text order: a sketch that
 two texts share the more likely the smaller their edit distance is. Texts that share a sketch meet in a bucket; there
-each is held against the least text and, where that leaves a bucket unconnected, against the greatest. Members that are
-still unconnected are all held against each other, in blocks: word counts in BINS bins give a lower bound of the edits,
-and pairs that it doesn't rule out become candidates, so no pair of a bucket is skipped. A candidate is verified by
-alignment of the words within a diagonal band: similarity is 1 - edits / words of the longer text.
+each is held against the least text and, where that leaves a bucket unconnected, against the greatest; buckets of five-word
+shingles come first. What is still unconnected in a bucket (unlike texts with a common passage, say) is held against
+each other in blocks: word counts in BINS bins give a lower bound of the edits, and pairs that it doesn't rule out become
+candidates, so no pair of a bucket is skipped. A candidate is verified by alignment of the words within a diagonal band:
+similarity is 1 - edits / words of the longer text.
 
 Two texts of shingle similarity j share a sketch of one length with probability of about j * j. Every fifth word
-substituted (the most that counts) leaves no shingle of five words and j = 0.43 of those of two: none of 48 with
-probability of about 1e-4. README gives the measured recall.
+substituted (the most that counts) leaves no shingle of five words and j = 0.25 of those of three: none of 72 with
+probability of about 0.008. README gives the measured recall. Texts are named by a 64-bit hash and words in alignments
+by 32 bits of theirs: among ten billion texts some three pairs are expected to share a name.
 """
 
 from __future__ import annotations
@@ -24,21 +26,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import BASE, U, grams, mix
-from .common import checked_broadcast, small_batches, written
+from .common import checked_broadcast, salted_join, small_batches, written
 from .links import components
 from .window_dedup import word_hashes
 
-#: Words of a shingle: five tell texts apart, two survive edits spread over a text.
-SHINGLES = (5, 2)
-#: Sketches of a text for each length of shingles, each the key of a bucket.
-SKETCHES = 48
-KEYS = SKETCHES * len(SHINGLES)
-#: Bins of a text's word counts, and members of a bucket that are held against each other at a time.
-BINS, BLOCK = 256, 1024
+#: Words of a shingle, and sketches of that kind: five words tell texts apart, three survive edits spread over a text.
+SHINGLES = ((5, 24), (3, 72))
+KEYS = sum(n for _, n in SHINGLES)
+#: Bins of a text's word counts (every COARSE of them are added up for a first look), and members of a bucket that are held against each other at a time.
+BINS, COARSE, BLOCK = 1024, 4, 1024
 THRESHOLD = 0.8
 #: Words of a text up to which an alignment holds a mask of the whole text for each word.
 SHORT = 8192
 _SEEDS = mix(np.arange(1, KEYS + 1, dtype=U) * U(BASE))
+#: Bits of a position in a packed (hash, position) value.
+_LOW = U((1 << 24) - 1)
 _MAX = U((1 << 64) - 1)
 
 
@@ -59,7 +61,8 @@ def labelled(shingles: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def sketches(texts: list[np.ndarray]) -> np.ndarray:
     """The keys of each text's buckets (texts: arrays of word hashes, none empty): a row of KEYS for each."""
-    return np.concatenate([_sketches(texts, n, _SEEDS[k * SKETCHES : (k + 1) * SKETCHES]) for k, n in enumerate(SHINGLES)], axis=1)
+    ends = np.cumsum([n for _, n in SHINGLES])
+    return np.concatenate([_sketches(texts, k, _SEEDS[end - n : end]) for (k, n), end in zip(SHINGLES, ends)], axis=1)
 
 
 def _sketches(texts: list[np.ndarray], shingle: int, seeds: np.ndarray) -> np.ndarray:
@@ -67,13 +70,19 @@ def _sketches(texts: list[np.ndarray], shingle: int, seeds: np.ndarray) -> np.nd
     lens = np.array([len(o) for o in own])
     starts = np.cumsum(lens) - lens
     label = labelled(np.concatenate(own), np.repeat(np.arange(len(own)), lens))
-    low, spot = U((1 << 24) - 1), np.arange(len(label), dtype=U)
+    spot = np.arange(len(label), dtype=U)
     out = np.empty((len(own), len(seeds)), U)
     for k, seed in enumerate(seeds):
-        v = ((label ^ seed) & ~low) | spot
-        one = (np.minimum.reduceat(v, starts) & low).astype(np.int64)
-        v[one] = _MAX
-        two = (np.minimum.reduceat(v, starts) & low).astype(np.int64)
+        v = (label ^ seed) & ~_LOW
+        if len(label) <= int(_LOW):
+            v |= spot
+            one = (np.minimum.reduceat(v, starts) & _LOW).astype(np.int64)
+            v[one] = _MAX
+            two = (np.minimum.reduceat(v, starts) & _LOW).astype(np.int64)
+        else:  # positions don't fit beside the hash: text by text, the first place of equals as above
+            one = np.array([a + np.argmin(v[a : a + n]) for a, n in zip(starts, lens)])
+            v[one] = _MAX
+            two = np.array([a + np.argmin(v[a : a + n]) for a, n in zip(starts, lens)])
         two = np.where(lens > 1, two, one)
         out[:, k] = mix(label[np.minimum(one, two)] * U(3) + mix(label[np.maximum(one, two)]) + seed)
     return out
@@ -88,16 +97,18 @@ def open_pairs(n: np.ndarray, comp: np.ndarray, side: np.ndarray, bins: np.ndarr
     """The pairs of different components (``across``: and sides) that neither lengths nor binned counts show to be unlike."""
     order = np.argsort(n, kind="stable")
     n, comp, side, bins = n[order], comp[order], side[order], bins[order].astype(np.int16)
+    coarse = bins.reshape(len(bins), -1, COARSE).sum(2, dtype=np.int16)
     ends = np.searchsorted(n, (n + 1e-9) / threshold, "right") if threshold > 0 else np.full(len(n), len(n))
+    most = ((1 - threshold) * n + 1e-9).astype(np.int64)
     left, right = [], []
     for i in range(len(n) - 1):
         j = np.arange(i + 1, max(i + 1, ends[i]))
         j = j[(comp[j] != comp[i]) & (side[j] != side[i])] if across else j[comp[j] != comp[i]]
-        if not len(j):
-            continue
-        more = bins[j] - bins[i]
-        up = np.maximum(more, 0).sum(1)
-        j = j[np.maximum(up, up - more.sum(1)) <= ((1 - threshold) * n[j] + 1e-9).astype(np.int64)]
+        for counts in (coarse, bins):
+            if len(j):
+                more = counts[j] - counts[i]
+                up = np.maximum(more, 0).sum(1, dtype=np.int64)
+                j = j[np.maximum(up, up - more.sum(1, dtype=np.int64)) <= most[j]]
         left.append(np.full(len(j), order[i]))
         right.append(order[j])
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -202,24 +213,12 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     return abs(len(a) - len(b)) <= most and (at_most(a, b) <= most or within(a, b, most) is not None)
 
 
-def _binary(text_words: np.ndarray) -> tuple[int, int]:
-    raw = text_words.tobytes()
-    return xxhash.xxh3_64_intdigest(raw), xxhash.xxh3_64_intdigest(raw, 1)
-
-
 def _longs(x) -> pa.Array:
     return pa.array(np.asarray(x, U).view(np.int64), pa.int64())
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, n_links) for each row of ``docs`` (doc_id, text).
-
-    Rows are linked if their words (lower case) are at least ``threshold`` similar; class_id is the least doc_id that
-    a row is connected with, n_links the number of different texts that were found to be linked with the row's text.
-    Rows with the same words share a class. A text without words (null, empty) is its own class. A row without doc_id
-    takes part; it has a null class_id only where its class has no doc_id at all. Repeated rows and ties change
-    nothing; other columns are ignored.
-    """
+def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, body, n, c, class_id, n_links) of each row of ``docs`` (doc_id, text): body tells a doc_id's texts apart, n is the number of words, c names the class."""
     spark = docs.sparkSession
     small_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -231,35 +230,37 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             out, at = np.zeros((len(words), KEYS), U), 0
             while at < len(some):  # about a quarter of a million words at a time
                 end, size = at, 0
-                while end < len(some) and (end == at or size < 250_000):
+                while end < len(some) and (end == at or size + len(words[some[end]]) < 250_000):
                     size += len(words[some[end]])
                     end += 1
                 out[some[at:end]] = sketches([words[i] for i in some[at:end]])
                 at = end
-            ids = [_binary(w) for w in words]
+            names = [xxhash.xxh3_64_intdigest(w.tobytes()) for w in words]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * KEYS, pa.int32()), _longs(out.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), _longs([i[0] for i in ids]), _longs([i[1] for i in ids]), pa.array([len(w) for w in words], pa.int32()), lists], names=["doc_id", "t", "t2", "n", "sketches"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), _longs(names), pa.array([len(w) for w in words], pa.int32()), lists], names=["doc_id", "body", "t", "n", "sketches"])
 
-    rows = docs.select("doc_id", "text")
-    base = written(rows.mapInArrow(sketched, f"doc_id {kind}, t long, t2 long, n int, sketches array<long>"), "sketches")
-    texts = base.filter("n > 0").groupBy("t", "t2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
-    placed = texts.select("t", "rep", "n", F.explode("sketches").alias("bucket"))
-    shared = written(placed.groupBy("bucket").agg(F.count("*").alias("c"), F.min("t").alias("p")).filter("c > 1"), "buckets")
-    members = written(placed.join(shared, "bucket").select("bucket", "c", "p", "t", "n", "rep"), "members")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("body"))
+    base = written(rows.mapInArrow(sketched, f"doc_id {kind}, body long, t long, n int, sketches array<long>"), "sketches")
+    some = base.filter("n > 0")
+
+    texts = written(some.groupBy("t").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketches").alias("sketches")), "texts")
+    placed = texts.select("t", "n", "rep", F.posexplode("sketches").alias("k", "bucket")).withColumn("five", F.col("k") < SHINGLES[0][1]).drop("k")
+    shared = written(placed.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket"), "buckets")
+    members = written(placed.join(shared, "bucket"), "members")
 
     # words of the texts that have company
-    reps = checked_broadcast(written(members.select(F.col("rep").alias("doc_id"), "t").distinct(), "reps"))
+    reps = checked_broadcast(written(members.select(F.col("rep").alias("doc_id")).distinct(), "reps"))
 
     def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words = [_words(t) for t in b.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, words)])
             low = np.concatenate([*words, np.zeros(0, U)]).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays([_longs([_binary(w)[0] for w in words]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(low, pa.int32())), pa.array([binned(w) for w in words], pa.binary())], names=["t", "w", "bins"])
+            names = [xxhash.xxh3_64_intdigest(w.tobytes()) for w in words]
+            yield pa.RecordBatch.from_arrays([_longs(names), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(low, pa.int32())), pa.array([binned(w) for w in words], pa.binary())], names=["t", "w", "bins"])
 
-    chosen = rows.join(reps, rows["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
-    worded_rows = chosen.mapInArrow(worded, "t long, w array<int>, bins binary")
-    words = written(worded_rows.dropDuplicates(["t"]), "words")
+    chosen = rows.join(reps, rows["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi").select("doc_id", "text")
+    words = written(chosen.mapInArrow(worded, "t long, w array<int>, bins binary").dropDuplicates(["t"]), "words")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,32 +269,41 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
     def check(pairs: DataFrame) -> DataFrame:
-        w = words.select(F.col("t").alias("b"), F.col("w").alias("wb"))
-        v = words.select(F.col("t").alias("a"), F.col("w").alias("wa"))
-        return written(pairs.join(w, "b").join(v, "a").select("a", "b", "wa", "wb").mapInArrow(verified, "a long, b long, ok boolean"), "verified")
-
-    ratio = F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9
-    pivot = members.filter("t = p").select("bucket", F.col("n").alias("m"))
-    first = members.filter("t <> p").join(pivot, "bucket").filter(ratio).select(F.col("p").alias("a"), F.col("t").alias("b")).distinct()
-    tried = check(first)
-    # buckets whose members aren't all connected by now: against the greatest text
-    labels = written(components(tried.filter("ok")), "components")
-    def in_components() -> DataFrame:
-        named = members.select("bucket", "t", "n").join(labels.select(F.col("v").alias("t"), F.col("c").alias("l")), "t", "left")
-        return written(named.select("bucket", "t", "n", F.coalesce("l", "t").alias("comp")), "named-members")
-
-    named = in_components()
-    apart = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("t", "n", "comp")).alias("q")).filter("lo <> hi")
-    more = named.join(apart.select("bucket", F.col("q.t").alias("u"), F.col("q.n").alias("m"), F.col("q.comp").alias("other")), "bucket").filter((F.col("comp") != F.col("other")) & ratio)
-    more = more.select(F.least("t", "u").alias("a"), F.greatest("t", "u").alias("b")).distinct()
-    more = written(more.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        tried = written(tried.unionByName(check(more)), "verified-all")
-        labels = written(components(tried.filter("ok")), "components-all")
+        """Verdicts on distinct ``pairs``. A pivot has as many pairs as its buckets have members, so both joins deal its pairs over salts."""
+        pairs = written(pairs, "pairs")
+        one = salted_join(pairs, words.select(F.col("t").alias("a"), F.col("w").alias("wa")), "a", "b")
+        both = salted_join(one, words.select(F.col("t").alias("b"), F.col("w").alias("wb")), "b", "a", counted=pairs)
+        return written(both.select("a", "b", "wa", "wb").mapInArrow(verified, "a long, b long, ok boolean"), "verified")
+
+    def unconnected(rows: DataFrame, more_than: int) -> DataFrame:
+        """Members of buckets that aren't connected by now, with lo and hi, the least and the greatest (t, n, comp) of the bucket."""
+        own = rows.withColumn("comp", F.col("t"))
+        if labels is not None:
+            own = rows.join(labels.select(F.col("v").alias("t"), F.col("c").alias("l")), "t", "left").withColumn("comp", F.coalesce("l", "t"))
+        own = written(own.select("bucket", "t", "n", "comp"), "named-members")
+        item = F.struct("t", "n", "comp")
+        apart = own.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(item).alias("lo"), F.max(item).alias("hi"), F.count("*").alias("c")).filter(f"x <> y AND c > {more_than}")
+        return written(own.join(apart.select("bucket", "lo", "hi", "c"), "bucket"), "unconnected")
+
+    def learn(pairs: DataFrame) -> None:
+        nonlocal tried, labels
+        pairs = pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        done = check(pairs)
+        if not done.isEmpty():
+            tried = done if tried is None else written(tried.unionByName(done), "tried")
+            labels = written(components(tried.filter("ok")), "components")
+
+    tried = labels = None
+    left = members.filter("five")
+    for end, more_than in (("lo", 1), ("lo", 1), ("hi", 2)):
+        left = unconnected(left, more_than)
+        near = F.least(F.col("n"), F.col(f"{end}.n")) >= F.greatest(F.col("n"), F.col(f"{end}.n")) * threshold - 1e-9
+        pairs = left.filter((F.col("comp") != F.col(f"{end}.comp")) & near)
+        learn(pairs.select(F.least(F.col("t"), F.col(f"{end}.t")).alias("a"), F.greatest(F.col("t"), F.col(f"{end}.t")).alias("b")).distinct())
+        if end == "lo" and "five" in members.columns:  # buckets of five-word shingles have been first; what they leave goes on with all others
+            left, members = left.select("bucket", "t", "n").unionByName(members.filter("NOT five").select("bucket", "t", "n")), members.drop("five")
     # what is still apart in a bucket: each against each, BLOCK by BLOCK members
-    named = in_components()
-    apart = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).filter("lo <> hi AND c > 2")
-    mixed = named.join(apart.select("bucket", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "bucket").join(words.select("t", "bins"), "t")
+    mixed = unconnected(left, 2).select("bucket", "t", "n", "comp", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")).join(words.select("t", "bins"), "t")
     own = F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int")
     mixed = mixed.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     mixed = mixed.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "t", "n", "comp", "side", "bins")
@@ -323,28 +333,50 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             yield pairs(rest, np.array([0, len(rest[0])]))
 
     mixed = mixed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    left = written(mixed.mapInArrow(compared, "a long, b long").distinct(), "open-pairs")
-    left = written(left.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "open-pairs")
-    if not left.isEmpty():
-        tried = written(tried.unionByName(check(left)), "verified-whole")
-        labels = written(components(tried.filter("ok")), "components-whole")
+    learn(written(mixed.mapInArrow(compared, "a long, b long").distinct(), "open-pairs"))
+    nothing = spark.createDataFrame([], "v long, c long, a long, b long, ok boolean")
+    tried, labels = tried if tried is not None else nothing.select("a", "b", "ok"), labels if labels is not None else nothing.select("v", "c")
     ok = tried.filter("ok")
     degree = ok.select(F.col("a").alias("t")).union(ok.select("b")).groupBy("t").agg(F.count("*").alias("n_links"))
-    named = (
-        base.select("doc_id", "t", "t2", "n")
-        .join(labels.select(F.col("v").alias("t"), "c"), "t", "left")
-        .join(degree, "t", "left")
-        .select("doc_id", "n", F.coalesce("c", "t").alias("c"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    )
-    named = written(named, "named")
-    least = named.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("class_id"))
-    return (
-        named.filter("n > 0").join(least, "c").select("doc_id", "class_id", "n_links")
-        .unionByName(named.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), "n_links"))
-    )
+    ids = written(some.groupBy("t").agg(F.min("doc_id").alias("rep")).join(labels.withColumnRenamed("v", "t"), "t", "left").withColumn("c", F.coalesce("c", "t")), "texts")
+    least = written(ids.groupBy("c").agg(F.min("rep").alias("class_id")), "class-ids")
+    texts = salted_join(ids.select("t", "c"), least, "c", "t").join(degree, "t", "left").select("t", "c", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    named = salted_join(some.select("doc_id", "body", "t", "n"), written(texts, "texts"), "t", "doc_id").select("doc_id", "body", "n", "c", "class_id", "n_links")
+    none = base.filter("n = 0").select("doc_id", "body", "n", F.lit(None).cast("long").alias("c"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return named.unionByName(none)
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, n_links) for each row of ``docs`` (doc_id, text).
+
+    Rows are linked if their words (lower case) are at least ``threshold`` (0.75 or more) similar; class_id is the least
+    doc_id that a row is connected with, n_links the number of different texts that were found to be linked with the
+    row's text. Rows with the same words share a class. A text without words (null, empty) is its own class. A row
+    without doc_id takes part; it has a null class_id only where its class has no doc_id at all. Repeated rows, repeated
+    doc_ids and ties change nothing; other columns are ignored, whatever their names. An empty table gives no rows.
+    """
+    return linked(docs, threshold).select("doc_id", "class_id", "n_links")
 
 
 def first_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the one with the least doc_id, all columns kept; rows without words or doc_id stay."""
-    lost = written(classes(docs, threshold).filter("doc_id <> class_id").select("doc_id").distinct(), "copies")
-    return docs.join(checked_broadcast(lost), "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that stay, all columns kept: of each class one, the one with the least doc_id (rows without one last, then by a hash of the text).
+
+    Rows are told apart by doc_id and text, so where a doc_id repeats only its copies go. Of rows that are equal in both
+    one stays, whichever. Texts without words stay, all of them. An empty table gives no rows.
+    """
+    named = written(linked(docs, threshold).filter("n > 0").select("doc_id", "body", "c"), "named")
+    order = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "body")
+    stay = named.groupBy("c").agg(F.min(order).alias("x")).select("x.doc_id", "x.body")
+    groups = named.groupBy("doc_id", "body").agg(F.count("*").alias("k"))
+    both = groups["doc_id"].eqNullSafe(stay["doc_id"]) & (groups["body"] == stay["body"])
+    lost = checked_broadcast(written(groups.join(stay, both, "left_anti").select("doc_id", "body"), "copies"))
+    again = checked_broadcast(written(groups.filter("k > 1").join(stay, both, "left_semi").select("doc_id", "body"), "repeated-rows"))
+    body = "_body"
+    while body in docs.columns:
+        body += "_"
+    marked = docs.withColumn(body, F.xxhash64("text"))
+    same = lambda other: marked["doc_id"].eqNullSafe(other["doc_id"]) & (marked[body] == other["body"])
+    kept = marked.join(lost, same(lost), "left_anti")
+    if not again.isEmpty():
+        kept = kept.join(again, same(again), "left_anti").unionByName(kept.join(again, same(again), "left_semi").dropDuplicates(["doc_id", body]))
+    return kept.select(docs.columns)

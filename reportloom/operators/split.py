@@ -23,18 +23,21 @@ SOURCES = {1: "strong", 2: "weak", 3: "fallback"}
 
 def quality_gate(docs: DataFrame) -> DataFrame:
     """docs with status and reason: a summary in the first 30 lines, then empty, short, undecoded or hardly Chinese texts."""
-    t = F.coalesce("text", F.lit(""))
-    n = F.length(t)
-    bare = n - F.length(F.translate(t, " \n", ""))
-    reason = (
-        F.when(n == 0, "empty").when(n < LOW_TEXT, "short")
-        .when(count_of(t, "(cid:") * 20 > n, "cid")
-        .when((n - bare == 0) | (F.regexp_count(t, F.lit("[一-鿿]")) * 100 < (n - bare) * 15), "few_cjk")
-    )
-    summary = F.substring_index(t, "\n", 30).contains("年度报告摘要")
-    return docs.withColumn("status", F.when(summary, "ignored_summary").when(reason.isNotNull(), "ignored_low_quality").otherwise("accepted")).withColumn(
-        "reason", F.when(~summary, reason)
-    )
+
+    def judged(t: Column) -> Column:
+        n = F.length(t)
+        inked = F.length(F.replace(F.replace(t, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
+        han = n - F.length(F.regexp_replace(t, "[一-鿿]+", ""))
+        return (
+            F.when(F.substring_index(t, "\n", 30).contains("年度报告摘要"), "summary").when(n == 0, "empty").when(n < LOW_TEXT, "short")
+            .when(count_of(t, "(cid:") * 20 > n, "cid")
+            .when((inked == 0) | (han * 100 < inked * 15), "few_cjk").otherwise("")
+        )
+
+    verdict = let(judged(F.coalesce("text", F.lit(""))), lambda v: F.struct(
+        F.when(v == "summary", "ignored_summary").when(v != "", "ignored_low_quality").otherwise("accepted").alias("status"), F.when((v != "") & (v != "summary"), v).alias("reason")
+    ))
+    return docs.withColumn("_gate", verdict).withColumns({"status": F.col("_gate.status"), "reason": F.col("_gate.reason")}).drop("_gate")
 
 
 def line_index(docs: DataFrame, *more: Column, keep: Column | None = None) -> DataFrame:
