@@ -41,6 +41,18 @@ def safe_title(c: Column) -> Column:
     return F.substring(F.regexp_replace(c, r'[\\/:*?"<>|]', "_"), 1, 30)
 
 
+def safe_entry(c: Column) -> Column:
+    """A contents entry's title as a file's name: letters, digits and underscores, none at the ends."""
+    return F.regexp_replace(F.regexp_replace(c, r"(?U)[^\w一-鿿]+", "_"), "^_+|_+$", "")
+
+
+def json_array(text: Column) -> Column:
+    """The JSON array in an answer: fenced code first, else from the first bracket to the last; null without one."""
+    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(\[.*?\])\s*```", 1)
+    bare = F.regexp_extract(text, r"(?s)(\[.*\])", 1)
+    return F.when(fenced != "", fenced).when(bare != "", bare)
+
+
 def doc_id_parts(doc_id: Column) -> Column:
     """(code, name, year) of code_name_year: the middle parts joined; without year for two parts, without name for one."""
     p = F.split(doc_id, "_")

@@ -16,14 +16,19 @@ def frequency(files: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def size_stats(files: DataFrame) -> DataFrame:
-    """Count, least, greatest, upper median, whole mean and tiny ones (< 200) of each section's sizes."""
-    rank = F.row_number().over(Window.partitionBy("number").orderBy("size"))
-    total = F.count("*").over(Window.partitionBy("number"))
-    r = files.withColumn("r", rank).withColumn("t", total)
+    """Count, least, greatest, upper median, whole mean and tiny ones (< 200) of each section's sizes.
+
+    Files are counted by (number, size) first, so the window runs over distinct sizes, not over files.
+    """
+    sizes = files.groupBy("number", "size").agg(F.count("*").alias("k"))
+    own = Window.partitionBy("number")
+    upto = F.sum("k").over(own.orderBy("size"))
+    r = sizes.withColumn("upto", upto).withColumn("total", F.sum("k").over(own))
+    middle = F.expr("total div 2 + 1")
     return r.groupBy("number").agg(
-        F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("greatest"),
-        F.max(F.when(F.col("r") == F.expr("t div 2 + 1"), F.col("size"))).alias("median"),
-        F.expr("sum(size) div count(*)").alias("mean"), F.count_if(F.col("size") < 200).alias("tiny"),
+        F.sum("k").alias("n"), F.min("size").alias("least"), F.max("size").alias("greatest"),
+        F.max(F.when((F.col("upto") >= middle) & (F.col("upto") - F.col("k") < middle), F.col("size"))).alias("median"),
+        F.expr("sum(size * k) div sum(k)").alias("mean"), F.coalesce(F.sum(F.when(F.col("size") < 200, F.col("k"))), F.lit(0)).alias("tiny"),
     )
 
 
@@ -75,3 +80,40 @@ def size_changes(a: DataFrame, b: DataFrame, more_than: int = 1000, k: int = 20)
 def status_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Full outer join of two runs' (doc_id, status)."""
     return a.select("doc_id", F.col("status").alias("v2_status")).join(b.select("doc_id", F.col("status").alias("v3_status")), "doc_id", "full")
+
+
+def of_successes(details: DataFrame, files: DataFrame) -> DataFrame:
+    """Section files of documents that were split with success; documents without files drop out."""
+    return files.join(details.filter("status = 'success'").select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+METRICS = ("total_files", "success", "warning", "failed", "ignored_summary", "ignored_low_quality")
+
+
+def run_metrics(details: DataFrame) -> DataFrame:
+    """(metric, value): a run's documents, in all and by status."""
+    g = details.agg(F.count("*").alias("total_files"), *[F.count_if(F.col("status") == m).alias(m) for m in METRICS[1:]])
+    return g.unpivot([], list(METRICS), "metric", "value")
+
+
+def metric_deltas(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(metric, v2, v3, delta) of two runs' metrics; one that a run lacks counts as 0."""
+    both = a.select("metric", F.col("value").alias("v2")).join(b.select("metric", F.col("value").alias("v3")), "metric", "full")
+    both = both.select("metric", F.coalesce("v2", F.lit(0)).alias("v2"), F.coalesce("v3", F.lit(0)).alias("v3"))
+    return both.withColumn("delta", F.col("v3") - F.col("v2"))
+
+
+def first_few(changes: DataFrame, k: int = 5) -> DataFrame:
+    """(number, place, doc_id): the first ``k`` documents of each section that gained or lost it."""
+    place = F.row_number().over(Window.partitionBy("number").orderBy("doc_id"))
+    return changes.withColumn("place", place).filter(F.col("place") <= k).select("number", "place", "doc_id")
+
+
+def attempts_summary(attempts: DataFrame) -> DataFrame:
+    """total documents, successful and failed attempts: a document that failed first counts in both."""
+    return attempts.agg(F.countDistinct("doc_id").alias("total"), F.count_if(F.col("status") == "success").alias("success"), F.count_if(F.col("status") == "failed").alias("failed"))
+
+
+def latest(attempts: DataFrame) -> DataFrame:
+    """Each document's last attempt."""
+    return attempts.groupBy("doc_id").agg(F.max(F.struct("attempt", "status", "error")).alias("x")).select("doc_id", "x.attempt", "x.status", "x.error")

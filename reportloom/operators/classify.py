@@ -22,16 +22,54 @@ def votes(content: Column, words: str) -> Column:
     return F.size(F.filter(F.array(*[F.lit(w) for w in words.split()]), lambda k: F.contains(content, k)))
 
 
+#: Characters that a section of each tier has at least, when nothing else tells it.
+LEAST = {"strong": 1000, "semi": 500, "weak": 50, "low": 0}
+# The value of standard sections in the two pipelines; they differ.
+VALUES = {
+    "report": {"管理层讨论与分析": "HIGH", "财务报告": "HIGH", "重要事项": "MEDIUM", "公司治理": "MEDIUM", "股份变动及股东情况": "MEDIUM", "环境和社会责任": "LOW", "债券相关情况": "LOW", "重要提示_目录_释义": "LOW", "公司简介和主要财务指标": "LOW", "_PREAMBLE": "UNMAPPED"},
+    "lossless": {"管理层讨论与分析": "HIGH", "财务报告": "HIGH", "财务报表附注": "HIGH", "重要事项": "MEDIUM", "公司治理": "MEDIUM", "股份变动及股东情况": "MEDIUM", "债券相关情况": "MEDIUM", "公司简介和主要财务指标": "LOW", "重要提示_目录_释义": "LOW", "环境和社会责任": "LOW"},
+}
+
+
+def mapped_value(name: Column, pipeline: str = "report") -> Column:
+    """A standard section's value; UNMAPPED for other names."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in VALUES[pipeline].items() for x in kv]), name), F.lit("UNMAPPED"))
+
+
 def value_tier(sections: DataFrame, tiers: dict[str, tuple[str, str]] = TIERS) -> DataFrame:
-    """(doc_id, canonical, tier, votes): by the section's name, else by most keywords (the first tier of equals), else by length."""
-    name = F.col("canonical")
-    by_name = F.coalesce(*[F.when(name.isin(*s.split()), F.lit(t)) for t, (s, _) in tiers.items()])
-    counts = {t: votes(F.col("content"), words) for t, (_, words) in tiers.items()}
-    best = F.greatest(*counts.values())
-    by_words = F.coalesce(*[F.when((best > 0) & (c == best), F.lit(t)) for t, c in counts.items()])
-    n = F.length("content")
-    by_length = F.when(n > 5000, "semi").when(n > 500, "weak").otherwise("low")
-    return sections.select("doc_id", "canonical", F.coalesce(by_name, by_words, by_length).alias("tier"), best.cast("long").alias("votes"))
+    """(doc_id, canonical, tier, votes, score, evidence): by the section's name, else by most keywords (the first tier of equals), else by length.
+
+    score is the section's confidence (column confidence, else 1), four fifths of it for fewer than 200 characters, and a tenth more, up to 1, if a keyword of the tier occurs.
+    """
+    name, n = F.col("canonical"), F.length("content")
+    s = sections if "confidence" in sections.columns else sections.withColumn("confidence", F.lit(1.0))
+    s = s.withColumn("_votes", F.array(*[votes(F.col("content"), words) for _, words in tiers.values()]))
+    by_name = F.coalesce(*[F.when(name.isin(*names.split()), F.lit(t)) for t, (names, _) in tiers.items()])
+    best = F.array_max("_votes")
+    at = lambda t: F.get("_votes", F.lit(list(tiers).index(t)))
+    by_words = F.coalesce(*[F.when((best > 0) & (at(t) == best), F.lit(t)) for t in tiers])
+    by_length = F.coalesce(*[F.when(n >= least, F.lit(t)) for t, least in LEAST.items()])
+    s = s.withColumn("tier", F.coalesce(by_name, by_words, by_length))
+    own = F.coalesce(*[F.when(F.col("tier") == t, at(t)) for t in tiers])
+    plain = F.when(n < 200, F.col("confidence") * 0.8).otherwise(F.col("confidence"))
+    evidence = F.when(by_name.isNotNull(), F.concat(F.lit("section_name:"), by_name)).when(best > 0, F.concat(F.lit("keywords:"), best.cast("string"))).otherwise(F.concat(F.lit("length:"), n.cast("string")))
+    return s.select("doc_id", "canonical", "tier", best.cast("long").alias("votes"), F.round(F.when(own > 0, F.least(plain + 0.1, F.lit(1.0))).otherwise(plain), 2).alias("score"), evidence.alias("evidence"))
+
+
+def labelled(sections: DataFrame, found: DataFrame) -> DataFrame:
+    """Value labels of standard sections ``found`` (doc_id, canonical, confidence, status) with the texts of ``sections`` (doc_id, canonical, content); one without a text counts as empty."""
+    both = found.join(sections.select("doc_id", "canonical", "content"), ["doc_id", "canonical"], "left").withColumn("content", F.coalesce("content", F.lit("")))
+    return value_tier(both).join(found.select("doc_id", "canonical", "status"), ["doc_id", "canonical"])
+
+
+def tier_summary(labels: DataFrame) -> DataFrame:
+    """(doc_id, total, strong, semi, weak, low, strong_ratio): counts of tiers, and the strong ones in per cent."""
+    counts = [F.count_if(F.col("tier") == t).alias(t) for t in TIERS]
+    return labels.groupBy("doc_id").agg(F.count("*").alias("total"), *counts).withColumn("strong_ratio", F.round(F.col("strong") * 100 / F.col("total"), 1))
+
+
+def of_tier(labels: DataFrame, tier: str) -> DataFrame:
+    return labels.filter(F.col("tier") == tier)
 
 
 def report_type(docs: DataFrame) -> DataFrame:
@@ -45,6 +83,12 @@ def report_type(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", points.cast("long").alias("points"), F.when(points >= 50, "summary").when(points > 0, "unknown").otherwise("annual_report").alias("doc_type"))
 
 
+def from_name(name: Column) -> Column:
+    """struct<points, doc_type> of a document of which only the file's name is known: 30 and unknown for a summary's name."""
+    short = name.contains("摘要")
+    return F.struct(F.when(short, 30).otherwise(0).alias("points"), F.when(short, "unknown").otherwise("annual_report").alias("doc_type"))
+
+
 def qa_status(docs: DataFrame) -> DataFrame:
     n = F.length(F.coalesce("text", F.lit("")))
     return docs.select("doc_id", F.when(n < 1000, "fail").when(n < 5000, "warning").otherwise("pass").alias("qa"))

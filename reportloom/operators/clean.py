@@ -36,7 +36,32 @@ def repeated_headers(docs: DataFrame, more_than: int = 5) -> DataFrame:
     """(doc_id, line, n): lines of 10 to 60 characters that occur more than ``more_than`` times in a document and are no section title."""
     each = docs.select("doc_id", F.explode(lines(F.col("text"))).alias("raw")).select("doc_id", strip(F.col("raw")).alias("line")).filter(F.length("line") > 3)
     n = each.groupBy("doc_id", "line").agg(F.count("*").alias("n"))
-    return n.filter((F.col("n") > more_than) & F.length("line").between(10, 60) & ~F.col("line").rlike("^第.{1,3}节"))
+    return n.filter((F.col("n") > more_than) & F.length("line").between(10, 60) & ~F.col("line").rlike("第[一二三四五六七八九十]+节"))
+
+
+# Running headers, and a section's own title.
+HEADERS = r"202[5-6].*年度报告|年度报告.*202[5-6]|^\d+$|股份有限公司.*202|第[一二三四五六七八九十]+节.*（续）"
+TITLE = r"(?U)第[一二三四五六七八九十]+节\s+[^\n（续）]{2,30}"
+
+
+def without_headers(docs: DataFrame) -> DataFrame:
+    """docs with blank lines for running headers and footers, and removed, the number of them: repeated lines and HEADERS, titles excepted unless they are continued."""
+    often = repeated_headers(docs).groupBy("doc_id").agg(F.collect_list("line").alias("often"))
+    repeated = F.coalesce("often", F.array().cast("array<string>"))
+
+    def header(x: Column) -> Column:
+        title = x.rlike(TITLE)
+        return F.when(title & x.contains("（续）"), True).when(title & ~x.rlike(r"(?U)\d{2,}\s*$"), False).otherwise(F.array_contains(repeated, x) | x.rlike(HEADERS))
+
+    marked = F.transform(lines(F.col("text")), lambda x: F.struct(x.alias("line"), header(strip(x)).alias("header")))
+    d = docs.join(often, "doc_id", "left").withColumn("_marked", marked)
+    text = F.array_join(F.transform("_marked", lambda x: F.when(x["header"], "\n").otherwise(x["line"])), "\n")
+    return d.withColumns({"text": text, "removed": F.size(F.filter("_marked", lambda x: x["header"]))}).drop("often", "_marked")
+
+
+def cid_count(c: Column) -> Column:
+    """Undecoded glyphs; more than 100 are worth a warning."""
+    return F.regexp_count(c, F.lit(r"\(cid:\d+\)"))
 
 
 def quality_score(docs: DataFrame) -> DataFrame:
@@ -51,8 +76,10 @@ def quality_score(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """docs with cleaned text, and the length after each step."""
-    d = docs.withColumn("len_0", F.length("text"))
-    for k, step in enumerate((without_vertical, without_page_numbers, few_blank_lines, blanks), 1):
+    """docs with cleaned text, the length after each step, undecoded glyphs and removed headers."""
+    d = docs.withColumns({"len_0": F.length("text"), "cids": cid_count(F.col("text"))})
+    d = d.withColumn("text", without_vertical(F.col("text"))).withColumn("len_1", F.length("text"))
+    d = without_headers(d).withColumn("len_2", F.length("text"))
+    for k, step in enumerate((without_page_numbers, few_blank_lines, blanks), 3):
         d = d.withColumn("text", step(F.col("text"))).withColumn(f"len_{k}", F.length("text"))
     return d

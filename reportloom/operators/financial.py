@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import let, strip
 from .split import matches
 
 # Statements in their order, words of risky notes, words of notes that the second split keeps, signs of a table.
@@ -109,21 +109,28 @@ def with_tables(subs: DataFrame, docs: DataFrame, exempt: str = "审计报告",
     return j.filter(shown).select("doc_id", "sub", "start", F.coalesce(F.lead("start").over(w), F.length("text")).alias("end"))
 
 
+def issuer_parts(text: Column) -> Column:
+    """array<struct<sub,start,end>>: statements by every second mention of the issuer's line, for texts with at least four; what isn't there ends with the text."""
+
+    def parts(p: Column) -> Column:
+        bounds = [F.lit(0), *[F.get(p, F.lit(k)) for k in (0, 2, 4, 6, 8)]]
+        each = [F.struct(F.lit(s).alias("sub"), b.alias("start"), F.coalesce(bounds[k + 1] if k < 5 else F.lit(None), F.length(text)).alias("end")) for k, (s, b) in enumerate(zip(STATEMENTS, bounds))]
+        return F.when(F.size(p) >= 4, F.filter(F.array(*each), lambda x: x["start"].isNotNull()))
+
+    return let(places(text, F.lit(ISSUER)), parts)
+
+
 def by_issuer(docs: DataFrame) -> DataFrame:
-    """(doc_id, sub, start, end): statements by every second mention of the issuer's line, for texts with at least four; what isn't there ends with the text."""
-    d = docs.select("doc_id", F.length("text").alias("n"), places(F.col("text"), F.lit(ISSUER)).alias("p")).filter(F.size("p") >= 4)
-    at = lambda k: F.get("p", F.lit(k))
-    bounds = [F.lit(0), *[at(k) for k in (0, 2, 4, 6, 8)]]
-    parts = [F.struct(F.lit(s).alias("sub"), b.alias("start"), F.coalesce(bounds[k + 1] if k < 5 else F.lit(None), F.col("n")).alias("end")) for k, (s, b) in enumerate(zip(STATEMENTS, bounds))]
-    return d.select("doc_id", F.explode(F.array(*parts)).alias("s")).select("doc_id", "s.*").filter("start IS NOT NULL")
+    """(doc_id, sub, start, end) of ``issuer_parts`` of each document."""
+    return docs.select("doc_id", F.explode(issuer_parts(F.col("text"))).alias("s")).select("doc_id", "s.*")
 
 
 def statements(docs: DataFrame, subs: DataFrame) -> DataFrame:
     """Sub-sections with tables, or the issuer's mentions for documents where at most one is left."""
-    kept = with_tables(subs, docs)
-    some = kept.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    other = by_issuer(docs.join(some, "doc_id", "left_anti"))
-    return kept.join(some, "doc_id", "left_semi").unionByName(other).unionByName(kept.join(some, "doc_id", "left_anti").join(other.select("doc_id").distinct(), "doc_id", "left_anti"))
+    kept = with_tables(subs, docs).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sub", "start", "end"))).alias("kept"))
+    both = docs.select("doc_id", "text").join(kept, "doc_id", "left")
+    chosen = F.when(F.size("kept") > 1, F.col("kept")).otherwise(F.coalesce(issuer_parts(F.col("text")), "kept"))
+    return both.select("doc_id", F.explode(chosen).alias("s")).select("doc_id", "s.*")
 
 
 def place_titles(docs: DataFrame, gap: int = 300) -> DataFrame:

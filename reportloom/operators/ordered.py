@@ -25,15 +25,16 @@ def longest_run(pages: DataFrame, key: str, physical: str, printed: str, gap: in
     return runs.withColumn("_b", best).filter("_b = 1").drop("_b", "_i")
 
 
-def chapter_ends(toc: DataFrame, key: str, last: int) -> DataFrame:
-    """toc (key, idx, level, page) with end_page: the page before the next entry of the same or a higher level."""
-    n = toc.alias("n")
-    t = toc.alias("t")
-    nxt = (
-        t.join(n, (F.col(f"t.{key}") == F.col(f"n.{key}")) & (F.col("n.idx") > F.col("t.idx")) & (F.col("n.level") <= F.col("t.level")), "left")
-        .groupBy(f"t.{key}", "t.idx", "t.level", "t.page").agg(F.min_by("n.page", "n.idx").alias("next"))
-    )
-    return nxt.select(key, "idx", "level", "page", F.greatest(F.coalesce(F.col("next") - 1, F.lit(last)), F.col("page")).alias("end_page"))
+def chapter_ends(toc: DataFrame, key: str, last: int, levels: int = 4) -> DataFrame:
+    """toc (key, idx, level, page) with end_page: the page before the next entry of the same or a higher level (0 is the highest of ``levels``).
+
+    For each level a window looks for the next entry at that level; the nearest of those that aren't deeper is taken. No join.
+    """
+    ahead = Window.partitionBy(key).orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
+    next_of = lambda k: F.first(F.when(F.col("level") == k, F.struct("idx", "page")), ignorenulls=True).over(ahead)
+    t = toc.withColumns({f"_n{k}": next_of(k) for k in range(levels)})
+    nearest = F.least(*[F.when(F.col("level") >= k, F.col(f"_n{k}")) for k in range(levels)])
+    return t.select(key, "idx", "level", "page", F.greatest(F.coalesce(nearest["page"] - 1, F.lit(last)), F.col("page")).alias("end_page"))
 
 
 def spread(points: DataFrame, key: str, at: str, distance: int) -> DataFrame:

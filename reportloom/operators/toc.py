@@ -1,52 +1,10 @@
-"""Contents pages over page and span tables: lines, page scores, page maps, slices, sub-sections."""
+"""Page maps, slices by contents entries, sub-sections."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
-
-STRICT = r"^\s*(第[一二三四五六七八九十0-9]+[节章]|[一二三四五六七八九十]+、|[0-9]+[.、])?\s*(.+?)\s*[.．…·]{3,}\s*([0-9]{1,4})\s*$"
-LOOSE = r"^\s*(第[一二三四五六七八九十0-9]+[节章]|[一二三四五六七八九十]+、|[0-9]+[.、])\s*(.+?)\s+([0-9]{1,4})\s*$"
-FOOTER = r"(?i)^(?:page\s*\d+|第\s*\d+\s*页.*|\d+\s*/\s*\d+|[-—]\s*\d+\s*[-—]|copyright.*|www\..*|https?://.*)$"
-
-
-def toc_line(line: Column) -> Column:
-    """struct<number, title, page> of a contents line, dot leaders first; null if it is none."""
-    strict = F.regexp_extract(line, STRICT, 3) != ""
-    loose = F.regexp_extract(line, LOOSE, 3) != ""
-    part = lambda p, g: F.regexp_extract(line, p, g)
-    of = lambda p: F.struct(strip(part(p, 1)).alias("number"), strip(F.regexp_replace(part(p, 2), "[（(]?续[）)]?$", "")).alias("title"), part(p, 3).cast("int").alias("page"))
-    return F.when(strict, of(STRICT)).when(loose, of(LOOSE))
-
-
-def toc_entries(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_no, line_no, number, title, page) of pages (doc_id, page_no, text)."""
-    e = pages.select("doc_id", "page_no", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("t", toc_line(F.col("line")))
-    return e.filter("t IS NOT NULL").select("doc_id", "page_no", "line_no", "t.*")
-
-
-def toc_pages(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_no, valid, lines, is_toc): a contents page has its title and 3 valid lines, or 5 that are 3 in 10 of its lines."""
-    ls = F.filter(F.split("text", "\n", -1), lambda x: strip(x) != "")
-    valid = F.size(F.filter(ls, lambda x: toc_line(x).isNotNull()))
-    named = F.col("text").rlike("目\\s*[录錄]|(?i)contents")
-    return pages.select("doc_id", "page_no", valid.alias("valid"), F.size(ls).alias("lines"), ((named & (valid >= 3)) | ((valid >= 5) & (valid * 10 >= F.size(ls) * 3))).alias("is_toc"))
-
-
-def span_page_scores(spans: DataFrame, width: float = 595.0) -> DataFrame:
-    """(doc_id, page, points) of spans (doc_id, page, text, x0): how much a page's layout looks like contents, in tenths."""
-    g = spans.groupBy("doc_id", "page").agg(
-        F.max(F.col("text").rlike("目\\s*[录錄]").cast("int")).alias("k"), F.count_if(F.col("text").rlike("[.．…]{3,}")).alias("dots"),
-        F.count_if(F.col("text").rlike(r"^\d{1,4}$") & (F.col("x0") > 0.7 * width)).alias("right"), F.countDistinct(F.round("x0", 1)).alias("xs"),
-        F.count_if(F.col("text").rlike("^第[一二三四五六七八九十]+[节章]")).alias("marks"),
-    )
-    on = lambda c, n: F.when(c, n).otherwise(0)
-    points = on(F.col("k") > 0, 3) + on(F.col("dots") >= 3, 2) + on(F.col("right") >= 3, 2) + on(F.col("xs") >= 3, 1) + on(F.col("marks") >= 5, 2) + on(F.col("page").between(1, 10), 1)
-    return g.select("doc_id", "page", points.cast("long").alias("points"))
-
-
 def nearest(left: DataFrame, right: DataFrame, key: str, at: str, value: str, reach: int) -> DataFrame:
     """left (key, at) with the value of the nearest right row, at most ``reach`` away (the smaller of equals): buckets of ``reach`` make it an equi-join."""
     b = lambda c: F.floor(F.col(c) / F.lit(reach))
@@ -58,11 +16,18 @@ def nearest(left: DataFrame, right: DataFrame, key: str, at: str, value: str, re
 
 
 def page_slices(pages: DataFrame, entries: DataFrame) -> DataFrame:
-    """(doc_id, title, text): pages from an entry's page up to the next entry's, joined by blank lines."""
+    """(doc_id, title, text): pages from an entry's page up to the next entry's, joined by blank lines; of entries on one page all but the last have none.
+
+    Entries and pages go through one window by page, in which every page takes the last entry at or before it, so nothing is joined by range.
+    """
     w = Window.partitionBy("doc_id").orderBy("page", "title")
-    e = entries.select("doc_id", "title", F.col("page").alias("lo"), F.coalesce(F.lead("page").over(w), F.lit(2**31 - 1)).alias("hi"))
-    j = e.join(pages, "doc_id").filter((F.col("page_no") >= F.col("lo")) & (F.col("page_no") < F.col("hi")))
-    return j.groupBy("doc_id", "title").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda x: x["text"]), "\n\n").alias("text"))
+    e = entries.select("doc_id", "title", "page").withColumn("next", F.lead("page").over(w)).filter("next IS NULL OR next > page")
+    marks = e.select("doc_id", F.col("page").alias("page_no"), F.lit(0).alias("kind"), "title", F.lit(None).cast("string").alias("text"))
+    rows = marks.unionByName(pages.select("doc_id", F.col("page_no").cast(marks.schema["page_no"].dataType).alias("page_no"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("title"), "text"))
+    near = F.last("title", ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("page_no", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    start = F.last(F.when(F.col("kind") == 0, F.col("page_no")), ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("page_no", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    own = rows.withColumn("near", near).withColumn("from", start).filter("kind = 1 AND near IS NOT NULL")
+    return own.groupBy("doc_id", "near", "from").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda x: x["text"]), "\n\n").alias("text")).select("doc_id", F.col("near").alias("title"), "text")
 
 
 def sub_sections(sections: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -48,3 +48,20 @@ BLOCKS = """SELECT l_orderkey AS doc_id, 1 AS page, CAST(l_partkey % 4 * 130 AS
  CASE l_partkey % 4 WHEN 0 THEN CAST(l_suppkey AS VARCHAR(20)) WHEN 1 THEN '第一节 标题' || l_linenumber WHEN 2 THEN CAST(l_linenumber AS VARCHAR(20)) ELSE '（一）小节' || l_suppkey END AS text FROM lineitem"""
 #: Lines of contents pages, one for each order and line number.
 CONTENTS_LINES = """SELECT k AS doc_id, 1 AS page, idx AS line_no, CASE s % 4 WHEN 0 THEN CAST(s AS VARCHAR(20)) WHEN 1 THEN '第' || substr('一二三四五六七', CAST(idx AS INT), 1) || '节' WHEN 2 THEN '公司治理' || idx ELSE '· · ·' END AS text FROM lines"""
+#: Pages with contents, headings or neither, one for each order and line number, and outlines of some documents.
+_S = "CAST(s % 300 + 1 AS VARCHAR(9))"
+PAGES = (
+    "SELECT k AS doc_id, CAST(idx AS INT) AS page_no, CASE s % 6 "
+    f"WHEN 0 THEN '目录' || {_LF} || '第一节 重要提示、目录和释义 ' || {_S} || {_LF} || '  第二节 公司简介........' || {_S} || {_LF} || '股东情况（续） 12' || {_LF} || '第三节 公司治理 1000' "
+    f"WHEN 1 THEN '第二节 公司治理' || {_LF} || '正文' WHEN 2 THEN '一、概况' || {_LF} || '正文' || {_LF} || '二、治理' "
+    f"WHEN 3 THEN '财务报告 7' || {_LF} || '审计报告.....9' || {_LF} || '公司治理 ' || {_S} || {_LF} || '关联交易 11' || {_LF} || '重大合同  13' || {_LF} || '说明' "
+    f"WHEN 4 THEN '章节' || {_LF} || '应付债券 123.45 12' || {_LF} || '2024年度报告 目录 3' || {_LF} || '董事会会议次数 5' || {_LF} || '公司治理应当遵循的公开公平公正原则及其他 6' || {_LF} || '债券 5' "
+    "ELSE '' END AS text FROM lines"
+)
+OUTLINES = "SELECT k AS doc_id, idx, 1 AS level, '书签' || idx AS title, CAST(idx * 3 AS INT) AS page FROM lines WHERE k % 4 = 0"
+#: Spans of pages, from line items.
+SPANS = f"""SELECT l_orderkey AS doc_id, CAST(l_linenumber % 2 AS INT) AS page, CASE l_partkey % 5 WHEN 0 THEN CAST(l_suppkey AS VARCHAR(9)) WHEN 1 THEN '目 录' WHEN 2 THEN '第一节 公司简介.....第二节 治理....第三节 其他...' WHEN 3 THEN '一、概况 （二）治理 3.1 其他 ... ···' ELSE 'x' END AS text,
+ CAST(l_partkey % 5 * 100 + 120 AS DOUBLE) AS x0, CAST(l_linenumber * 9 AS DOUBLE) AS y0, CAST(l_partkey % 5 * 100 + 160 AS DOUBLE) AS x1, CAST(l_linenumber * 9 + 8 AS DOUBLE) AS y1, CAST(10 AS DOUBLE) AS size, CAST(l_suppkey % 32 AS INT) AS flags FROM lineitem"""
+#: Printed lines of contents pages in three formats.
+PRINTED = f"""SELECT k AS doc_id, 1 AS page, CAST(idx AS INT) AS line_no, CASE k % 3 WHEN 0 THEN '第' || substr('一二三四五六七', CAST(idx AS INT), 1) || '节 标题' || CASE WHEN s % 2 = 0 THEN '.....' ELSE ' ' END || {_S}
+ WHEN 1 THEN CASE WHEN idx % 2 = 0 THEN '第一章 公司简介......' WHEN idx = 3 THEN '备查文件' ELSE '重要提示' END ELSE CASE idx % 3 WHEN 0 THEN {_S} WHEN 1 THEN '·····' ELSE 'Page ' || {_S} END END AS text FROM lines"""

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, boundaries, catalog, classify, clean, extract, financial, layout, linescore, ordered, split, toc
-from . import splitsql
-from .corpus import BLOCKS, CONTENTS_LINES, FINANCIALS, REPORTS
+from ..operators import audit, boundaries, catalog, classify, clean, contents, extract, financial, layout, linescore, ordered, split, toc
+from . import contentsql, foldsql, splitsql
+from .corpus import BLOCKS, CONTENTS_LINES, FINANCIALS, OUTLINES, PAGES, PRINTED, REPORTS, SPANS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,9 +142,23 @@ def clean_quality_score(spark, d):
     return clean.quality_score(reports(spark, d))
 
 
-@query()
+HEAD_SQL = """ src AS (SELECT doc_id, text || chr(10) || '第三节 公司治理（续）' || chr(10) || '2025年示例年度报告 12' || chr(10) || '第九节  财务 12' AS text FROM reports),
+ v AS (SELECT doc_id, text AS t0, array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(regexp_replace(x, '^[\\s\\x{3000}\\x{a0}]+|[\\s\\x{3000}\\x{a0}]+$', '', 'g'), '^[A-Za-z0-9\\x{4e00}-\\x{9fff}]{1,2}$')), chr(10)) AS t1 FROM src),
+ l AS (SELECT doc_id, i, line, regexp_replace(line, '^[\\s\\x{3000}\\x{a0}]+|[\\s\\x{3000}\\x{a0}]+$', '', 'g') AS s FROM (SELECT doc_id, unnest(string_split(t1, chr(10))) AS line, generate_subscripts(string_split(t1, chr(10)), 1) AS i FROM v)),
+ c AS (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS n, regexp_matches(s, '第[一二三四五六七八九十]+节[\\s\\x{3000}\\x{a0}]+[^\\n（续）]{2,30}') AS title FROM l),
+ h AS (SELECT *, CASE WHEN title AND contains(s, '（续）') THEN true WHEN title AND NOT regexp_matches(s, '[0-9]{2,}\\s*$') THEN false
+  ELSE (n > 5 AND length(s) BETWEEN 10 AND 60 AND NOT regexp_matches(s, '第[一二三四五六七八九十]+节')) OR regexp_matches(s, '%s') END AS header FROM c),
+ w AS (SELECT doc_id, string_agg(CASE WHEN header THEN chr(10) ELSE line END, chr(10) ORDER BY i) AS t2, count(*) FILTER (header) AS removed FROM h GROUP BY 1),
+ x AS (SELECT *, array_to_string(list_filter(string_split(t2, chr(10)), lambda x: NOT (regexp_matches(regexp_replace(x, '^[\\s\\x{3000}\\x{a0}]+|[\\s\\x{3000}\\x{a0}]+$', '', 'g'), '^[0-9]{1,4}$|^[-—]\\s*[0-9]{1,4}\\s*[-—]$') OR regexp_matches(x, '[.．…·]{6,}\\s*[0-9]+\\s*$'))), chr(10)) AS t3 FROM w),
+ y AS (SELECT *, regexp_replace(t3, '(\\n[ \\t]*){3,}\\n', repeat(chr(10), 3), 'g') AS t4 FROM x), z AS (SELECT *, regexp_replace(replace(t4, chr(12288), ' '), '[ \\t]{2,}', ' ', 'g') AS t5 FROM y)
+ SELECT doc_id, CAST(length(t0) AS INTEGER) AS len_0, CAST(length(t1) AS INTEGER) AS len_1, CAST(length(t2) AS INTEGER) AS len_2, CAST(length(t3) AS INTEGER) AS len_3, CAST(length(t4) AS INTEGER) AS len_4, CAST(length(t5) AS INTEGER) AS len_5,
+ CAST(len(regexp_extract_all(t0, '\\(cid:[0-9]+\\)')) AS INTEGER) AS cids, CAST(removed AS INTEGER) AS removed, md5(t5) AS h FROM z JOIN v USING (doc_id)""" % "202[5-6].*年度报告|年度报告.*202[5-6]|^[0-9]+$|股份有限公司.*202|第[一二三四五六七八九十]+节.*（续）"
+
+
+@query(REP + "," + HEAD_SQL)
 def clean_steps(spark, d):
-    return clean.clean(reports(spark, d)).select("doc_id", *[f"len_{k}" for k in range(5)], F.md5("text").alias("h"))
+    more = F.concat("text", F.lit("\n第三节 公司治理（续）\n2025年示例年度报告 12\n第九节  财务 12"))
+    return clean.clean(reports(spark, d).withColumn("text", more)).select("doc_id", *[f"len_{k}" for k in range(6)], "cids", "removed", F.md5("text").alias("h"))
 
 
 @query(splitsql.CANDIDATES)
@@ -259,6 +273,62 @@ def compare_status(spark, d):
     return audit.status_diff(a, b)
 
 
+_METRIC_SQL = "SELECT unnest(['total_files', 'success', 'warning', 'failed', 'ignored_summary', 'ignored_low_quality']) AS metric, unnest([count(*), count(*) FILTER (st = 'success'), count(*) FILTER (st = 'warning'), count(*) FILTER (st = 'failed'), 0, 0]) AS value FROM (SELECT CASE %s WHEN 'F' THEN 'success' WHEN 'O' THEN 'warning' ELSE 'failed' END AS st FROM orders %s)"
+
+
+def outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, status) of a run, from orders."""
+    o = table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("doc_id"), F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "warning").otherwise("failed").alias("status"))
+
+
+@query(f"SELECT metric, a.value AS v2, b.value AS v3, b.value - a.value AS delta FROM ({_METRIC_SQL % ('o_orderstatus', '')}) a JOIN ({_METRIC_SQL % ('o_orderstatus', 'WHERE o_orderkey % 3 = 0')}) b USING (metric)")
+def compare_metrics(spark, d):
+    o = outcomes(spark, d)
+    return audit.metric_deltas(audit.run_metrics(o), audit.run_metrics(o.filter("doc_id % 3 = 0")))
+
+
+@query(RUN + "SELECT number, place, doc_id FROM (SELECT number, CAST(row_number() OVER (PARTITION BY number ORDER BY doc_id) AS INTEGER) AS place, doc_id FROM (SELECT DISTINCT doc_id, number FROM later WHERE doc_id IN (SELECT doc_id FROM files) AND (doc_id, number) NOT IN (SELECT doc_id, number FROM files))) WHERE place <= 5")
+def compare_first_gained(spark, d):
+    return audit.first_few(audit.gained(files(spark, d), later(spark, d)))
+
+
+@query(RUN + "SELECT number, count(*) AS n, CAST(sum(size) AS BIGINT) AS size FROM files WHERE doc_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1")
+def audit_successes(spark, d):
+    return audit.of_successes(outcomes(spark, d), files(spark, d)).groupBy("number").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+
+
+ATTEMPTS_SQL = "att AS (SELECT l_orderkey AS doc_id, l_linenumber AS attempt, CASE WHEN l_returnflag = 'R' THEN 'success' ELSE 'failed' END AS status, CASE WHEN l_returnflag <> 'R' THEN l_linestatus END AS error FROM lineitem)"
+
+
+def attempts(spark: SparkSession, d: str) -> DataFrame:
+    ok = F.col("l_returnflag") == "R"
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("attempt"), F.when(ok, "success").otherwise("failed").alias("status"), F.when(~ok, F.col("l_linestatus")).alias("error"))
+
+
+@query(f"WITH {ATTEMPTS_SQL} SELECT count(DISTINCT doc_id) AS total, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed FROM att")
+def attempts_summary(spark, d):
+    return audit.attempts_summary(attempts(spark, d))
+
+
+@query(f"WITH {ATTEMPTS_SQL} SELECT doc_id, attempt, status, error FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY attempt DESC, status DESC, error DESC NULLS LAST) AS r FROM att) WHERE r = 1")
+def latest_attempts(spark, d):
+    return audit.latest(attempts(spark, d))
+
+
+@query("SELECT event_id, '[' || props || ']' AS json FROM events")
+def json_array_extract(spark, d):
+    a = F.concat(F.lit("["), F.col("props"), F.lit("]"))
+    t = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("Here:\n```json\n"), a, F.lit("\n```"))).otherwise(F.concat(F.lit("so "), a, F.lit(" done")))
+    return table(spark, d, "events").select("event_id", T.json_array(t).alias("json"))
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(p_name || ' / ' || p_partkey || '?', '[^\\w]+', '_', 'g'), '^_+|_+$', '', 'g') AS entry, replace(replace(p_name, '、', '_'), '/', '_') AS name, substr(regexp_replace(p_name || ': ' || p_partkey, '[\\\\/:*?\"<>|]', '_', 'g'), 1, 30) AS title FROM part")
+def safe_names(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", T.safe_entry(F.concat("p_name", F.lit(" / "), "p_partkey", F.lit("?"))).alias("entry"), T.safe_name(F.col("p_name")).alias("name"), T.safe_title(F.concat("p_name", F.lit(": "), "p_partkey")).alias("title"))
+
+
 @query("SELECT o_orderkey, '60' || o_custkey AS code, replace(o_orderpriority, ' ', '_') AS name, CAST(2000 + o_orderkey % 25 AS VARCHAR) AS year FROM orders")
 def doc_id_parse(spark, d):
     i = F.concat(F.lit("60"), F.col("o_custkey"), F.lit("_"), F.translate("o_orderpriority", " ", "_"), F.lit("_"), F.col("o_orderkey") % 25 + 2000)
@@ -300,24 +370,45 @@ def extraction_validate(spark, d):
     return extract.validate(extract.facts(extract.parse(a))).select("doc_id", F.array_join("broken", "+").alias("broken"))
 
 
-@query()
+_VOTES = lambda words: " + ".join(f"contains(content, '{w}')::INT" for w in words.split())
+_BY_NAME = " ".join(f"WHEN canonical IN ({', '.join(repr(n) for n in names.split())}) THEN '{t}'" for t, (names, _) in classify.TIERS.items())
+
+
+@query(f"""{splitsql.WITH_SPANS}, vt AS (SELECT doc_id, canonical, [{', '.join(_VOTES(w) for _, w in classify.TIERS.values())}] AS v, length(content) AS n FROM spans),
+ lab AS (SELECT *, CASE {_BY_NAME} WHEN list_max(v) > 0 THEN ['strong', 'semi', 'weak', 'low'][list_position(v, list_max(v))] WHEN n >= 1000 THEN 'strong' WHEN n >= 500 THEN 'semi' WHEN n >= 50 THEN 'weak' ELSE 'low' END AS tier FROM vt)
+ SELECT doc_id, count(*) AS total, count(*) FILTER (tier = 'strong') AS strong, count(*) FILTER (tier = 'semi') AS semi, count(*) FILTER (tier = 'weak') AS weak, count(*) FILTER (tier = 'low') AS low, round(count(*) FILTER (tier = 'strong') * 100 / count(*), 1) AS strong_ratio FROM lab GROUP BY 1""")
 def value_tier_counts(spark, d):
-    s = split.split_sections(reports(spark, d), catalog.section_catalog(spark))
-    return classify.value_tier(s).groupBy("canonical", "tier").agg(F.count("*").alias("sections"))
+    return classify.tier_summary(classify.value_tier(split.split_sections(reports(spark, d), catalog.section_catalog(spark))))
 
 
 # Tiers for the English test documents.
 WORDS = {"strong": ("", "the onto"), "semi": ("", "stion ingen"), "weak": ("", "hand erth"), "low": ("", "zzz")}
+LABEL_SQL = """lab AS (SELECT doc_id, canonical, CASE WHEN best > 0 AND a = best THEN 'strong' WHEN best > 0 AND b = best THEN 'semi' WHEN best > 0 AND c = best THEN 'weak' WHEN best > 0 THEN 'low' WHEN n >= 1000 THEN 'strong' WHEN n >= 500 THEN 'semi' WHEN n >= 50 THEN 'weak' ELSE 'low' END AS tier,
+ best, n, a, b, c, z FROM (SELECT *, greatest(a, b, c, z) AS best FROM (SELECT doc_id, source AS canonical, length(text) AS n,
+ contains(text, 'the')::INT + contains(text, 'onto')::INT AS a, contains(text, 'stion')::INT + contains(text, 'ingen')::INT AS b, contains(text, 'hand')::INT + contains(text, 'erth')::INT AS c, contains(text, 'zzz')::INT AS z FROM documents)))"""
 
 
-@query("""SELECT doc_id, source AS canonical, CASE WHEN best > 0 AND a = best THEN 'strong' WHEN best > 0 AND b = best THEN 'semi' WHEN best > 0 AND c = best THEN 'weak'
- WHEN n > 5000 THEN 'semi' WHEN n > 500 THEN 'weak' ELSE 'low' END AS tier, CAST(best AS BIGINT) AS votes FROM (SELECT *, greatest(a, b, c) AS best FROM (SELECT doc_id, source, length(text) AS n,
- contains(text, 'the')::INT + contains(text, 'onto')::INT AS a, contains(text, 'stion')::INT + contains(text, 'ingen')::INT AS b, contains(text, 'hand')::INT + contains(text, 'erth')::INT AS c FROM documents))""")
+@query(f"""WITH {LABEL_SQL} SELECT doc_id, canonical, tier, CAST(best AS BIGINT) AS votes, CASE WHEN best > 0 THEN 'keywords:' || best ELSE 'length:' || n END AS evidence,
+ round(least(CASE WHEN n < 200 THEN 0.5 * 0.8 ELSE 0.5 END + CASE WHEN (CASE tier WHEN 'strong' THEN a WHEN 'semi' THEN b WHEN 'weak' THEN c ELSE z END) > 0 THEN 0.1 ELSE 0 END, 1), 2)::DOUBLE AS score FROM lab""")
 def value_tier(spark, d):
-    s = table(spark, d, "documents").select("doc_id", F.col("source").alias("canonical"), F.col("text").alias("content"))
+    s = table(spark, d, "documents").select("doc_id", F.col("source").alias("canonical"), F.col("text").alias("content"), F.lit(0.5).alias("confidence"))
     return classify.value_tier(s, WORDS)
 
 
+@query("""WITH lab AS (SELECT doc_id, lang AS canonical, CASE WHEN doc_id % 3 = 0 THEN text ELSE '' END AS content FROM documents), t AS (SELECT *, length(content) AS n FROM lab)
+ SELECT doc_id, canonical, CASE WHEN n >= 1000 THEN 'strong' WHEN n >= 500 THEN 'semi' WHEN n >= 50 THEN 'weak' ELSE 'low' END AS tier, CAST(0 AS BIGINT) AS votes, CASE WHEN n < 200 THEN 0.8 ELSE 1.0 END::DOUBLE AS score, 'length:' || n AS evidence, 'matched' AS status FROM t""")
+def section_labels(spark, d):
+    t = table(spark, d, "documents")
+    found = t.select("doc_id", F.col("lang").alias("canonical"), F.lit(1.0).alias("confidence"), F.lit("matched").alias("status"))
+    return classify.labelled(t.filter("doc_id % 3 = 0").select("doc_id", F.col("lang").alias("canonical"), F.col("text").alias("content")), found)
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'LOW' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'UNMAPPED' ELSE 'MEDIUM' END AS value, CASE doc_id % 4 WHEN 0 THEN 'MEDIUM' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'HIGH' ELSE 'MEDIUM' END AS lossless_value FROM documents")
+def mapped_values(spark, d):
+    name = F.element_at(F.array(*[F.lit(n) for n in ("债券相关情况", "财务报告", "财务报表附注", "公司治理")]), (F.col("doc_id") % 4 + 1).cast("int"))
+    return table(spark, d, "documents").select("doc_id", classify.mapped_value(name).alias("value"), classify.mapped_value(name, "lossless").alias("lossless_value"))
+
+
 @query(REP + """SELECT doc_id, points, CASE WHEN points >= 50 THEN 'summary' WHEN points > 0 THEN 'unknown' ELSE 'annual_report' END AS doc_type FROM (SELECT doc_id, CAST(
  CASE WHEN contains(substr(text, 1, 3000), '年度报告摘要') OR contains(substr(text, 1, 3000), '年报摘要') THEN 60 ELSE 0 END + CASE WHEN regexp_matches(substr(text, 1, 20000), '以上.*?摘自.*?年度报告|详见.*年度报告全文') THEN 25 ELSE 0 END
  + CASE WHEN greatest(1, length(text) // 1500) <= 30 AND contains(substr(text, 1, 3000), '摘要') THEN 15 ELSE 0 END AS BIGINT) AS points FROM reports)""")
@@ -365,14 +456,71 @@ def nearby_dedup(spark, d):
     return ordered.spread(e, "user_id", "pos", 3600)
 
 
-@query(REP + "SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\\s*(第[一二三四五六七八九十0-9]+[节章]|[一二三四五六七八九十]+、|[0-9]+[.、])?\\s*(.+?)\\s*[.．…·]{3,}\\s*([0-9]{1,4})\\s*$') OR regexp_matches(x, '^\\s*(第[一二三四五六七八九十0-9]+[节章]|[一二三四五六七八九十]+、|[0-9]+[.、])\\s*(.+?)\\s+([0-9]{1,4})\\s*$'))) AS INTEGER) AS valid FROM reports")
+def made(spark: SparkSession, d: str, sql: str, of: str = "lines") -> DataFrame:
+    rows = numbered_lines(spark, d) if of == "lines" else table(spark, d, of)
+    return spark.sql(sql.replace(f"FROM {of}", "FROM {rows}"), rows=rows)
+
+
+def paged(spark: SparkSession, d: str) -> DataFrame:
+    return made(spark, d, PAGES).select("doc_id", "page_no", F.explode(F.array("text")).alias("text"))
+
+
+@query(contentsql.TOC_PAGES)
 def toc_lines(spark, d):
-    return toc.toc_pages(reports(spark, d).withColumn("page_no", F.lit(1))).select("doc_id", "valid")
+    return contents.contents_pages(paged(spark, d))
 
 
-@query()
+@query(contentsql.SCANNED)
 def toc_entries(spark, d):
-    return toc.toc_entries(reports(spark, d).withColumn("page_no", F.lit(1)))
+    return contents.scanned(paged(spark, d))
+
+
+@query(contentsql.CASCADE)
+def toc_cascade(spark, d):
+    return contents.parse(paged(spark, d), made(spark, d, OUTLINES))
+
+
+@query(contentsql.SCORES)
+def toc_page_scores(spark, d):
+    return contents.page_scores(made(spark, d, SPANS, "lineitem"))
+
+
+@query(contentsql.BEST)
+def toc_best_page(spark, d):
+    return contents.best_page(contents.page_scores(made(spark, d, SPANS, "lineitem")))
+
+
+@query(contentsql.READABLE)
+def readable_spans(spark, d):
+    return contents.readable(made(spark, d, SPANS, "lineitem")).select("doc_id", "page", "order_no", "text", "is_bold", "center_x", "width")
+
+
+@query(contentsql.FORMATS)
+def toc_formats(spark, d):
+    p = made(spark, d, PRINTED)
+    return contents.structure(p, p.select("doc_id", "page", "line_no", F.col("text").alias("title"), F.col("line_no").alias("target")))
+
+
+@query(contentsql.PLAIN)
+def toc_plain_lines(spark, d):
+    ls = paged(spark, d).select("doc_id", "page_no", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return ls.select("doc_id", "page_no", "line_no", F.explode(F.array_compact(F.array(contents.plain_entry(F.col("line"))))).alias("e")).select("doc_id", "page_no", "line_no", "e.*")
+
+
+@query("SELECT conv_id AS doc_id, string_agg('--- Page ' || (turn + 1) || ' ---' || chr(10) || coalesce(text, ''), chr(10) ORDER BY turn) AS text FROM conversations GROUP BY 1")
+def joined_pages(spark, d):
+    return contents.joined_pages(turns(spark, d)[0])
+
+
+@query("SELECT l_orderkey AS doc_id, 'a_' || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_linestatus) AS VARCHAR), 2, '0') || '_' || replace(l_linestatus, ' ', '_') || '_' || l_linenumber || '.pdf' AS file, l_linenumber AS first, l_linenumber + 2 AS last FROM lineitem")
+def slice_plan(spark, d):
+    c = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.concat(F.replace("l_linestatus", F.lit(" "), F.lit("/")), F.lit("?"), F.col("l_linenumber")).alias("title"), F.col("l_linenumber").alias("start_page"), (F.col("l_linenumber") + 2).alias("end_page"))
+    return contents.slice_plan(c, "a_")
+
+
+@query("SELECT l_orderkey AS doc_id, count(*) FILTER (l_returnflag = 'R') AS found, count(*) AS total FROM lineitem GROUP BY 1")
+def verified_share(spark, d):
+    return contents.verified_share(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_returnflag") == "R").alias("verified")))
 
 
 @query(f"WITH {LINES_SQL} " + """SELECT k, idx AS page, (SELECT o.s FROM lines o WHERE o.k = l.k AND o.idx % 3 = 0 AND abs(o.idx - l.idx) <= 2 ORDER BY abs(o.idx - l.idx), o.idx LIMIT 1) AS shift FROM lines l""")
@@ -381,10 +529,11 @@ def page_nearest_map(spark, d):
     return toc.nearest(t.select("k", "page"), t.filter("page % 3 = 0"), "k", "page", "shift", 2)
 
 
-@query()
+@query("""WITH p AS (SELECT conv_id AS doc_id, CAST(turn AS INTEGER) + 1 AS page_no, text FROM conversations), e AS (SELECT doc_id, 't' || page_no AS title, page_no - page_no % 2 AS page FROM p WHERE page_no % 3 > 0),
+ n AS (SELECT *, coalesce(lead(page) OVER (PARTITION BY doc_id ORDER BY page, title), 2147483647) AS hi FROM e) SELECT n.doc_id, title, md5(string_agg(text, chr(10) || chr(10) ORDER BY page_no)) AS h FROM n JOIN p ON p.doc_id = n.doc_id AND page_no >= page AND page_no < hi GROUP BY n.doc_id, title, page""")
 def toc_slice_pages(spark, d):
-    p = reports(spark, d).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("page_no", "text"))
-    e = toc.toc_entries(reports(spark, d).withColumn("page_no", F.lit(1))).select("doc_id", "title", "page")
+    p = turns(spark, d)[0]
+    e = p.filter("page_no % 3 > 0").select("doc_id", F.concat(F.lit("t"), F.col("page_no")).alias("title"), F.expr("page_no - page_no % 2").alias("page"))
     return toc.page_slices(p, e).select("doc_id", "title", F.md5("text").alias("h"))
 
 
@@ -405,14 +554,14 @@ def html_body_text(spark, d):
     return table(spark, d, "pages").select("page_id", F.md5(T.html_text(F.col("html"))).alias("h"))
 
 
-@query()
+@query(foldsql.SUB_SECTIONS)
 def sub_sections(spark, d):
     s = split.split_sections(reports(spark, d), catalog.section_catalog(spark)).filter("canonical = '财务报告'")
     aliases = spark.createDataFrame([("body", "公司业务"), ("title", "财务")], "sub string, alias string")
     return toc.sub_sections(s, aliases)
 
 
-@query()
+@query(foldsql.ANSWERS)
 def extract_answers(spark, d):
     """A stub client through the same path as a real one: prompts of whole texts, answers that depend on all of them, typed columns."""
     rows = documents(spark, d).select("doc_id", extract.prompt("Extract from: {text}", text=F.col("text")).alias("prompt"))
@@ -446,7 +595,7 @@ def line_scored_candidates(spark, d):
     return linescore.scored_lines(reports(spark, d)).select("doc_id", "canonical", "raw_title", "line_no", "start", "points")
 
 
-@query()
+@query(foldsql.picked(SQL["line_scored_candidates"]))
 def line_scored_select(spark, d):
     return linescore.pick(linescore.scored_lines(reports(spark, d))).select("doc_id", "canonical", "start", "points")
 
@@ -463,7 +612,7 @@ def notes_tier(spark, d):
     return table(spark, d, "part").select("p_partkey", financial.note_tier(title).alias("tier"))
 
 
-@query()
+@query(foldsql.DEEP)
 def financial_deep_split(spark, d):
     return financial.deep_split(financials(spark, d))
 
@@ -485,15 +634,15 @@ def aliases(spark: SparkSession, names: dict[str, str]) -> DataFrame:
     return spark.createDataFrame([(n, a) for n, words in names.items() for a in words.split(" ")], "sub string, alias string")
 
 
-@query()
+@query(foldsql.STATEMENTS)
 def fin_statements(spark, d):
     f = financials(spark, d)
     return financial.statements(f, toc.sub_sections(f.withColumnRenamed("text", "content"), aliases(spark, financial.STATEMENT_ALIASES)))
 
 
-@query()
+@query(foldsql.PLACES)
 def title_places(spark, d):
-    names = F.array(*[F.lit(t) for t in ("公司简介和主要财务指标", "管理层讨论与分析", "公司治理", "重要事项", "股份变动及股东情况", "财务报告")])
+    names = F.array(*[F.lit(t) for t in foldsql.TITLES])
     return financial.place_titles(reports(spark, d).withColumn("titles", names))
 
 
@@ -506,7 +655,7 @@ def content_points(spark, d):
     return boundaries.content_points(reports(spark, d), NEARBY)
 
 
-@query()
+@query(foldsql.MERGE)
 def boundary_merge(spark, d):
     e = table(spark, d, "events").select(F.col("user_id").alias("doc_id"), (F.unix_timestamp("ts") % 1_000_000).alias("pos"), F.col("event_type").alias("canonical"), (F.col("event_id") % 10 / 10).alias("confidence"))
     return boundaries.merge_near(e)
@@ -527,12 +676,12 @@ def merged_titles(spark, d):
     return boundaries.split_merged(r, r.select("doc_id", F.lit(0).alias("pos"), F.lit("第三节 公司治理、环境和社会").alias("title"), F.lit("公司治理").alias("canonical"), F.lit(0.5).alias("confidence")))
 
 
-@query()
+@query(foldsql.BLOCK_LINES)
 def block_lines(spark, d):
     return layout.page_lines(blocks(spark, d))
 
 
-@query()
+@query(foldsql.COLUMNS)
 def column_entries(spark, d):
     return layout.column_entries(blocks(spark, d))
 
