@@ -52,7 +52,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut and a lost executor costs nothing."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes written tables that no later step reads, so that a long operator holds little of the shared folder."""
+    for t in tables:
+        hadoop = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_path)
+        hadoop.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 #: Rows of a few longs that may be broadcast: about 30 MB. Larger tables are joined by shuffling.

@@ -6,7 +6,7 @@ two texts share the more likely the smaller their edit distance is. Texts that s
 each is held against the least text and, where that leaves a bucket unconnected, against the greatest; buckets of five-word
 shingles come first. What is still unconnected in a bucket (unlike texts with a common passage, say) is held against
 each other in blocks: word counts in BINS bins give a lower bound of the edits, and pairs that it doesn't rule out become
-candidates, so no pair of a bucket is skipped. A candidate is verified by alignment of the words within a diagonal band:
+candidates, in the first of the buckets that they share. So no pair of a bucket is skipped. A candidate is verified by alignment of the words within a diagonal band:
 similarity is 1 - edits / words of the longer text.
 
 Two texts of shingle similarity j share a sketch of one length with probability of about j * j. Every fifth word
@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import BASE, U, grams, mix
-from .common import checked_broadcast, salted_join, small_batches, written
+from .anchors import BASE, U, bits_of, grams, mix, passes
+from .common import checked_broadcast, forget, salted_join, small_batches, written
 from .links import components
 from .window_dedup import word_hashes
 
@@ -114,6 +114,12 @@ def open_pairs(n: np.ndarray, comp: np.ndarray, side: np.ndarray, bins: np.ndarr
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def first_shared(keys: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of each pair (i, j) of rows of ``keys`` the first place where they agree."""
+    parts = [(keys[i[a : a + 10_000]] == keys[j[a : a + 10_000]]).argmax(1) for a in range(0, len(i), 10_000)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
 def within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """The edit distance of two arrays if it is at most ``most``, else None."""
     if abs(len(a) - len(b)) > most:
@@ -241,15 +247,27 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("body"))
     base = written(rows.mapInArrow(sketched, f"doc_id {kind}, body long, t long, n int, sketches array<long>"), "sketches")
+    texts = written(base.filter("n > 0").groupBy("t").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketches").alias("sketches")), "texts")
+    wide, base = base, written(base.drop("sketches"), "rows")
+    forget(wide)
     some = base.filter("n > 0")
+    shared = written(texts.select(F.explode("sketches").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket"), "buckets")
+    # most keys are in one text only: a filter of fixed size that passes all the others spares their way to the join
+    bits = spark.sparkContext.broadcast(bits_of(shared))
 
-    texts = written(some.groupBy("t").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketches").alias("sketches")), "texts")
-    placed = texts.select("t", "n", "rep", F.posexplode("sketches").alias("k", "bucket")).withColumn("five", F.col("k") < SHINGLES[0][1]).drop("k")
-    shared = written(placed.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket"), "buckets")
-    members = written(placed.join(shared, "bucket"), "members")
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column(2).flatten().to_numpy().view(U)
+            at = np.flatnonzero(passes(keys, bits.value))
+            row = pa.array(at // KEYS)
+            yield pa.RecordBatch.from_arrays([_longs(keys[at]), pa.array(at % KEYS, pa.int32()), b.column(0).take(row), b.column(1).take(row)], names=["bucket", "k", "t", "n"])
+
+    members = written(texts.select("t", "n", "sketches").mapInArrow(dealt, "bucket long, k int, t long, n int").join(shared, "bucket"), "members")
+    forget(shared)
 
     # words of the texts that have company
-    reps = checked_broadcast(written(members.select(F.col("rep").alias("doc_id")).distinct(), "reps"))
+    company = members.select("t").distinct().join(texts.select("t", "rep"), "t")
+    reps = checked_broadcast(written(company.select(F.col("rep").alias("doc_id")).distinct(), "reps"))
 
     def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -280,11 +298,14 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         own = rows.withColumn("comp", F.col("t"))
         if labels is not None:
             own = rows.join(labels.select(F.col("v").alias("t"), F.col("c").alias("l")), "t", "left").withColumn("comp", F.coalesce("l", "t"))
-        own = written(own.select("bucket", "t", "n", "comp"), "named-members")
+        own = written(own.select("bucket", "k", "t", "n", "comp"), "named-members")
+        tables.append(own)
         item = F.struct("t", "n", "comp")
         apart = own.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(item).alias("lo"), F.max(item).alias("hi"), F.count("*").alias("c")).filter(f"x <> y AND c > {more_than}")
         return written(own.join(apart.select("bucket", "lo", "hi", "c"), "bucket"), "unconnected")
 
+    tables = []
+
     def learn(pairs: DataFrame) -> None:
         nonlocal tried, labels
         pairs = pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
@@ -294,26 +315,35 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             labels = written(components(tried.filter("ok")), "components")
 
     tried = labels = None
-    left = members.filter("five")
-    for end, more_than in (("lo", 1), ("lo", 1), ("hi", 2)):
+    five = F.col("k") < SHINGLES[0][1]
+    left = members.filter(five)
+    for turn, (end, more_than) in enumerate((("lo", 1), ("lo", 1), ("hi", 2))):
         left = unconnected(left, more_than)
+        forget(*tables)
+        tables.clear()
         near = F.least(F.col("n"), F.col(f"{end}.n")) >= F.greatest(F.col("n"), F.col(f"{end}.n")) * threshold - 1e-9
         pairs = left.filter((F.col("comp") != F.col(f"{end}.comp")) & near)
         learn(pairs.select(F.least(F.col("t"), F.col(f"{end}.t")).alias("a"), F.greatest(F.col("t"), F.col(f"{end}.t")).alias("b")).distinct())
-        if end == "lo" and "five" in members.columns:  # buckets of five-word shingles have been first; what they leave goes on with all others
-            left, members = left.select("bucket", "t", "n").unionByName(members.filter("NOT five").select("bucket", "t", "n")), members.drop("five")
+        left = left.select("bucket", "k", "t", "n")
+        if not turn:  # buckets of five-word shingles have been first; what they leave goes on with all others
+            left = left.unionByName(members.filter(~five))
     # what is still apart in a bucket: each against each, BLOCK by BLOCK members
-    mixed = unconnected(left, 2).select("bucket", "t", "n", "comp", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")).join(words.select("t", "bins"), "t")
+    left = unconnected(left, 2).select("bucket", "k", "t", "n", "comp", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
+    apart = checked_broadcast(written(left.select("t").distinct(), "apart"))
+    about = texts.select("t", "sketches").join(apart, "t", "left_semi").join(words.select("t", "bins"), "t")
+    mixed = left.join(about, "t")
     own = F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int")
     mixed = mixed.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    mixed = mixed.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "t", "n", "comp", "side", "bins")
+    mixed = mixed.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "t", "n", "comp", "side", "k", "bins", "sketches")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(cols: list[np.ndarray], ends: np.ndarray) -> pa.RecordBatch:
             a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for at, end in zip(ends, ends[1:]):
-                _, lo, hi, t, n, comp, side, bins = (c[at:end] for c in cols)
+                _, lo, hi, t, n, comp, side, k, bins, own = (c[at:end] for c in cols)
                 i, j = open_pairs(n, comp, side, bins, bool(lo[0] != hi[0]), threshold)
+                new = first_shared(own, i, j) == k[0]
+                i, j = i[new], j[new]
                 a.append(np.minimum(t[i], t[j]))
                 b.append(np.maximum(t[i], t[j]))
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
@@ -322,8 +352,9 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:7]]
-            cols.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(-1, BINS))
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:8]]
+            cols.append(np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint8).reshape(-1, BINS))
+            cols.append(batch.column(9).flatten().to_numpy().reshape(-1, KEYS))
             cols = [np.concatenate(x) for x in zip(rest, cols)] if rest else cols
             new = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])) + 1
             if len(new):
@@ -336,12 +367,13 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     learn(written(mixed.mapInArrow(compared, "a long, b long").distinct(), "open-pairs"))
     nothing = spark.createDataFrame([], "v long, c long, a long, b long, ok boolean")
     tried, labels = tried if tried is not None else nothing.select("a", "b", "ok"), labels if labels is not None else nothing.select("v", "c")
+    forget(members, words, texts)
     ok = tried.filter("ok")
     degree = ok.select(F.col("a").alias("t")).union(ok.select("b")).groupBy("t").agg(F.count("*").alias("n_links"))
     ids = written(some.groupBy("t").agg(F.min("doc_id").alias("rep")).join(labels.withColumnRenamed("v", "t"), "t", "left").withColumn("c", F.coalesce("c", "t")), "texts")
     least = written(ids.groupBy("c").agg(F.min("rep").alias("class_id")), "class-ids")
-    texts = salted_join(ids.select("t", "c"), least, "c", "t").join(degree, "t", "left").select("t", "c", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    named = salted_join(some.select("doc_id", "body", "t", "n"), written(texts, "texts"), "t", "doc_id").select("doc_id", "body", "n", "c", "class_id", "n_links")
+    links = salted_join(ids.select("t", "c"), least, "c", "t").join(degree, "t", "left").select("t", "c", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    named = salted_join(some.select("doc_id", "body", "t", "n"), written(links, "links"), "t", "doc_id").select("doc_id", "body", "n", "c", "class_id", "n_links")
     none = base.filter("n = 0").select("doc_id", "body", "n", F.lit(None).cast("long").alias("c"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return named.unionByName(none)
 
