@@ -220,7 +220,8 @@ def anonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     tasks = max(1, min(size // SMALL_TASK, MANY_TASKS), size // LARGE_TASK)
     texts = base.groupBy("tkey").agg(F.any_value("row.text").alias("text")).repartition(tasks, "tkey")
     parts = texts.select("tkey", F.split("text", MASTER, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(MASTER), F.lit(0)).alias("old"))
-    parts = written(parts.filter(F.size("old") > 0), "parts")
+    parts = written(parts, "parts")  # not filtered before, as a filter on matches would be worked out ahead of the deal
+    parts = parts.filter(F.size("old") > 0)
     found = (
         parts.select("tkey", F.posexplode("old").alias("at", "mention"))
         .withColumn("kind", kind_of(F.col("mention")))
