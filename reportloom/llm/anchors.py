@@ -152,7 +152,7 @@ def _bits(docs: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]
             for key in keys(b):
                 held += cells(key)
                 n += len(key)
-                if n > 2_000_000:
+                if n > 500_000:
                     yield out(held)
                     held, n = [], 0
         if n:

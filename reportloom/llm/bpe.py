@@ -184,7 +184,7 @@ class WordBpe:
         """As the library does without a decoder: tokens joined by spaces, special ones kept."""
         return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
-    def encode_batch(self, texts: list[str | None], chars: int = 4_000_000) -> Iterator[tuple[int, str, str]]:
+    def encode_batch(self, texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, str, str]]:
         """Of each text: number of ids, ids joined by spaces, decoded text. Null counts as empty.
 
         Texts of about ``chars`` characters are looked up together.

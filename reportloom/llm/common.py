@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Words of a text in the contracts: runs of anything but six ASCII blanks.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Rows of an Arrow batch. Texts can be long, so batches have few rows.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to BATCH_ROWS rows: with texts of 100 KB a batch stays near 50 MB."""
+    """Hold Arrow batches to BATCH_ROWS rows: with texts of 100 KB a batch stays near 25 MB."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
