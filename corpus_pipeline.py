@@ -10,17 +10,17 @@ from reportloom.llm.common import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; a null or empty text has no words and goes. Repeated rows stay."""
     return quality.judge(docs, docs.columns).filter("kept").select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the least doc_id."""
+    """Of each class of near-duplicates the document with the least doc_id, rows without one last; rows are told apart by doc_id and text, equal ones are one."""
     return order_minhash.first_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; one without doc_id stays, as no result could name it."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -43,7 +43,7 @@ STAGES = [
     ("bpe", encoding),
 ]
 
-#: SQL expresses neither the rules' posterior nor the surrogates; tests hold run() against plain Python instead.
+#: SQL expresses neither the rules' posterior nor the surrogates. tests/llm/test_pipeline.py holds run() against brute force on a small table (posterior and surrogates come from the operators).
 ORACLE_SQL = None
 
 
