@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import json_object
+from ..functions.text import doc_id_parts, json_array, json_object
 
 _EVIDENCE = "quote_summary:string,quote:string,source_section:string"
 #: The typed form of an extraction.
@@ -33,26 +33,81 @@ def prompt(template: str, **parts: Column) -> Column:
 
 
 def ask(rows: DataFrame, client: Callable[[], Client], attempts: int = 3, wait: float = 2.0) -> DataFrame:
-    """(doc_id, answer, attempt, error) for rows (doc_id, prompt): one client a partition, tries with doubling waits, an error row after the last."""
+    """rows with answer, attempt and error instead of prompt: one client a partition, tries with doubling waits, an error row after the last.
+
+    A column session goes to the client as its second argument. As many requests run at a time as there are tasks.
+    """
+    keys = [f for f in rows.schema.fields if f.name not in ("prompt", "session")]
+    asked = [c for c in ("prompt", "session") if c in rows.columns]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = client()
+
+        def answer(*question) -> tuple:
+            for k in range(1, attempts + 1):
+                try:
+                    return call(*question), k, None
+                except Exception as e:  # noqa: BLE001  the answer row says what failed
+                    if k == attempts:
+                        return None, k, str(e)
+                    time.sleep(wait**k)
+
         for b in batches:
-            out = []
-            for doc_id, text in zip(b["doc_id"], b["prompt"]):
-                for k in range(1, attempts + 1):
-                    try:
-                        out.append((doc_id, call(text), k, None))
-                        break
-                    except Exception as e:  # noqa: BLE001  the answer row says what failed
-                        if k == attempts:
-                            out.append((doc_id, None, k, str(e)))
-                        else:
-                            time.sleep(wait**k)
-            yield pd.DataFrame(out, columns=["doc_id", "answer", "attempt", "error"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "prompt").mapInPandas(run, f"doc_id {kind}, answer string, attempt int, error string")
+            out = [answer(*question) for question in zip(*(b[c] for c in asked))]
+            b = b[[f.name for f in keys]].copy()
+            for k, name in enumerate(("answer", "attempt", "error")):
+                b[name] = [x[k] for x in out]
+            yield b
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys)
+    return rows.mapInPandas(run, f"{schema}, answer string, attempt int, error string")
+
+
+def message(template: str, doc_id: Column, **more: Column) -> Column:
+    """A document's message: ``template`` with {doc_id}, {code}, {name}, {year} and what else is given."""
+    parts = doc_id_parts(doc_id)
+    return prompt(template, doc_id=doc_id, code=parts["code"], name=parts["name"], year=parts["year"], **more)
+
+
+def region_prompts(docs: DataFrame, regions: DataFrame, template: str, sections: dict[str, str]) -> DataFrame:
+    """(doc_id, start, end, prompt) for regions (doc_id, start, end): {start}, {end}, {sections}, one in a line with its words, and the region's {text}."""
+    names = "\n".join(f"- {name}: {words}" for name, words in sections.items())
+    both = regions.select("doc_id", "start", "end").join(docs.select("doc_id", "text"), "doc_id")
+    text = F.substring(F.col("text"), F.col("start") + 1, F.col("end") - F.col("start"))
+    return both.select("doc_id", "start", "end", prompt(template, start=F.col("start"), end=F.col("end"), sections=F.lit(names), text=text).alias("prompt"))
+
+
+def region_boundaries(docs: DataFrame, answers: DataFrame, confidence: float = 0.9) -> DataFrame:
+    """(doc_id, pos, raw_title, canonical, confidence) of answers (doc_id, start, answer) with a JSON array of titles.
+
+    A title is where its text first stands from the region's start on, or else at the start. Answers without an array and
+    items without both names give no rows.
+    """
+    items = F.from_json(json_array(F.col("answer")), "array<struct<raw_title:string,canonical_name:string>>")
+    each = answers.select("doc_id", "start", F.explode(items).alias("x")).select("doc_id", "start", "x.raw_title", F.col("x.canonical_name").alias("canonical"))
+    each = each.filter("raw_title IS NOT NULL AND canonical IS NOT NULL").join(docs.select("doc_id", "text"), "doc_id")
+    at = F.when(F.col("raw_title") != "", F.expr("locate(raw_title, text, start + 1)")).otherwise(0)
+    pos = F.when(at > 0, at - 1).otherwise(F.col("start")).cast("int")
+    return each.select("doc_id", pos.alias("pos"), "raw_title", "canonical", F.lit(confidence).alias("confidence"))
+
+
+#: The JSON schema that binds a model's answer about contents.
+CONTENTS_FORM = {
+    "type": "object", "required": ["sections"],
+    "properties": {"sections": {"type": "array", "items": {
+        "type": "object", "required": ["order", "raw_title"],
+        "properties": {"order": {"type": "integer"}, "raw_title": {"type": "string"}, "canonical_name": {"type": ["string", "null"]}},
+    }}},
+}
+
+
+def contents_answers(answers: DataFrame) -> DataFrame:
+    """(doc_id, order, raw_title, canonical) of answers in CONTENTS_FORM; sections without a canonical name and answers of another form give no rows."""
+    form = "struct<sections:array<struct<order:int,raw_title:string,canonical_name:string>>>"
+    sections = F.from_json("answer", form)["sections"]
+    sound = F.forall(sections, lambda x: x["order"].isNotNull() & x["raw_title"].isNotNull())
+    each = answers.select("doc_id", F.explode(F.when(sound, sections)).alias("x")).filter("x.canonical_name <> ''")
+    return each.select("doc_id", "x.order", "x.raw_title", F.col("x.canonical_name").alias("canonical"))
 
 
 def parse(answers: DataFrame, schema: str = SCHEMA) -> DataFrame:
