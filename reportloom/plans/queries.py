@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import audit, boundaries, catalog, classify, clean, contents, extract, financial, layout, linescore, ordered, split, toc
+from ..sources import files as section_files
+from ..sources import gateway
 from . import contentsql, foldsql, splitsql
 from .corpus import BLOCKS, CONTENTS_LINES, FINANCIALS, OUTLINES, PAGES, PRINTED, REPORTS, SPANS
 
@@ -572,6 +575,61 @@ def extract_answers(spark, d):
     return extract.facts(extract.parse(extract.ask(rows, client))).select("doc_id", "category", "name", "ratio")
 
 
+@query("WITH r AS (SELECT doc_id, text, unnest([0, length(text) // 2]) AS s, unnest([length(text) // 2, length(text)]) AS e FROM documents WHERE length(text) > 0), t AS (SELECT *, right(substr(text, s + 1, e - s), 12) AS raw_title FROM r) SELECT doc_id, CAST(CASE WHEN raw_title = '' THEN s ELSE strpos(substr(text, s + 1), raw_title) - 1 + s END AS INTEGER) AS pos, raw_title, 'x' AS canonical, CAST(0.9 AS DOUBLE) AS confidence FROM t")
+def region_boundaries(spark, d):
+    """A stub client that names each region's last characters as a title: prompts by region, arrays in answers, places."""
+    docs = documents(spark, d)
+    half = F.floor(F.length("text") / 2).cast("int")
+    ends = F.array(F.struct(F.lit(0).alias("start"), half.alias("end")), F.struct(half.alias("start"), F.length("text").alias("end")))
+    regions = docs.filter(F.length("text") > 0).select("doc_id", F.inline(ends))
+    asked = extract.region_prompts(docs, regions, "{start}-{end}\n{sections}\n{text}", {"x": "a, b"})
+
+    def client():
+        return lambda text: "```json\n" + json.dumps([{"raw_title": text.split("\n", 2)[2][-12:], "canonical_name": "x"}, {"raw_title": "y"}]) + "\n```"
+
+    return extract.region_boundaries(docs, extract.ask(asked, client))
+
+
+@query("SELECT p_partkey, p_partkey % 3 = 0 AS ok, CASE WHEN p_partkey % 3 = 0 THEN '{\"key\": ' || p_partkey || '}' END AS result, CASE p_partkey % 3 WHEN 1 THEN 'tool_not_found' WHEN 2 THEN 'RuntimeError' END AS error_type, CASE p_partkey % 3 WHEN 1 THEN 'Tool ''none'' not found or not allowed' WHEN 2 THEN 'HTTP 500: no' END AS error FROM part")
+def tool_calls(spark, d):
+    """Tool calls to a stub: one that answers, one that isn't there and one that fails."""
+    key = F.col("p_partkey")
+    tool = F.when(key % 3 == 0, "echo").when(key % 3 == 1, "none").otherwise("broken")
+    rows = table(spark, d, "part").select("p_partkey", tool.alias("tool"), F.concat(F.lit('{"key": '), key, F.lit("}")).alias("args"))
+
+    def send(url, payload, headers, timeout):
+        status = {"echo": 200, "none": 404}.get(payload["tool"], 500)
+        return status, [json.dumps({"ok": True, "result": payload["args"]}) if status == 200 else "no"]
+
+    return gateway.invoke(rows, "http://gateway", "token", send=send)
+
+
+@query("SELECT p_partkey AS doc_id, 2 AS \"order\", 'u' || p_partkey AS raw_title, 'c' AS canonical FROM part WHERE p_partkey % 3 = 0")
+def contents_answers(spark, d):
+    """Answers in the form asked for, one without a section's order, and ones that are no JSON."""
+    form = '{"sections":[{%s"raw_title":"t","canonical_name":null},{"order":2,"raw_title":"u%s","canonical_name":"c"}]}'
+    said = F.when(F.col("p_partkey") % 3 == 2, "none").otherwise(F.format_string(form, F.when(F.col("p_partkey") % 3 == 0, '"order":1,').otherwise(""), F.col("p_partkey").cast("string")))
+    return extract.contents_answers(table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), said.alias("answer")))
+
+
+@query("SELECT c_custkey, c_custkey || '_' || c_mktsegment || '_a_2024: ' || c_custkey || ' ' || c_mktsegment || '_a 2024 of /in' AS message FROM customer")
+def document_messages(spark, d):
+    doc = F.concat_ws("_", F.col("c_custkey").cast("string"), "c_mktsegment", F.lit("a"), F.lit("2024"))
+    return table(spark, d, "customer").select("c_custkey", extract.message("{doc_id}: {code} {name} {year} of {folder}", doc, folder=F.lit("/in")).alias("message"))
+
+
+@query(RUN + "SELECT doc_id, string_agg(number, '+' ORDER BY number) AS numbers, string_agg(number || ':' || size, '+' ORDER BY number) AS sizes FROM files GROUP BY 1")
+def section_file_sizes(spark, d):
+    pairs = F.transform(F.map_entries("sizes"), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
+    return section_files.section_sizes(files(spark, d)).select("doc_id", F.array_join("numbers", "+").alias("numbers"), F.array_join(pairs, "+").alias("sizes"))
+
+
+@query(RUN + "SELECT doc_id || '/' || number || '_a_b_' || number || '.txt' AS nested, doc_id || '_' || number || '_a_b_' || number || '.txt' AS flat FROM files")
+def section_file_names(spark, d):
+    s = files(spark, d).select("doc_id", F.col("number").cast("int").alias("ord"), F.concat(F.lit("a、b/"), "number").alias("canonical"))
+    return s.select(section_files.file_name().alias("nested"), section_files.file_name(flat=True).alias("flat"))
+
+
 def financials(spark: SparkSession, d: str) -> DataFrame:
     return whole(spark.sql(FINANCIALS.replace("FROM documents", "FROM {docs}"), docs=documents(spark, d)))
 
