@@ -160,9 +160,9 @@ def structure(lines: DataFrame, columns: DataFrame) -> DataFrame:
 
 
 def readable(spans: DataFrame) -> DataFrame:
-    """Spans with stripped text of 2 characters or more, with is_bold, center_x and width, in reading order within a page (order_no from 1)."""
+    """Spans with stripped text of 2 characters or more, with is_bold, center_x and width, in reading order within a page (order_no from 1); ties go by right edge and flags."""
     s = spans.withColumn("text", strip(F.col("text"))).filter(F.length("text") >= 2)
-    w = Window.partitionBy("doc_id", "page").orderBy("y0", "x0", "text")
+    w = Window.partitionBy("doc_id", "page").orderBy("y0", "x0", "text", "x1", "flags")
     return s.select("*", (F.col("flags").bitwiseAND(16) != 0).alias("is_bold"), ((F.col("x0") + F.col("x1")) / 2).alias("center_x"), (F.col("x1") - F.col("x0")).alias("width"), F.row_number().over(w).alias("order_no"))
 
 
@@ -175,7 +175,7 @@ def joined_pages(pages: DataFrame) -> DataFrame:
 
 def slice_plan(chapters: DataFrame, prefix: str = "") -> DataFrame:
     """(doc_id, file, first, last): which pages make which file, named by number and title."""
-    w = Window.partitionBy("doc_id").orderBy("start_page", "title")
+    w = Window.partitionBy("doc_id").orderBy("start_page", "title", "end_page")
     name = F.substring(F.regexp_replace("title", r'[\\/:*?"<>|]', "_"), 1, 30)
     return chapters.select("doc_id", F.concat(F.lit(prefix), F.lpad(F.row_number().over(w).cast("string"), 2, "0"), F.lit("_"), name, F.lit(".pdf")).alias("file"), F.col("start_page").alias("first"), F.col("end_page").alias("last"))
 

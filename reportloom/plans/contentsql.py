@@ -50,7 +50,7 @@ SCORES = f"""WITH sp AS ({SPANS}), g AS (SELECT doc_id, page, string_agg(text, '
  + CASE WHEN {_M} >= 5 THEN 2 ELSE 0 END + CASE WHEN {_N('第[一二三四五六七八九十]+[章节].{2,20}?[.]{3,}')} >= 3 THEN 3 ELSE 0 END + CASE WHEN page BETWEEN 1 AND 10 THEN 1 ELSE 0 END AS points FROM g)
  SELECT doc_id, page, CAST(points AS BIGINT) AS points FROM p WHERE points >= 5"""
 BEST = f"SELECT doc_id, page, points FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY points DESC, page) AS r FROM ({SCORES})) WHERE r = 1"
-READABLE = f"""WITH sp AS ({SPANS}) SELECT doc_id, page, row_number() OVER (PARTITION BY doc_id, page ORDER BY y0, x0, text) AS order_no, text, flags // 16 % 2 = 1 AS is_bold, (x0 + x1) / 2 AS center_x, x1 - x0 AS width FROM sp WHERE length(text) >= 2"""
+READABLE = f"""WITH sp AS ({SPANS}) SELECT doc_id, page, row_number() OVER (PARTITION BY doc_id, page ORDER BY y0, x0, text, x1, flags) AS order_no, text, flags // 16 % 2 = 1 AS is_bold, (x0 + x1) / 2 AS center_x, x1 - x0 AS width FROM sp WHERE length(text) >= 2"""
 _FOOT = contents.FOOTERS.replace("(?iU)", "(?i)").replace(r"\s", _B).replace(r"\d", "[0-9]")
 _PR = f"pr AS ({PRINTED}), pt AS (SELECT *, {_strip('text')} AS t FROM pr WHERE NOT regexp_matches(text, '{_FOOT}') AND NOT regexp_matches({_strip('text')}, '^[.·…\\s]+$'))"
 _STD = r"^(.+?)(?:[.]{2,}|···|…+)?[\s\x{3000}]*([0-9]+)$"
