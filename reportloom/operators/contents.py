@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import let, strip
 
 # Patterns of entries, words that entries hold, words that rule one out, words of contents pages.
 ENTRY = r"(?U)^(?:\s*(第[一二三四五六七八九十]+节)\s+)?(.+?)\s+(\d+)\s*$"
@@ -35,48 +35,69 @@ def _refused(title: Column, numbered: Column) -> Column:
     return _has(title, NOT_ENTRIES) | (title.contains("原则") & (F.length(title) > 15)) | (title.startswith(NOT_WITHOUT_NUMBER) & ~numbered)
 
 
+def _parts(line: Column, strict: str, loose: str, groups: int) -> Column:
+    """array<string> of a line's groups by the strict pattern, else by the loose one."""
+    of = lambda p: F.array(*[F.regexp_extract(line, p, g) for g in range(1, groups + 1)])
+    return F.when(line.rlike(strict), of(strict)).otherwise(of(loose))
+
+
 def entry(raw: Column) -> Column:
     """struct<section_num, title, page> of a contents line, the strict pattern first; null if it is none or a filter refuses it."""
-    line = strip(raw)
-    part = lambda g: F.when(line.rlike(ENTRY), F.regexp_extract(line, ENTRY, g)).otherwise(F.regexp_extract(line, ENTRY_LOOSE, g))
-    number, page = part(1), part(3)
-    title = strip(F.regexp_replace(part(2), CONTINUED, ""))
-    numbered = number != ""
-    of = F.struct(F.when(numbered, number).alias("section_num"), title.alias("title"), page.cast("int").alias("page"))
-    header = line.contains("年度报告") & line.rlike("目录|释义")
-    good = (
-        ~header & page.rlike("^0*[0-9]{1,3}$") & F.length(title).between(4, 50) & (numbered | _has(title, CHAPTER_WORDS)) & ~_refused(title, numbered)
-        & ~(title.rlike(r"(?U)\d{4,}") & ~numbered) & (F.regexp_count(title, F.lit(r"(?U)\d")) < 4) & ~title.rlike(r"(?U)\.\d{2,}")
-    )
-    return F.when(good & page.cast("int").between(1, 500), of)
+
+    def judged(line: Column, number: Column, title: Column, page: Column) -> Column:
+        numbered = number != ""
+        of = F.struct(F.when(numbered, number).alias("section_num"), title.alias("title"), page.cast("int").alias("page"))
+        header = line.contains("年度报告") & line.rlike("目录|释义")
+        good = (
+            page.rlike("^0*[0-9]{1,3}$") & F.length(title).between(4, 50) & ~header & (numbered | _has(title, CHAPTER_WORDS)) & ~_refused(title, numbered)
+            & ~(title.rlike(r"(?U)\d{4,}") & ~numbered) & (F.regexp_count(title, F.lit(r"(?U)\d")) < 4) & ~title.rlike(r"(?U)\.\d{2,}")
+        )
+        return F.when(good & page.cast("int").between(1, 500), of)
+
+    titled = lambda line, p: let(strip(F.regexp_replace(p[1], CONTINUED, "")), lambda title: judged(line, p[0], title, p[2]))
+    return let(strip(raw), lambda line: let(_parts(line, ENTRY, ENTRY_LOOSE, 3), lambda p: titled(line, p)))
 
 
 def plain_entry(raw: Column) -> Column:
     """struct<title, page> by the second line test, with words and a digit share of its own; null if it is none."""
-    line = strip(raw)
-    part = lambda g: F.when(line.rlike(PLAIN_ENTRY), F.regexp_extract(line, PLAIN_ENTRY, g)).otherwise(F.regexp_extract(line, PLAIN_ENTRY_LOOSE, g))
-    title, page = strip(part(1)), part(2).cast("int")
-    numbered = title.rlike("第[一二三四五六七八九十]+节")
-    good = (
-        F.length(title).between(4, 50) & page.between(1, 500) & ~_refused(title, numbered) & (numbered | _has(title, PLAIN_WORDS))
-        & (F.regexp_count(title, F.lit(r"(?U)\d")) * 10 <= F.length(title) * 3) & ~title.rlike(r"\d{4}-\d{2}-\d{2}")
-    )
-    return F.when(good, F.struct(title.alias("title"), page.alias("page")))
+
+    def judged(title: Column, page: Column) -> Column:
+        numbered = title.rlike("第[一二三四五六七八九十]+节")
+        good = (
+            F.length(title).between(4, 50) & page.between(1, 500) & ~_refused(title, numbered) & (numbered | _has(title, PLAIN_WORDS))
+            & (F.regexp_count(title, F.lit(r"(?U)\d")) * 10 <= F.length(title) * 3) & ~title.rlike(r"\d{4}-\d{2}-\d{2}")
+        )
+        return F.when(good, F.struct(title.alias("title"), page.alias("page")))
+
+    titled = lambda p: let(strip(p[0]), lambda title: judged(title, p[1].cast("int")))
+    return let(strip(raw), lambda line: let(_parts(line, PLAIN_ENTRY, PLAIN_ENTRY_LOOSE, 2), titled))
+
+
+def _read(pages: DataFrame) -> DataFrame:
+    """(doc_id, page_no, x) with x: entries with their line numbers, lines, is_toc; each line is tested once."""
+
+    def tested(ls: Column) -> Column:
+        each = F.transform(ls, lambda line, i: F.struct(i.alias("i"), entry(line).alias("e")))
+        return F.struct(F.filter(each, lambda y: y["e"].isNotNull()).alias("entries"), F.size(ls).alias("lines"), F.col("text").rlike("|".join(PAGE_WORDS)).alias("named"))
+
+    def judged(x: Column) -> Column:
+        valid = F.size(x["entries"])
+        toc = (x["named"] & (valid >= 3)) | ((valid >= 5) & (valid * 10 >= x["lines"] * 3))
+        return F.struct(x["entries"].alias("entries"), x["lines"].alias("lines"), toc.alias("is_toc"))
+
+    read = let(let(F.split(strip(F.col("text")), "\n", -1), tested), judged)
+    return pages.filter("text <> ''").select("doc_id", "page_no", read.alias("x"))
 
 
 def contents_pages(pages: DataFrame) -> DataFrame:
     """(doc_id, page_no, valid, lines, is_toc): a contents page has one of its words and 3 entries, or 5 that are 3 in 10 of its lines."""
-    ls = F.split(strip(F.col("text")), "\n", -1)
-    p = pages.filter("text <> ''").select("doc_id", "page_no", F.size(F.filter(ls, lambda x: entry(x).isNotNull())).alias("valid"), F.size(ls).alias("lines"), F.col("text").rlike("|".join(PAGE_WORDS)).alias("named"))
-    return p.select("doc_id", "page_no", "valid", "lines", ((F.col("named") & (F.col("valid") >= 3)) | ((F.col("valid") >= 5) & (F.col("valid") * 10 >= F.col("lines") * 3))).alias("is_toc"))
+    return _read(pages).select("doc_id", "page_no", F.size("x.entries").alias("valid"), "x.lines", "x.is_toc")
 
 
 def scanned(pages: DataFrame) -> DataFrame:
-    """(doc_id, idx, section_num, title, page): the entries of all contents pages."""
-    found = contents_pages(pages).filter("is_toc").select("doc_id", "page_no")
-    lines = pages.join(found, ["doc_id", "page_no"], "left_semi").select("doc_id", "page_no", F.posexplode(F.split(strip(F.col("text")), "\n", -1)).alias("i", "line"))
-    e = lines.select("doc_id", (F.col("page_no").cast("long") * 100_000 + F.col("i")).alias("idx"), F.explode(F.array_compact(F.array(entry(F.col("line"))))).alias("e"))
-    return e.select("doc_id", "idx", "e.section_num", "e.title", "e.page")
+    """(doc_id, idx, section_num, title, page): the entries of all contents pages, page by page without a shuffle."""
+    y = _read(pages).select("doc_id", "page_no", F.explode(F.when(F.col("x.is_toc"), F.col("x.entries"))).alias("y"))
+    return y.select("doc_id", (F.col("page_no").cast("long") * 100_000 + F.col("y.i")).alias("idx"), "y.e.section_num", "y.e.title", "y.e.page")
 
 
 def headings(pages: DataFrame) -> DataFrame:
