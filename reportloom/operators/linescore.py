@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import newlines, strip
+from ..functions.text import let, newlines, strip
 from .split import line_index
 
 # Sections in order, each with its aliases in order of trial. Names with a leading underscore only absorb lines.
@@ -56,10 +56,12 @@ def is_contents(line: Column) -> Column:
 
 def is_title(line: Column) -> Column:
     """A line of at most 70 characters without punctuation, at most 35 % of them digits, that has a number in front or at most 24 characters."""
-    c = compact(line)
-    n = F.length(c)
-    digits = F.regexp_count(c, F.lit(r"\p{Nd}"))
-    return (n <= 70) & (digits * 100 <= n * 35) & (line.rlike(PREFIX) | (n <= 24))
+
+    def judged(c: Column) -> Column:
+        n = F.length(c)
+        return (n <= 70) & (F.regexp_count(c, F.lit(r"\p{Nd}")) * 100 <= n * 35) & (line.rlike(PREFIX) | (n <= 24))
+
+    return let(compact(line), judged)
 
 
 def _known(aliases: dict[str, str]) -> Column:
@@ -75,10 +77,12 @@ def scored_lines(docs: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFram
     A null or empty text has no titles. Everything is decided within the row of a line: nothing is shuffled.
     """
     rows = line_index(docs, F.length("text").alias("total"))
-    line = strip(F.col("line"))
-    kept = rows.withColumn("raw_title", line).filter(~is_noise(F.col("raw_title"))).filter(~is_contents(F.col("raw_title")) & is_title(F.col("raw_title")))
-    hit = F.get(F.filter(_known(aliases), lambda a: F.contains(F.col("bare_line"), a["bare"])), F.lit(0))
-    found = kept.withColumn("bare_line", compact(F.col("raw_title"))).withColumn("hit", hit).filter("hit IS NOT NULL")
+    named = lambda c: F.get(F.filter(_known(aliases), lambda a: F.contains(c, a["bare"])), F.lit(0))
+    titled = lambda line: F.when(~is_noise(line) & ~is_contents(line) & is_title(line), let(named(compact(line)), lambda hit: F.when(hit.isNotNull(), F.struct(line.alias("raw_title"), hit.alias("hit")))))
+    # exploding the title's array leaves no filter to be pushed below, which would copy the whole test for each use
+    title = F.explode(F.array_compact(F.array(let(strip(F.col("line")), titled)))).alias("title")
+    found = rows.select("doc_id", "total", "line_no", "start", F.length("line").alias("size"), title)
+    found = found.select("doc_id", "total", "line_no", "start", "size", "title.*")
     t = F.col("raw_title")
     numbered, late, short = t.rlike(PREFIX), F.col("start") > F.floor(F.col("total") * CONTENTS_SHARE), F.length(t) <= 40
     points = 550 + F.when(numbered, 250).otherwise(0) + F.when(late, 100).otherwise(-100) + F.when(short, 50).otherwise(0)
@@ -86,7 +90,7 @@ def scored_lines(docs: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFram
         F.concat(F.lit("alias:"), "hit.alias"), F.when(numbered, F.lit("section_prefix")),
         F.when(late, "outside_toc_region").otherwise("early_document_region"), F.when(short, F.lit("short_heading")),
     ))
-    return found.select("doc_id", "hit.section_idx", "hit.canonical", "raw_title", (F.col("line_no") + 1).alias("line_no"), "start", (F.col("start") + F.length("line") + 1).alias("end"), points.alias("points"), why.alias("evidence"))
+    return found.select("doc_id", "hit.section_idx", "hit.canonical", "raw_title", (F.col("line_no") + 1).alias("line_no"), "start", (F.col("start") + F.col("size") + 1).alias("end"), points.alias("points"), why.alias("evidence"))
 
 
 def pick(found: DataFrame, near: int = NEAR) -> DataFrame:
