@@ -65,22 +65,16 @@ def section_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "section_idx int, canonical string, ord int, alias_idx int, alias string, tier int, regex string")
 
 
-def _tree(words: set[str]) -> str:
+def tree(words: set[str]) -> str:
     """A pattern for the words as a tree of their letters, blanks allowed between; longer words whose beginning is a word add nothing to a test."""
     if "" in words:
         return ""
     by = {}
     for w in sorted(words):
         by.setdefault(w[0], set()).add(w[1:])
-    parts = [c + (r"[ \t]*" + _tree(rest) if "" not in rest else "") for c, rest in by.items()]
+    parts = [c + (r"[ \t]*" + tree(rest) if "" not in rest else "") for c, rest in by.items()]
     return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
-def any_alias() -> str:
-    """A pattern that finds every line with a candidate. A look at the first letter spares the tree at most places."""
-    words = {a for group in (SECTIONS, FALLBACK) for aliases in group.values() for a in aliases.split(" ")}
-    return f"(?=[{''.join(sorted({w[0] for w in words}))}]){_tree(words)}"
-
-
 def standard_sections(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(n, name, n in CORE, n in OPTIONAL) for n, name in STANDARD], "number string, name string, is_core boolean, is_optional boolean")
