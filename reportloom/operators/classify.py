@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 # Tiers with their sections and keywords, in order of preference.
 TIERS = {
     "strong": ("公司简介和主要财务指标 财务报告", "财务指标 营业收入 净利润 总资产 净资产 资产负债表 利润表 现金流量表 股东 分红 派息"),
@@ -43,13 +45,14 @@ def value_tier(sections: DataFrame, tiers: dict[str, tuple[str, str]] = TIERS) -
     """
     name, n = F.col("canonical"), F.length("content")
     s = sections if "confidence" in sections.columns else sections.withColumn("confidence", F.lit(1.0))
-    s = s.withColumn("_votes", F.array(*[votes(F.col("content"), words) for _, words in tiers.values()]))
+    # a tier by name needs no votes, so they are counted for the others alone if nothing but the tier is asked for
+    counted = F.array(*[votes(F.col("content"), words) for _, words in tiers.values()])
     by_name = F.coalesce(*[F.when(name.isin(*names.split()), F.lit(t)) for t, (names, _) in tiers.items()])
+    most = lambda v: F.when(F.array_max(v) > 0, F.get(F.array(*[F.lit(t) for t in tiers]), F.array_position(v, F.array_max(v)).cast("int") - 1))
+    by_length = F.coalesce(*[F.when(n >= least, F.lit(t)) for t, least in LEAST.items()])
+    s = s.withColumns({"tier": F.coalesce(by_name, let(counted, most), by_length), "_votes": counted})
     best = F.array_max("_votes")
     at = lambda t: F.get("_votes", F.lit(list(tiers).index(t)))
-    by_words = F.coalesce(*[F.when((best > 0) & (at(t) == best), F.lit(t)) for t in tiers])
-    by_length = F.coalesce(*[F.when(n >= least, F.lit(t)) for t, least in LEAST.items()])
-    s = s.withColumn("tier", F.coalesce(by_name, by_words, by_length))
     own = F.coalesce(*[F.when(F.col("tier") == t, at(t)) for t in tiers])
     plain = F.when(n < 200, F.col("confidence") * 0.8).otherwise(F.col("confidence"))
     evidence = F.when(by_name.isNotNull(), F.concat(F.lit("section_name:"), by_name)).when(best > 0, F.concat(F.lit("keywords:"), best.cast("string"))).otherwise(F.concat(F.lit("length:"), n.cast("string")))
