@@ -34,8 +34,10 @@ def sub_sections(sections: DataFrame, aliases: DataFrame) -> DataFrame:
     """(doc_id, sub, start, end): the first line of fewer than 50 characters with an alias of each sub-section, closed by the next."""
     from .split import line_index
 
-    lines = line_index(sections.select("doc_id", F.col("content").alias("text"))).filter(F.length("line") < 50)
-    hit = lines.join(F.broadcast(aliases), F.expr("contains(line, alias)")).groupBy("doc_id", "sub").agg(F.min("start").alias("start"))
-    total = sections.groupBy("doc_id").agg(F.max(F.length("content")).alias("total"))
+    # sections are read once: their sizes go with their lines
+    whole = F.max("total").over(Window.partitionBy("doc_id"))
+    sized = line_index(sections.select("doc_id", F.col("content").alias("text")), F.length("text").alias("total"), keep=F.length("line") < 50)
+    lines = sized.withColumn("total", whole)
+    hit = lines.join(F.broadcast(aliases), F.expr("contains(line, alias)")).groupBy("doc_id", "sub").agg(F.min("start").alias("start"), F.max("total").alias("total"))
     w = Window.partitionBy("doc_id").orderBy("start", "sub")
-    return hit.join(total, "doc_id").select("doc_id", "sub", "start", F.coalesce(F.lead("start").over(w), F.col("total")).alias("end"))
+    return hit.select("doc_id", "sub", "start", F.coalesce(F.lead("start").over(w), F.col("total")).alias("end"))
