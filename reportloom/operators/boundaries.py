@@ -10,7 +10,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .split import matches
+from ..functions.scan import first_place, hits, small_batches
 
 # Sections in order: aliases, and where in a text each is expected.
 DEFINITIONS = {
@@ -34,12 +34,11 @@ _KIND = "array<struct<s:int,p:int,pos:int,title:string,canonical:string,confiden
 
 def _found(docs: DataFrame, patterns: list[tuple[int, int, str, str, str]], definitions=DEFINITIONS) -> DataFrame:
     """(doc_id, s, p, pos, title, canonical) of all matches of (section, pattern number, word, name, pattern) where the section is expected; a plain test for the word spares most patterns."""
-    rows = [(s, p, word, name, pattern, *definitions[name][1:]) for s, p, word, name, pattern in patterns]
-    names = ("s", "p", "word", "name", "pattern", "lo", "hi")
-    each = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows])
-    present = F.filter(each, lambda k: F.contains(F.col("text"), k["word"]))
-    hits = docs.select("doc_id", "text", F.explode(present).alias("k")).select("doc_id", "k.*", F.explode(matches(F.col("text"), F.col("k.pattern"))).alias("m"))
-    return hits.filter(F.col("m.at").between(F.col("lo"), F.col("hi"))).select("doc_id", "s", "p", F.col("m.at").alias("pos"), F.col("word").alias("title"), F.col("name").alias("canonical"))
+    small_batches(docs.sparkSession)
+    kind = [F.struct(*[F.lit(v).alias(n) for n, v in zip(("s", "p", "word", "name", "lo", "hi"), (s, p, word, name, *definitions[name][1:]))]) for s, p, word, name, _ in patterns]
+    found = docs.select("doc_id", F.explode(hits(F.col("text"), [(word, pattern) for _, _, word, _, pattern in patterns])).alias("m"))
+    found = found.select("doc_id", "m.at", F.get(F.array(*kind), F.col("m.k")).alias("k"))
+    return found.filter(F.col("at").between(F.col("k.lo"), F.col("k.hi"))).select("doc_id", "k.s", "k.p", F.col("at").alias("pos"), F.col("k.word").alias("title"), F.col("k.name").alias("canonical"))
 
 
 def content_points(docs: DataFrame, definitions=DEFINITIONS) -> DataFrame:
@@ -101,14 +100,15 @@ def canonical_name(title: Column, definitions=DEFINITIONS) -> Column:
     return F.coalesce(*tests)
 
 
-def split_merged(docs: DataFrame, boundaries: DataFrame, reach: int = 100000) -> DataFrame:
+def split_merged(docs: DataFrame, boundaries: DataFrame, reach: int | None = 100000) -> DataFrame:
     """(doc_id, pos, title, canonical, confidence): a title of two sections becomes two boundaries with nine tenths of its
-    confidence, each at its part's own title within ``reach`` behind it, or else 100 characters apart."""
+    confidence, each at its part's own title within ``reach`` behind it (None: to the end of the text), or else 100 characters apart."""
     parts = F.coalesce(*[F.when(F.col("title").contains(k), F.array(*[F.lit(p) for p in ps])) for k, ps in MERGED.items()])
     b = boundaries.select("doc_id", F.col("pos").cast("int").alias("pos"), "title", "canonical", F.col("confidence").cast("double").alias("confidence")).withColumn("parts", parts)
     plain = b.filter("parts IS NULL").drop("parts")
     two = b.filter("parts IS NOT NULL").select("doc_id", "pos", "confidence", F.posexplode("parts").alias("i", "part")).join(docs.select("doc_id", "text"), "doc_id")
-    area = F.substring(F.col("text"), F.col("pos") + 1, F.lit(reach))
-    first = lambda lead, tail: F.get(matches(area, F.concat(F.lit(lead), F.col("part"), F.lit(tail))), F.lit(0))["at"]
-    at = F.coalesce(first(NUMBERED, ""), first(r"(?U)[一二三四五六七八九十]+、\s*", ""), first("(?m)^", "$"))
+    area = F.substring(F.col("text"), F.col("pos") + 1, F.length("text") if reach is None else F.lit(reach))
+    small_batches(docs.sparkSession)
+    own = {p: [NUMBERED + p, rf"(?U)[一二三四五六七八九十]+、\s*{p}", f"(?m)^{p}$"] for ps in MERGED.values() for p in ps}
+    at = first_place(area, F.col("part"), own)
     return plain.unionByName(two.select("doc_id", (F.col("pos") + F.coalesce(at, F.col("i") * 100)).alias("pos"), F.col("part").alias("title"), canonical_name(F.col("part")).alias("canonical"), (F.col("confidence") * 0.9).alias("confidence")))

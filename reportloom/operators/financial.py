@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scan import all_places, hits, small_batches
 from ..functions.text import let, strip
 from .split import matches
 
@@ -89,11 +90,12 @@ def deep_split_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, sub_idx, title, start, end, tier): blocks at lines that are nothing but a statement's title (all of them, consolidated or not) and at key notes. A block bears its own title; a text without any is one block."""
     d = docs.select("doc_id", "text")
     kinds = [(k, s, rf"(?U)(?:^|\n)\s*{s}\s*\n") for k, s in enumerate(ALL_STATEMENTS)] + [(len(ALL_STATEMENTS), None, rf"(?U)(?:^|\n)\s*{_NUM}、\s*[^\n]{{2,30}}\s*\n")]
-    each = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(s).cast("string").alias("name"), F.lit(p).alias("pattern")) for k, s, p in kinds])
-    rows = d.select("doc_id", "text", F.explode(each).alias("k"))
-    hits = rows.select("doc_id", "k.rank", "k.name", F.explode(matches(F.col("text"), F.col("k.pattern"))).alias("m"))
+    small_batches(docs.sparkSession)
+    found = hits(F.col("text"), [(s or "、", p) for _, s, p in kinds])
+    rows = d.select("doc_id", F.explode(found).alias("m"))
+    hits_ = rows.select("doc_id", F.col("m.k").alias("rank"), F.get(F.array(*[F.lit(s) for _, s, _ in kinds]), F.col("m.k")).alias("name"), "m")
     title = F.coalesce("name", F.concat(F.lit("附注_"), strip(F.col("m.hit"))))
-    found = hits.select("doc_id", F.col("m.at").alias("pos"), "rank", title.alias("title")).filter(F.col("name").isNotNull() | _any(F.col("title"), KEY_NOTES)).distinct()
+    found = hits_.select("doc_id", F.col("m.at").alias("pos"), "rank", title.alias("title")).filter(F.col("name").isNotNull() | _any(F.col("title"), KEY_NOTES)).distinct()
     blocks = closed(found, d, "财务报告_前言")
     alone = (F.col("rank") < 0) & (F.count("*").over(Window.partitionBy("doc_id")) == 1)
     named = blocks.withColumn("title", F.when(alone, "财务报告_未细分").otherwise(F.col("title")))
@@ -139,7 +141,8 @@ def place_titles(docs: DataFrame, gap: int = 300) -> DataFrame:
     A place counts if the next title doesn't follow within ``gap`` characters (then both are in a contents page or a
     sentence); the next title is sought behind it. Titles without a place are left out, empty ones have none.
     """
-    occ = F.transform("titles", lambda t: F.when(t != "", places(F.col("text"), t)).otherwise(F.array().cast("array<int>")))
+    small_batches(docs.sparkSession)
+    occ = all_places(F.col("text"), F.col("titles"))
     d = docs.select("doc_id", "text", F.col("titles").alias("titles")).filter("text IS NOT NULL AND titles IS NOT NULL").withColumn("occ", occ)
     # a fold over the titles' numbers: the cursor moves behind each place taken, or behind all tried ones
     fold = F.expr(
