@@ -108,17 +108,39 @@ def translated(java: str) -> str:
     return re.sub(r"(?<![\[\\])\^|(?<!\\)\$", lambda m: begin if m[0] == "^" else end, body)
 
 
+#: A pattern of lines that hold something alone: what follows is sought first, then the blanks before it up to a line's beginning.
+ALONE = r"(?mU)^\s*"
+
+
+def _alone(t: str, rest: re.Pattern, begin: re.Pattern) -> list[tuple[int, int]]:
+    out, last, at = [], 0, 0
+    while m := rest.search(t, at):
+        lo = m.start()
+        while lo > last and t[lo - 1] in BLANKS:
+            lo -= 1
+        a = next((i for i in range(lo, m.start() + 1) if begin.match(t, i)), None)
+        if a is None:
+            at = m.start() + 1
+        else:
+            out.append((a, m.end()))
+            last = at = m.end()
+    return out
+
+
 def hits(text: Column, tests: list[tuple[str, str]]) -> Column:
     """array<struct<k,at,hit>> of all matches of (word, pattern) number k; a pattern is tried where its word is. A pattern may begin with (?:^|\\n): it is sought behind a line end, one set in front."""
     rows = []
     for word, p in tests:
+        if p.startswith(ALONE):
+            rows.append((word, None, translated("(?mU)" + p[len(ALONE) :])))
+            continue
         t = translated(p)
         led = t.startswith(r"(?:\A|\n)")
         rows.append((word, led, "\n" + t[len(r"(?:\A|\n)") :] if led else t))
 
     @F.arrow_udf("array<struct<k:int,at:int,hit:string>>")
     def found(texts: pa.Array) -> pa.Array:
-        compiled = [(w, led, re.compile(p)) for w, led, p in rows]
+        compiled, begin = [(w, led, re.compile(p)) for w, led, p in rows], re.compile(_BEGIN)
         per, k_, at_, hit_ = [], [], [], []
         for t in texts_of(texts):
             n = len(k_)
@@ -127,6 +149,12 @@ def hits(text: Column, tests: list[tuple[str, str]]) -> Column:
                 for k, (word, led, p) in enumerate(compiled):
                     if word not in t:
                         continue
+                    if led is None:
+                        for a, b in _alone(t, p, begin):
+                            k_.append(k)
+                            at_.append(a)
+                            hit_.append(t[a:b])
+                        continue
                     for m in p.finditer(ahead if led else t):
                         a, b = m.span()
                         first = max(a - 1, 0) if led else a

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+import sys
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import let, newlines, strip
-from .split import line_index
+from ..functions.scan import BLANKS, lists, remembered, small_batches, texts_of, translated
+from ..functions.text import let, strip
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Sections in order, each with its aliases in order of trial. Names with a leading underscore only absorb lines.
 ALIASES = {
@@ -37,36 +45,100 @@ CONTENTS_SHARE, NEAR, LEAST = 0.18, 500, 200
 
 def normalised(text: Column) -> Column:
     """Line ends, ideographic blanks and runs of blanks made one kind, at most two blank lines, page numbers glued to titles gone; one line end last."""
-    t = F.regexp_replace(F.translate(newlines(text), "　", " "), "[\t ]+", " ")
-    t = F.regexp_replace(F.regexp_replace(t, "\n{4,}", "\n\n\n"), "(?m)^\\d+(第[一二三四五六七八九十]+[节章])", "$1")
-    return F.concat(strip(t), F.lit("\n"))
+    steps = [(re.compile(p), r) for p, r in (("\r\n?", "\n"), ("[\t 　]+", " "), ("\n{4,}", "\n\n\n"), (translated("(?m)^[0-9]+(第[一二三四五六七八九十]+[节章])"), r"\1"))]
+
+    @F.arrow_udf("string")
+    def made(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts_of(texts):
+            if t is not None:
+                t = t.removeprefix("\ufeff")
+                for p, r in steps:
+                    t = p.sub(r, t)
+                t = t.strip(BLANKS) + "\n"
+            out.append(t)
+        return pa.array(out, pa.string())
+
+    return made.asNondeterministic()(text)
+
+
+_PUNCTUATION, _PREFIX = re.compile(PUNCTUATION[4:].replace(r"\s", BLANKS)), re.compile(PREFIX[4:].replace(r"\s", BLANKS))
+_NOISE = re.compile(rf"(?:[-_=—·.{BLANKS}]+|第?[{BLANKS}]*\d+[{BLANKS}]*页)\Z")
+_LEADERS, _PAGE, _DIGITS = re.compile(rf"[.·•…]{{2,}}[{BLANKS}]*\d+\Z"), re.compile(rf"[{BLANKS}]\d{{1,4}}\Z"), re.compile(r"\d")
+
+
+def compact(line: str) -> str:
+    return _PUNCTUATION.sub("", line)
+
+
+def is_noise(line: str) -> bool:
+    return len(line) <= 1 or bool(_NOISE.match(line))
+
+
+def is_contents(line: str) -> bool:
+    return bool(_LEADERS.search(line) or _PREFIX.match(line) and _PAGE.search(line))
 
 
-def compact(c: Column) -> Column:
-    return F.regexp_replace(c, PUNCTUATION, "")
+def is_title(line: str) -> bool:
+    """A stripped line of at most 70 characters without punctuation, at most 35 % of them digits, that has a number in front or at most 24 characters."""
+    if len(line) > 200 and len(compact(line[:200])) > 70:
+        return False
+    n = len(bare := compact(line))
+    return n <= 70 and len(_DIGITS.findall(bare)) * 100 <= n * 35 and (n <= 24 or bool(_PREFIX.match(line)))
 
 
-def is_noise(line: Column) -> Column:
-    return (F.length(line) <= 1) | line.rlike(r"(?U)^(?:[-_=—·.\s]+|第?\s*\d+\s*页)$")
+def _titles(known: list[tuple[int, str, str, str]]) -> Callable[[str], list]:
+    """A function that gives a text's titles: (section_idx, canonical, alias, raw_title, line_no from 0, start, size of the line)."""
 
+    def of_line(line: str) -> list:
+        line = line.strip(BLANKS)
+        if is_noise(line) or not is_title(line) or is_contents(line):
+            return []
+        bare = compact(line)
+        return [(i, name, alias, line) for i, name, alias, word in known if word in bare][:1]
 
-def is_contents(line: Column) -> Column:
-    return line.rlike(r"(?U)[.·•…]{2,}\s*\d+\s*$") | (line.rlike(PREFIX) & line.rlike(r"(?U)\s\d{1,4}\s*$"))
+    named = remembered(of_line)
 
+    def of_text(text: str) -> list:
+        out, at = [], 0
+        for k, line in enumerate(text.split("\n")):
+            out += [(*x, k, at, len(line)) for x in named(line)]
+            at += len(line) + 1
+        return out
 
-def is_title(line: Column) -> Column:
-    """A line of at most 70 characters without punctuation, at most 35 % of them digits, that has a number in front or at most 24 characters."""
+    return of_text
 
-    def judged(c: Column) -> Column:
-        n = F.length(c)
-        return (n <= 70) & (F.regexp_count(c, F.lit(r"\p{Nd}")) * 100 <= n * 35) & (line.rlike(PREFIX) | (n <= 24))
 
-    return let(compact(line), judged)
+_HIT = "struct<section_idx:int,canonical:string,alias:string,raw_title:string,line_no:int,start:int,size:int>"
+_ITEM = "struct<section_idx:int,start:int,line_no:int,canonical:string,raw_title:string,end:int,points:int,evidence:array<string>>"
 
 
-def _known(aliases: dict[str, str]) -> Column:
-    items = [(i, name, a) for i, (name, words) in enumerate(aliases.items()) for a in words.split(" ")]
-    return F.array(*[F.struct(F.lit(i).alias("section_idx"), F.lit(name).alias("canonical"), F.lit(a).alias("alias"), compact(F.lit(a)).alias("bare")) for i, name, a in items])
+def scored(text: Column, aliases: dict[str, str] = ALIASES) -> Column:
+    """array of the title lines of a text in their order, with points and evidence."""
+    known = [(i, name, a, compact(a)) for i, (name, words) in enumerate(aliases.items()) for a in words.split(" ")]
+
+    @F.arrow_udf(f"array<{_HIT}>")
+    def found(texts: pa.Array) -> pa.Array:
+        titles = _titles(known)
+        per = [titles(t) if t else [] for t in texts_of(texts)]
+        flat = [x for items in per for x in items]
+        kinds = {"section_idx": pa.int32(), "canonical": pa.string(), "alias": pa.string(), "raw_title": pa.string(), "line_no": pa.int32(), "start": pa.int32(), "size": pa.int32()}
+        return lists([len(items) for items in per], {name: pa.array([x[i] for x in flat], kind) for i, (name, kind) in enumerate(kinds.items())})
+
+    def item(x: Column) -> Column:
+        t = x["raw_title"]
+        numbered, late, short = t.rlike(PREFIX), x["start"] > F.floor(F.length(text) * CONTENTS_SHARE), F.length(t) <= 40
+        points = 550 + F.when(numbered, 250).otherwise(0) + F.when(late, 100).otherwise(-100) + F.when(short, 50).otherwise(0)
+        why = F.array_compact(F.array(
+            F.concat(F.lit("alias:"), x["alias"]), F.when(numbered, F.lit("section_prefix")),
+            F.when(late, "outside_toc_region").otherwise("early_document_region"), F.when(short, F.lit("short_heading")),
+        ))
+        return F.struct(
+            x["section_idx"].alias("section_idx"), x["start"].alias("start"), (x["line_no"] + 1).alias("line_no"), x["canonical"].alias("canonical"), t.alias("raw_title"),
+            (x["start"] + x["size"] + 1).alias("end"), points.alias("points"), why.alias("evidence"),
+        )
+
+    return F.transform(found.asNondeterministic()(text), item)
 
 
 def scored_lines(docs: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFrame:
@@ -74,37 +146,30 @@ def scored_lines(docs: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFram
 
     The first alias in catalogue order that the line holds names its section. Points are thousandths: 550, 250 more
     for a number in front, 100 more or fewer after or in the first 18 % of the text, 50 more for at most 40 characters.
-    A null or empty text has no titles. Everything is decided within the row of a line: nothing is shuffled.
+    A null or empty text has no titles. Everything is decided within the row of a text: nothing is shuffled.
     """
-    rows = line_index(docs, F.length("text").alias("total"))
-    named = lambda c: F.get(F.filter(_known(aliases), lambda a: F.contains(c, a["bare"])), F.lit(0))
-    titled = lambda line: F.when(~is_noise(line) & ~is_contents(line) & is_title(line), let(named(compact(line)), lambda hit: F.when(hit.isNotNull(), F.struct(line.alias("raw_title"), hit.alias("hit")))))
-    # exploding the title's array leaves no filter to be pushed below, which would copy the whole test for each use
-    title = F.explode(F.array_compact(F.array(let(strip(F.col("line")), titled)))).alias("title")
-    found = rows.select("doc_id", "total", "line_no", "start", F.length("line").alias("size"), title)
-    found = found.select("doc_id", "total", "line_no", "start", "size", "title.*")
-    t = F.col("raw_title")
-    numbered, late, short = t.rlike(PREFIX), F.col("start") > F.floor(F.col("total") * CONTENTS_SHARE), F.length(t) <= 40
-    points = 550 + F.when(numbered, 250).otherwise(0) + F.when(late, 100).otherwise(-100) + F.when(short, 50).otherwise(0)
-    why = F.array_compact(F.array(
-        F.concat(F.lit("alias:"), "hit.alias"), F.when(numbered, F.lit("section_prefix")),
-        F.when(late, "outside_toc_region").otherwise("early_document_region"), F.when(short, F.lit("short_heading")),
-    ))
-    return found.select("doc_id", "hit.section_idx", "hit.canonical", "raw_title", (F.col("line_no") + 1).alias("line_no"), "start", (F.col("start") + F.col("size") + 1).alias("end"), points.alias("points"), why.alias("evidence"))
+    small_batches(docs.sparkSession)
+    x = docs.select("doc_id", F.explode(scored(F.col("text"), aliases)).alias("x"))
+    return x.select("doc_id", *[f"x.{f}" for f in ("section_idx", "canonical", "raw_title", "line_no", "start", "end", "points", "evidence")])
+
+
+def picked(items: Column, near: int = NEAR) -> Column:
+    """Of an array of title lines at most one for each section, as ``pick`` has it; null without any."""
+    kind = f"array<{_ITEM}>"
+    none = F.array().cast(kind)
+    same = lambda acc, c: F.element_at(acc, -1)["section_idx"] == c["section_idx"]
+    add = lambda acc, c: F.concat(acc, F.array(c.cast(kind[6:-1])))
+    own = F.array_sort(F.filter(items, lambda x: ~x["canonical"].startswith("_")))
+    apart = F.aggregate(own, none, lambda acc, c: F.when((F.size(acc) > 0) & same(acc, c) & (c["start"] - F.element_at(acc, -1)["start"] < near), acc).otherwise(add(acc, c)))
+    return F.aggregate(apart, none, lambda acc, c: F.when((F.size(acc) > 0) & (same(acc, c) | (c["start"] <= F.element_at(acc, -1)["start"])), acc).otherwise(add(acc, c)))
 
 
 def pick(found: DataFrame, near: int = NEAR) -> DataFrame:
     """Of ``found`` at most one title for each section: titles of a section nearer than ``near`` to the last one kept go,
     then each section in catalogue order takes its first title behind the one taken before."""
     item = F.struct("section_idx", "start", "line_no", "canonical", "raw_title", "end", "points", "evidence")
-    kind = "array<struct<section_idx:int,start:int,line_no:int,canonical:string,raw_title:string,end:int,points:int,evidence:array<string>>>"
-    rows = found.filter(~F.col("canonical").startswith("_")).groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    none = F.array().cast(kind)
-    same = lambda acc, c: F.element_at(acc, -1)["section_idx"] == c["section_idx"]
-    add = lambda acc, c: F.concat(acc, F.array(c.cast(kind[6:-1])))
-    apart = F.aggregate("items", none, lambda acc, c: F.when((F.size(acc) > 0) & same(acc, c) & (c["start"] - F.element_at(acc, -1)["start"] < near), acc).otherwise(add(acc, c)))
-    chosen = F.aggregate(apart, none, lambda acc, c: F.when((F.size(acc) > 0) & (same(acc, c) | (c["start"] <= F.element_at(acc, -1)["start"])), acc).otherwise(add(acc, c)))
-    return rows.select("doc_id", F.explode(chosen).alias("x")).select("doc_id", "x.*")
+    rows = found.filter(~F.col("canonical").startswith("_")).groupBy("doc_id").agg(F.collect_list(item).alias("items"))
+    return rows.select("doc_id", F.explode(picked(F.col("items"), near)).alias("x")).select("doc_id", "x.*")
 
 
 def is_meant(text: Column, section: Column) -> Column:
@@ -121,18 +186,28 @@ def sections(docs: DataFrame, aliases: dict[str, str] = ALIASES, least: int = LE
 
     A section ends where the next picked title starts; status is matched, too_short or missing (no title: null span).
     """
-    picked = pick(scored_lines(docs, aliases))
-    w = Window.partitionBy("doc_id").orderBy("start")
-    text = docs.select("doc_id", "text")
-    closed = picked.withColumn("next", F.lead("start").over(w)).withColumn("next_line", F.lead("line_no").over(w)).join(text, "doc_id")
-    stop = F.coalesce("next", F.length("text"))
-    content = F.substring(F.col("text"), F.col("start") + 1, stop - F.col("start"))
-    n_lines = F.size(F.split("text", "\n", -1)) - F.when(F.col("text").endswith("\n"), 1).otherwise(0)
-    status = F.when((stop - F.col("start") >= least) | is_meant(content, F.col("canonical")), "matched").otherwise("too_short")
-    ready = closed.select("doc_id", "section_idx", "raw_title", "start", stop.alias("end"), F.col("line_no").alias("start_line"), F.coalesce("next_line", n_lines).alias("end_line"), "points", status.alias("status"))
+    small_batches(docs.sparkSession)
+    text = F.col("text")
+    n_lines = F.size(F.split(text, "\n", -1)) - F.when(text.endswith("\n"), 1).otherwise(0)
+
+    def closed(ps: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            then = F.get(ps, i + 1)
+            stop = F.coalesce(then["start"], F.length(text))
+            content = F.substring(text, x["start"] + 1, stop - x["start"])
+            status = F.when((stop - x["start"] >= least) | is_meant(content, x["canonical"]), "matched").otherwise("too_short")
+            return F.struct(
+                x["section_idx"].alias("section_idx"), x["raw_title"].alias("raw_title"), x["start"].alias("start"), stop.alias("end"), x["line_no"].alias("start_line"),
+                F.coalesce(then["line_no"], n_lines).alias("end_line"), x["points"].alias("points"), status.alias("status"),
+            )
+
+        return F.transform(ps, one)
+
     names = F.array(*[F.lit(n) for n in aliases if not n.startswith("_")])
-    frame = docs.select("doc_id", F.posexplode(names).alias("section_idx", "canonical"))
-    full = frame.join(ready, ["doc_id", "section_idx"], "left")
+    ready = docs.select("doc_id", let(picked(scored(text, aliases)), closed).alias("ready"))
+    frame = ready.select("doc_id", "ready", F.posexplode(names).alias("section_idx", "canonical"))
+    own = F.get(F.filter("ready", lambda x: x["section_idx"] == F.col("section_idx")), F.lit(0))
+    full = frame.select("doc_id", "section_idx", "canonical", F.struct(own.alias("x")).alias("x")).select("doc_id", "section_idx", "canonical", *[F.col(f"x.x.{f}").alias(f) for f in ("raw_title", "start", "end", "start_line", "end_line", "points", "status")])
     ord_ = F.col("section_idx") + 1
     return full.select(
         "doc_id", F.concat(F.lit("sec_"), F.lpad(ord_.cast("string"), 2, "0")).alias("section_id"), ord_.alias("ord"), "canonical", "raw_title", "start", "end", "start_line", "end_line",

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from reportloom.functions import scan
-from reportloom.operators import boundaries, financial, split
+from reportloom.operators import boundaries, financial, linescore, split
 from reportloom.plans import queries as q
 
 
@@ -37,3 +37,20 @@ def test_searches_read_texts_once(spark):
     for df in (boundaries.content_points(r), financial.deep_split_lines(r)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "ArrowEvalPython" in plan and "regexp_extract_all" not in plan
+
+
+def test_normalised_as_java(spark):
+    from reportloom.functions.text import newlines, strip
+
+    texts = ["﻿a\r\n\r\rb\t 　c\n\n\n\n\nd\n12第一节 x\r3第二章\x8512第一节", " \x1c\n", "", None, "1第一节"]
+    t = F.regexp_replace(F.translate(newlines(F.col("text")), "　", " "), "[\t ]+", " ")
+    t = F.regexp_replace(F.regexp_replace(t, "\n{4,}", "\n\n\n"), "(?m)^\\d+(第[一二三四五六七八九十]+[节章])", "$1")
+    docs = spark.createDataFrame([(x,) for x in texts], "text string")
+    rows = docs.select(F.concat(strip(t), F.lit("\n")).alias("want"), linescore.normalised(F.col("text")).alias("got")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+
+
+def test_line_scores_in_one_row(spark):
+    for name in ("line_scored_candidates", "line_scored_sections"):
+        plan = q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("FileScan") == 1
