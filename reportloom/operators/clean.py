@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scan import BLANKS, small_batches, texts_of, translated
 from ..functions.text import strip
 
 
@@ -14,12 +19,15 @@ def lines(c: Column) -> Column:
 
 def without_vertical(c: Column) -> Column:
     """Lines of one or two letters, digits or Han characters go: text that was set vertically."""
-    return F.array_join(F.filter(lines(c), lambda x: ~strip(x).rlike(r"^[A-Za-z0-9一-鿿]{1,2}$")), "\n")
+    return F.array_join(F.filter(lines(c), lambda x: ~x.rlike(r"(?U)^\s*[A-Za-z0-9一-鿿]{1,2}\s*\z")), "\n")
 
 
 def without_page_numbers(c: Column) -> Column:
     """Bare page numbers, numbers between dashes, and contents lines with dot leaders go."""
-    return F.array_join(F.filter(lines(c), lambda x: ~(strip(x).rlike(r"^\d{1,4}$|^[-—]\s*\d{1,4}\s*[-—]$") | x.rlike(r"[.．…·]{6,}\s*\d+\s*$"))), "\n")
+    ends = lambda x: F.right(F.rtrim(x, F.lit(" \t\x0b\f\r\x85\u2028\u2029")), F.lit(1)).between("0", "9")
+    gap = r"[ \t\x0B\f\r]*"
+    alone = rf"(?U)^\s*(?:[0-9]{{1,4}}|[-—]{gap}[0-9]{{1,4}}{gap}[-—])\s*\z"
+    return F.array_join(F.filter(lines(c), lambda x: ~(x.rlike(alone) | ends(x) & x.rlike(r"[.．…·]{6,}\s*\d+\s*$"))), "\n")
 
 
 def few_blank_lines(c: Column, most: int = 2) -> Column:
@@ -46,17 +54,36 @@ TITLE = r"(?U)第[一二三四五六七八九十]+节\s+[^\n（续）]{2,30}"
 
 def without_headers(docs: DataFrame) -> DataFrame:
     """docs with blank lines for running headers and footers, and removed, the number of them: repeated lines and HEADERS, titles excepted unless they are continued."""
-    often = repeated_headers(docs).groupBy("doc_id").agg(F.collect_list("line").alias("often"))
-    repeated = F.coalesce("often", F.array().cast("array<string>"))
-
-    def header(x: Column) -> Column:
-        title = x.rlike(TITLE)
-        return F.when(title & x.contains("（续）"), True).when(title & ~x.rlike(r"(?U)\d{2,}\s*$"), False).otherwise(F.array_contains(repeated, x) | x.rlike(HEADERS))
-
-    marked = F.transform(lines(F.col("text")), lambda x: F.struct(x.alias("line"), header(strip(x)).alias("header")))
-    d = docs.join(often, "doc_id", "left").withColumn("_marked", marked)
-    text = F.array_join(F.transform("_marked", lambda x: F.when(x["header"], "\n").otherwise(x["line"])), "\n")
-    return d.withColumns({"text": text, "removed": F.size(F.filter("_marked", lambda x: x["header"]))}).drop("often", "_marked")
+    small_batches(docs.sparkSession)
+    gap = "[^\n\r\x85\u2028\u2029]*"
+    headers, title = re.compile(HEADERS.replace(".*", gap).replace("$", r"\Z"), re.A), re.compile(translated(TITLE))
+    section, number = re.compile("第[一二三四五六七八九十]+节"), re.compile(rf"\d{{2,}}[{BLANKS}]*\Z")
+
+    def marked(text: str | None) -> tuple[str | None, int | None]:
+        if text is None:
+            return None, None
+        raw = text.split("\n")
+        bare = [x.strip(BLANKS) for x in raw]
+        often = {x for x, n in Counter(bare).items() if n > 5 and 10 <= len(x) <= 60 and not section.search(x)}
+
+        def header(x: str) -> bool:
+            if title.search(x):
+                if "（续）" in x:
+                    return True
+                if not number.search(x):
+                    return False
+            return x in often or bool(headers.search(x))
+
+        flags = [header(x) for x in bare]
+        return "\n".join("\n" if f else x for x, f in zip(raw, flags)), sum(flags)
+
+    @F.arrow_udf("struct<text:string,removed:int>")
+    def made(texts: pa.Array) -> pa.Array:
+        rows = [marked(t) for t in texts_of(texts)]
+        return pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())], names=["text", "removed"])
+
+    d = docs.withColumn("_marked", made.asNondeterministic()(F.col("text")))
+    return d.withColumns({"text": F.col("_marked.text"), "removed": F.col("_marked.removed")}).drop("_marked")
 
 
 def cid_count(c: Column) -> Column:
