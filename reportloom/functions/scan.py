@@ -108,6 +108,23 @@ def translated(java: str) -> str:
     return re.sub(r"(?<![\[\\])\^|(?<!\\)\$", lambda m: begin if m[0] == "^" else end, body)
 
 
+_DOLLAR = "(?:\\Z|(?=\r\n\\Z|[\r\x85\u2028\u2029]\\Z)|(?<!\r)(?=\n\\Z))"
+
+
+def compiled(java: str) -> re.Pattern:
+    """A pattern with Java's flags (?U), (?iU) or none as Python's: what blanks and digits are, where ``.`` stops and ``$`` stands."""
+    flags, body = re.match(r"(?:\(\?([iU]+)\))?(.*)", java, re.S).groups()
+    wide = "U" in (flags or "")
+    blanks, digits = (BLANKS, r"\d") if wide else (BLANKS[:6], "0-9")
+    outer = {r"\s": f"[{blanks}]", r"\d": f"[{digits}]", ".": "[^\n\r\x85\u2028\u2029]", "^": r"\A", "$": _DOLLAR}
+    inner = {r"\s": blanks, r"\d": digits}
+    out, inside = [], False
+    for token in re.findall(r"\\.|.", body, re.S):
+        out.append((inner if inside else outer).get(token, token))
+        inside = token == "[" or inside and token != "]"
+    return re.compile("".join(out), re.I if "i" in (flags or "") else 0)
+
+
 #: A pattern of lines that hold something alone: what follows is sought first, then the blanks before it up to a line's beginning.
 ALONE = r"(?mU)^\s*"
 

@@ -5,11 +5,18 @@ Inputs are tables of pages (doc_id, page_no, text), outlines (doc_id, idx, level
 
 from __future__ import annotations
 
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scan import BLANKS, compiled, lists, remembered, texts_of
 from ..functions.text import let, strip
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Patterns of entries, words that entries hold, words that rule one out, words of contents pages.
 ENTRY = r"(?U)^(?:\s*(第[一二三四五六七八九十]+节)\s+)?(.+?)\s+(\d+)\s*$"
 ENTRY_LOOSE = r"(?U)^(?:\s*(第[一二三四五六七八九十]+节)\s+)?(.+?)\s*[\.·…‥\-–—_\s]+(\d+)\s*$"
@@ -41,21 +48,27 @@ def _parts(line: Column, strict: str, loose: str, groups: int) -> Column:
     return F.when(line.rlike(strict), of(strict)).otherwise(of(loose))
 
 
-def entry(raw: Column) -> Column:
-    """struct<section_num, title, page> of a contents line, the strict pattern first; null if it is none or a filter refuses it."""
+_STRICT, _LOOSE, _CONTINUED = compiled(ENTRY), compiled(ENTRY_LOOSE), compiled(CONTINUED)
+_CHAPTERS, _NONE, _NAMED = (compiled("|".join(words)) for words in (CHAPTER_WORDS.split(), NOT_ENTRIES.split(), PAGE_WORDS))
+_PAGE, _DIGIT, _YEAR, _DECIMALS = compiled("^0*[0-9]{1,3}$"), compiled(r"(?U)\d"), compiled(r"(?U)\d{4,}"), compiled(r"(?U)\.\d{2,}")
 
-    def judged(line: Column, number: Column, title: Column, page: Column) -> Column:
-        numbered = number != ""
-        of = F.struct(F.when(numbered, number).alias("section_num"), title.alias("title"), page.cast("int").alias("page"))
-        header = line.contains("年度报告") & line.rlike("目录|释义")
-        good = (
-            page.rlike("^0*[0-9]{1,3}$") & F.length(title).between(4, 50) & ~header & (numbered | _has(title, CHAPTER_WORDS)) & ~_refused(title, numbered)
-            & ~(title.rlike(r"(?U)\d{4,}") & ~numbered) & (F.regexp_count(title, F.lit(r"(?U)\d")) < 4) & ~title.rlike(r"(?U)\.\d{2,}")
-        )
-        return F.when(good & page.cast("int").between(1, 500), of)
 
-    titled = lambda line, p: let(strip(F.regexp_replace(p[1], CONTINUED, "")), lambda title: judged(line, p[0], title, p[2]))
-    return let(strip(raw), lambda line: let(_parts(line, ENTRY, ENTRY_LOOSE, 3), lambda p: titled(line, p)))
+def entry(raw: str) -> tuple[str | None, str, int] | None:
+    """(section_num, title, page) of a contents line, the strict pattern first; None if it is none or a filter refuses it."""
+    line = raw.strip(BLANKS)
+    if not line or line[-1] not in "0123456789":
+        return None
+    m = _STRICT.match(line) or _LOOSE.match(line)
+    if not m or not _PAGE.match(m[3]):
+        return None
+    number, title, page = m[1], _CONTINUED.sub("", m[2]).strip(BLANKS), int(m[3].lstrip("0") or "0")
+    if not (4 <= len(title) <= 50 and 1 <= page <= 500) or "年度报告" in line and ("目录" in line or "释义" in line):
+        return None
+    if _NONE.search(title) or "原则" in title and len(title) > 15 or len(_DIGIT.findall(title)) > 3 or _DECIMALS.search(title):
+        return None
+    if not number and (not _CHAPTERS.search(title) or title.startswith(NOT_WITHOUT_NUMBER) or _YEAR.search(title)):
+        return None
+    return number, title, page
 
 
 def plain_entry(raw: Column) -> Column:
@@ -73,31 +86,45 @@ def plain_entry(raw: Column) -> Column:
     return let(strip(raw), lambda line: let(_parts(line, PLAIN_ENTRY, PLAIN_ENTRY_LOOSE, 2), titled))
 
 
-def _read(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_no, x) with x: entries with their line numbers, lines, is_toc; each line is tested once."""
-
-    def tested(ls: Column) -> Column:
-        each = F.transform(ls, lambda line, i: F.struct(i.alias("i"), entry(line).alias("e")))
-        return F.struct(F.filter(each, lambda y: y["e"].isNotNull()).alias("entries"), F.size(ls).alias("lines"), F.col("text").rlike("|".join(PAGE_WORDS)).alias("named"))
+def _page_reader():
+    """A function of a page's text: (line number, entry) of its entries, how many lines it has, is_toc. A line is tested once, and again only if many others came between."""
+    test = remembered(lambda line: [entry(line)])
 
-    def judged(x: Column) -> Column:
-        valid = F.size(x["entries"])
-        toc = (x["named"] & (valid >= 3)) | ((valid >= 5) & (valid * 10 >= x["lines"] * 3))
-        return F.struct(x["entries"].alias("entries"), x["lines"].alias("lines"), toc.alias("is_toc"))
+    def read(text: str) -> tuple[list, int, bool]:
+        ls = text.strip(BLANKS).split("\n")
+        found = [(i, e) for i, line in enumerate(ls) if (e := test(line)[0])]
+        valid = len(found)
+        return found, len(ls), valid >= 3 and bool(_NAMED.search(text)) or valid >= 5 and valid * 10 >= len(ls) * 3
 
-    read = let(let(F.split(strip(F.col("text")), "\n", -1), tested), judged)
-    return pages.filter("text <> ''").select("doc_id", "page_no", read.alias("x"))
+    return read
 
 
 def contents_pages(pages: DataFrame) -> DataFrame:
     """(doc_id, page_no, valid, lines, is_toc): a contents page has one of its words and 3 entries, or 5 that are 3 in 10 of its lines."""
-    return _read(pages).select("doc_id", "page_no", F.size("x.entries").alias("valid"), "x.lines", "x.is_toc")
+    read = _page_reader()
+
+    @F.arrow_udf("struct<valid:int,lines:int,is_toc:boolean>")
+    def judged(texts: pa.Array) -> pa.Array:
+        rows = [read(t) for t in texts_of(texts)]
+        return pa.StructArray.from_arrays([pa.array([len(r[0]) for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.bool_())], names=["valid", "lines", "is_toc"])
+
+    x = pages.filter("text <> ''").select("doc_id", "page_no", judged.asNondeterministic()("text").alias("x"))
+    return x.select("doc_id", "page_no", "x.valid", "x.lines", "x.is_toc")
 
 
 def scanned(pages: DataFrame) -> DataFrame:
     """(doc_id, idx, section_num, title, page): the entries of all contents pages, page by page without a shuffle."""
-    y = _read(pages).select("doc_id", "page_no", F.explode(F.when(F.col("x.is_toc"), F.col("x.entries"))).alias("y"))
-    return y.select("doc_id", (F.col("page_no").cast("long") * 100_000 + F.col("y.i")).alias("idx"), "y.e.section_num", "y.e.title", "y.e.page")
+    read = _page_reader()
+
+    @F.arrow_udf("array<struct<i:int,section_num:string,title:string,page:int>>")
+    def found(texts: pa.Array) -> pa.Array:
+        rows = [x if toc else [] for x, _, toc in map(read, texts_of(texts))]
+        flat = [(i, *e) for x in rows for i, e in x]
+        kinds = {"i": pa.int32(), "section_num": pa.string(), "title": pa.string(), "page": pa.int32()}
+        return lists([len(x) for x in rows], {k: pa.array([f[n] for f in flat], kind) for n, (k, kind) in enumerate(kinds.items())})
+
+    y = pages.filter("text <> ''").select("doc_id", "page_no", F.explode(found.asNondeterministic()("text")).alias("y"))
+    return y.select("doc_id", (F.col("page_no").cast("long") * 100_000 + F.col("y.i")).alias("idx"), "y.section_num", "y.title", "y.page")
 
 
 def headings(pages: DataFrame) -> DataFrame:
