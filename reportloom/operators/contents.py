@@ -135,14 +135,14 @@ def headings(pages: DataFrame) -> DataFrame:
 
 
 def by_cascade(ways: list[tuple[str, DataFrame, int]]) -> DataFrame:
-    """(doc_id, method, ...): of (method, entries, least number) each document's first way that gives so many entries."""
+    """(doc_id, method, ...): of (method, entries, least number) each document's first way that gives so many entries; one shuffle and sort for all ways."""
     every = None
-    for k, (name, rows, least) in enumerate(ways):
-        rows = rows.withColumns({"method": F.lit(name), "_way": F.lit(k), "_least": F.lit(least)})
+    for k, (name, rows, _) in enumerate(ways):
+        rows = rows.withColumns({"method": F.lit(name), "_way": F.lit(k)})
         every = rows if every is None else every.unionByName(rows)
-    n = F.count("*").over(Window.partitionBy("doc_id", "_way"))
-    enough = every.withColumn("_n", n).filter("_n >= _least").withColumn("_first", F.min("_way").over(Window.partitionBy("doc_id")))
-    return enough.filter("_way = _first").drop("_way", "_least", "_n", "_first")
+    whole = Window.partitionBy("doc_id")
+    enough = [F.when(F.count_if(F.col("_way") == k).over(whole) >= max(least, 1), k) for k, (_, _, least) in enumerate(ways)]
+    return every.withColumn("_first", F.coalesce(*enough)).filter("_way = _first").drop("_way", "_first")
 
 
 def parse(pages: DataFrame, outline: DataFrame) -> DataFrame:
@@ -178,33 +178,70 @@ def is_footer(text: Column) -> Column:
     return text.rlike(FOOTERS)
 
 
-def _printed(lines: DataFrame) -> DataFrame:
-    """Printed lines (doc_id, page, line_no, text) that are no footers and more than leaders."""
-    return lines.filter(~is_footer(F.col("text")) & ~strip(F.col("text")).rlike(r"(?U)^[\.·…\s]+$")).withColumn("t", strip(F.col("text")))
+_FOOTER, _LEADERS, _NUMBER = compiled(FOOTERS), compiled(r"(?U)^[\.·…\s]+$"), compiled(r"(?U)^\d+$")
+_STANDARD, _DOTS, _MIDDOTS = compiled(r"(?U)^(.+?)(?:\.{2,}|···|…+)?\s*(\d+)$"), compiled(r"\.{2,}$"), compiled("[·…]+$")
+_PAGELESS = compiled(r"(?U)^(第[一二三四五六七八九十]+[章节]|\d+\.\d+)\s+(.+?)(?:\.{2,}|···|…+)?$")
+
+
+def printed(text: str) -> tuple[str | None, str | None, str | None]:
+    """(title, target, pageless title) of a printed line as an entry that ends in a page number and as one without; footers and leaders are neither."""
+    t = text.strip(BLANKS)
+    if not t or _FOOTER.search(text) or _LEADERS.match(t):
+        return None, None, None
+    title = target = None
+    m = None if _NUMBER.match(t) else _STANDARD.match(t)
+    if m:
+        title = _MIDDOTS.sub("", _DOTS.sub("", m[1].strip(BLANKS))).strip(BLANKS)
+        title, target = (title, m[2]) if len(title) >= 2 and not _NUMBER.match(title) else (None, None)
+    m = _PAGELESS.match(t)
+    if m:
+        return title, target, f"{m[1]} {m[2].strip(BLANKS)}"
+    return title, target, t if 2 < len(text) < 50 and any(x in text for x in STANDALONE) else None
+
+
+def _tested(text: Column) -> Column:
+    test = remembered(lambda line: list(printed(line)))
+
+    @F.arrow_udf("struct<title:string,target:string,pageless:string>")
+    def tested(texts: pa.Array) -> pa.Array:
+        rows = [(None, None, None) if t is None else test(t) for t in texts_of(texts)]
+        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], names=["title", "target", "pageless"])
+
+    return tested.asNondeterministic()(text)
 
 
 def standard_entries(lines: DataFrame) -> DataFrame:
     """(doc_id, page, line_no, title, target): printed lines that end in a page number, with leaders or without."""
-    pattern = r"(?U)^(.+?)(?:\.{2,}|···|…+)?\s*(\d+)$"
-    title = F.regexp_replace(F.regexp_replace(strip(F.regexp_extract("t", pattern, 1)), r"\.{2,}$", ""), "[·…]+$", "")
-    e = _printed(lines).filter(~F.col("t").rlike(r"(?U)^\d+$") & F.col("t").rlike(pattern))
-    e = e.select("doc_id", "page", "line_no", strip(title).alias("title"), F.regexp_extract("t", pattern, 2).cast("long").alias("target"))
-    return e.filter((F.length("title") >= 2) & ~F.col("title").rlike(r"(?U)^\d+$"))
+    x = lines.select("doc_id", "page", "line_no", _tested(F.col("text")).alias("x")).filter("x.title IS NOT NULL")
+    return x.select("doc_id", "page", "line_no", "x.title", F.col("x.target").cast("long").alias("target"))
 
 
 def pageless_entries(lines: DataFrame) -> DataFrame:
     """(doc_id, page, line_no, title, target -1): numbered titles without a page number, and the usual titles that stand alone."""
-    pattern = r"(?U)^(第[一二三四五六七八九十]+[章节]|\d+\.\d+)\s+(.+?)(?:\.{2,}|···|…+)?$"
-    full = F.concat_ws(" ", F.regexp_extract("t", pattern, 1), strip(F.regexp_extract("t", pattern, 2)))
-    alone = (F.length("text") > 2) & (F.length("text") < 50) & F.col("text").rlike("|".join(STANDALONE))
-    title = F.when(F.col("t").rlike(pattern), full).when(alone, F.col("t"))
-    e = _printed(lines).select("doc_id", "page", "line_no", title.alias("title"), F.lit(-1).cast("long").alias("target"))
-    return e.filter("title IS NOT NULL")
-
-
-def structure(lines: DataFrame, columns: DataFrame) -> DataFrame:
-    """(doc_id, method, page, line_no, title, target): 3 or more standard entries, else 3 or more without pages, else those of a page in columns."""
-    return by_cascade([("standard", standard_entries(lines), 3), ("pageless", pageless_entries(lines), 3), ("columns", columns.select("doc_id", "page", "line_no", "title", F.col("target").cast("long").alias("target")), 1)])
+    x = lines.select("doc_id", "page", "line_no", _tested(F.col("text")).alias("x")).filter("x.pageless IS NOT NULL")
+    return x.select("doc_id", "page", "line_no", F.col("x.pageless").alias("title"), F.lit(-1).cast("long").alias("target"))
+
+
+def structure(lines: DataFrame, columns: DataFrame | tuple[Column, Column]) -> DataFrame:
+    """(doc_id, method, page, line_no, title, target): 3 or more standard entries, else 3 or more without pages, else those of a page in columns.
+
+    ``columns``: entries of pages in columns, or, where every line is one, its title and target as columns of ``lines``.
+    A line is tested once for both ways, and lines go through one window, in which each takes its document's way.
+    """
+    own = ["doc_id", "page", "line_no"]
+    if isinstance(columns, tuple):
+        title, target = columns
+        rows = lines.select(*own, _tested(F.col("text")).alias("x"), F.lit(True).alias("c"), title.alias("c_title"), target.cast("long").alias("c_target"))
+    else:
+        none = F.lit(None)
+        rows = lines.select(*own, _tested(F.col("text")).alias("x"), F.lit(False).alias("c"), none.cast("string").alias("c_title"), none.cast("long").alias("c_target"))
+        rows = rows.unionByName(columns.select(*own, none.cast("struct<title:string,target:string,pageless:string>").alias("x"), F.lit(True).alias("c"), F.col("title").alias("c_title"), F.col("target").cast("long").alias("c_target")))
+    whole = Window.partitionBy("doc_id")
+    way = F.when(F.count("x.title").over(whole) >= 3, 0).when(F.count("x.pageless").over(whole) >= 3, 1).otherwise(2)
+    y = rows.withColumn("way", way).filter((F.col("way") == 0) & F.col("x.title").isNotNull() | (F.col("way") == 1) & F.col("x.pageless").isNotNull() | (F.col("way") == 2) & F.col("c"))
+    of = lambda *each: F.when(F.col("way") == 0, each[0]).when(F.col("way") == 1, each[1]).otherwise(each[2])
+    title, target = of(F.col("x.title"), F.col("x.pageless"), F.col("c_title")), of(F.col("x.target").cast("long"), F.lit(-1).cast("long"), F.col("c_target"))
+    return y.select(*own, title.alias("title"), target.alias("target"), of(F.lit("standard"), F.lit("pageless"), F.lit("columns")).alias("method"))
 
 
 def readable(spans: DataFrame) -> DataFrame:
